@@ -23,11 +23,11 @@ def letter_runs(text: Column) -> Column:
     return F.split(F.lower(text), "[^A-Za-z]+")
 
 
-def is_significant(token: Column, own_name: Column, stopwords: list[str] | None = None) -> Column:
-    """Long enough, not a stopword, and not part of the entity's own name."""
+def is_significant(token: Column, own_tokens: Column, stopwords: list[str] | None = None) -> Column:
+    """Long enough, not a stopword, and not one of the entity's own name tokens."""
     words = STOPWORDS if stopwords is None else stopwords
     return (
         (F.length(token) >= MIN_LETTERS)
         & ~token.isin(*words)
-        & ~F.array_contains(letter_runs(own_name), token)
+        & ~F.array_contains(own_tokens, token)
     )

@@ -31,7 +31,7 @@ def null_regions(star: Star) -> DataFrame:
     """Rows without a region in each fact."""
     return _stacked(
         [
-            getattr(star, name).agg(
+            star.table(name).agg(
                 F.count_if(F.col("region_id").isNull()).alias("null_region_id"),
                 F.count(F.lit(1)).alias("total_rows"),
             ).select(F.lit(name).alias("table_name"), "null_region_id", "total_rows")

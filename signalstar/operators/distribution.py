@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from signalstar.functions.calendar import key_to_date
 from signalstar.functions.measures import rounded
-from signalstar.operators.percentiles import group_percentiles
+from signalstar.operators.percentiles import ACCURACY, group_percentiles
 from signalstar.plans.star import Star
 
 QUARTILES = {"p25": 0.25, "median": 0.5, "p75": 0.75}
@@ -26,7 +26,9 @@ def score_range(star: Star) -> DataFrame:
     ).orderBy("source_name")
 
 
-def score_distribution(star: Star, approximate: bool = False) -> DataFrame:
+def score_distribution(
+    star: Star, approximate: bool = False, accuracy: int = ACCURACY
+) -> DataFrame:
     """Count, quartiles, mean, extremes and deviation per source."""
     stats = star.interest.groupBy("source_id").agg(
         F.count(F.lit(1)).alias("n"),
@@ -36,7 +38,7 @@ def score_distribution(star: Star, approximate: bool = False) -> DataFrame:
         rounded(F.stddev("interest_score")).alias("stddev_score"),
     )
     quartiles = group_percentiles(
-        star.interest, ["source_id"], "interest_score", QUARTILES, approximate=approximate
+        star.interest, ["source_id"], "interest_score", QUARTILES, accuracy, approximate
     ).select("source_id", *[rounded(F.col(q)).alias(q) for q in QUARTILES])
     # Left: a source whose scores are all missing still has its count.
     both = stats.join(quartiles, "source_id", "left")

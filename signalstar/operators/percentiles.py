@@ -10,29 +10,45 @@ from pyspark.sql import functions as F
 from signalstar.operators.sizing import join_measured
 
 
+# Relative precision of the quantile sketch, and the group size up to which a group is
+# simply ordered by one task.
+ACCURACY = 100_000
+
+
 def group_percentiles(
     df: DataFrame,
     keys: list[str],
     value: str,
     probs: dict[str, float],
-    accuracy: int = 100_000,
+    accuracy: int = ACCURACY,
     approximate: bool = False,
 ) -> DataFrame:
     """One row per group: the keys and one interpolated percentile per name in ``probs``.
 
-    The built-in exact percentile holds every distinct value of a group in one task.
-    Here a quantile sketch first brackets each wanted rank; rows below a bracket are
-    only counted, and just the rows inside it are put in order. The answer is the same,
-    and no task ever holds more than a small share of a group. The sketch's error bound
-    is a quarter of the bracket's half width; should a bracket still miss its rank, the
+    The built-in exact percentile holds every distinct value of a group in one task, so
+    it is used only once the largest group has been counted and found small. Beyond
+    that a quantile sketch brackets each wanted rank; rows below a bracket are only
+    counted, and just the rows inside it are put in order. The answer is the same, and
+    no task holds more than a small share of a group. The sketch's error bound is a
+    quarter of the bracket's half width; should a bracket still miss its rank, the
     query fails rather than answer wrongly.
     """
-    names = list(probs)
     present = df.where(F.col(value).isNotNull())
     if approximate:
         return present.groupBy(*keys).agg(
-            *[F.percentile_approx(value, probs[n], accuracy).alias(n) for n in names]
+            *[F.percentile_approx(value, p, accuracy).alias(n) for n, p in probs.items()]
         )
+    sizes = present.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+    largest = sizes.agg(F.max("_n")).first()[0]
+    if largest is None or largest <= accuracy:
+        return present.groupBy(*keys).agg(*[F.percentile(value, p).alias(n) for n, p in probs.items()])
+    return _bracketed(present, keys, value, probs, accuracy)
+
+
+def _bracketed(
+    present: DataFrame, keys: list[str], value: str, probs: dict[str, float], accuracy: int
+) -> DataFrame:
+    names = list(probs)
     half = 4.0 / accuracy
     edges = [
         min(max(p + side * half, 0.0), 1.0) for p in probs.values() for side in (-1, 1)

@@ -27,8 +27,11 @@ def top_words(
         F.raise_error(F.lit("text has too many tokens to order")).cast("array<string>")
     )
     exploded = titles.select(
-        entity, F.col(order).cast("bigint").alias("_order"), F.posexplode(checked).alias("_i", "word")
-    ).where(is_significant(F.col("word"), F.col(entity), stopwords))
+        entity,
+        F.col(order).cast("bigint").alias("_order"),
+        letter_runs(F.col(entity)).alias("_own"),
+        F.posexplode(checked).alias("_i", "word"),
+    ).where(is_significant(F.col("word"), F.col("_own"), stopwords))
     counted = exploded.groupBy(entity, "word").agg(
         F.count(F.lit(1)).alias("n"),
         F.min(F.col("_order") * TOKENS_PER_TEXT + F.col("_i")).alias("_first"),

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from dataclasses import replace
 from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
@@ -80,12 +79,12 @@ def _event_calendar(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _prof_sources(spark: SparkSession, folder: str) -> DataFrame:
-    star = replace(order_star(spark, folder), sources=_rated_sources(spark, folder))
+    star = order_star(spark, folder).but(sources=_rated_sources(spark, folder))
     return coverage.sources_by_reliability(star)
 
 
 def _events_on_calendar(spark: SparkSession, folder: str) -> DataFrame:
-    star = replace(order_star(spark, folder), dates=_event_calendar(spark, folder))
+    star = order_star(spark, folder).but(dates=_event_calendar(spark, folder))
     return events.on_calendar(star)
 
 
@@ -361,6 +360,9 @@ QUERIES: dict[str, Query] = {
     ),
     # distributions and trends
     "dist_score_by_source": _on_star(distribution.score_distribution),
+    "dist_score_bracketed": _on_star(
+        lambda s: distribution.score_distribution(s, accuracy=200)
+    ),
     "dist_histogram": _on_star(lambda s: distribution.score_histogram(s, 0.0, 500000.0, 20)),
     "trend_weekly": _on_star(distribution.weekly_trend),
     "bi_trend_line": _on_star(lambda s: distribution.weekly_trend(s, FIRST_SOURCE)),

@@ -334,18 +334,27 @@ WITH pieces AS (
 words AS (
   SELECT source, doc_id, unnest(a) AS word, unnest(range(len(a))) AS i FROM pieces),
 counted AS (
-  SELECT source, word, count(*) AS n, min(doc_id * 100000000 + i) AS at
+  SELECT source, word, count(*) AS n, min(doc_id * 100000000 + i) AS seen
   FROM words
   WHERE length(word) >= 4 AND word NOT IN ({", ".join(f"'{w}'" for w in STOPWORDS.split())})
     AND word <> regexp_replace(source, '[^a-z]', '', 'g')
   GROUP BY source, word),
 ranked AS (
   SELECT source, word, n,
-         CAST(row_number() OVER (PARTITION BY source ORDER BY n DESC, at) AS INTEGER) AS rank
+         CAST(row_number() OVER (PARTITION BY source ORDER BY n DESC, seen) AS INTEGER) AS rank
   FROM counted)
 SELECT * FROM ranked WHERE rank <= 15
 """
 
+SCORE_DISTRIBUTION = f"""
+SELECT source_name, count(*) AS n, min(interest_score) AS min_score,
+       {rnd("quantile_cont(interest_score, 0.25)")} AS p25,
+       {rnd("quantile_cont(interest_score, 0.5)")} AS median,
+       {rnd("avg(interest_score)")} AS mean_score,
+       {rnd("quantile_cont(interest_score, 0.75)")} AS p75,
+       max(interest_score) AS max_score, {rnd("stddev(interest_score)")} AS stddev_score
+FROM named GROUP BY source_name"""
+
 PIVOT_TYPES = ["click", "error", "purchase", "signup", "view"]
 
 SQL: dict[str, str] = {
@@ -403,14 +412,8 @@ SELECT source_name, count(interest_score) AS n_values, {rnd("avg(interest_score)
        {rnd("stddev(interest_score)", 4)} AS std, min(interest_score) AS min,
        max(interest_score) AS max
 FROM named GROUP BY source_name"""),
-    "dist_score_by_source": on_star(f"""
-SELECT source_name, count(*) AS n, min(interest_score) AS min_score,
-       {rnd("quantile_cont(interest_score, 0.25)")} AS p25,
-       {rnd("quantile_cont(interest_score, 0.5)")} AS median,
-       {rnd("avg(interest_score)")} AS mean_score,
-       {rnd("quantile_cont(interest_score, 0.75)")} AS p75,
-       max(interest_score) AS max_score, {rnd("stddev(interest_score)")} AS stddev_score
-FROM named GROUP BY source_name"""),
+    "dist_score_by_source": on_star(SCORE_DISTRIBUTION),
+    "dist_score_bracketed": on_star(SCORE_DISTRIBUTION),
     "dist_histogram": on_star("""
 SELECT source_name, bucket, (bucket - 1) * 25000.0::DOUBLE AS bucket_low, n FROM (
   SELECT source_name, CAST(least(floor(interest_score / 25000.0) + 1, 20) AS INTEGER) AS bucket,

@@ -143,7 +143,12 @@ def raw_star(
     if not interest or not events:
         raise ValueError("a star needs an interest source and an event source")
     return Star(
-        entities, regions, sources, calendar(spark), _union(interest), _union(events)
+        entities=entities,
+        regions=regions,
+        sources=sources,
+        dates=calendar(spark),
+        interest=_union(interest),
+        events=_union(events),
     )
 
 

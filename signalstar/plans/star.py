@@ -2,15 +2,17 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass, fields
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from signalstar.sources.schemas import TABLES
 from signalstar.sources.tables import read_table
 
+Table = DataFrame | Callable[[], DataFrame]
+
 
-@dataclass(frozen=True)
 class Star:
     """
     entities  entity_id, entity_name, primary_usage, price_range, approved
@@ -22,14 +24,44 @@ class Star:
               region_id (nullable), entity_id
 
     Keys may be of any type, but ``date_id`` is the yyyymmdd integer of a week start.
+    A table may be given as a function; it is called when the table is first used.
     """
 
-    entities: DataFrame
-    regions: DataFrame
-    sources: DataFrame
-    dates: DataFrame
-    interest: DataFrame
-    events: DataFrame
+    def __init__(self, **tables: Table):
+        unknown = set(tables) - set(TABLES)
+        if unknown:
+            raise ValueError(f"not tables of a star: {sorted(unknown)}")
+        self._tables = dict(tables)
+
+    def table(self, name: str) -> DataFrame:
+        found = self._tables[name]
+        if callable(found):
+            found = self._tables[name] = found()
+        return found
+
+    @property
+    def entities(self) -> DataFrame:
+        return self.table("entities")
+
+    @property
+    def regions(self) -> DataFrame:
+        return self.table("regions")
+
+    @property
+    def sources(self) -> DataFrame:
+        return self.table("sources")
+
+    @property
+    def dates(self) -> DataFrame:
+        return self.table("dates")
+
+    @property
+    def interest(self) -> DataFrame:
+        return self.table("interest")
+
+    @property
+    def events(self) -> DataFrame:
+        return self.table("events")
 
     @classmethod
     def of(cls, names: dict[str, str] | None = None, **tables: DataFrame) -> "Star":
@@ -39,10 +71,19 @@ class Star:
 
     @classmethod
     def read(cls, spark: SparkSession, folder: str, file_format: str = "parquet") -> "Star":
-        return cls(**{f.name: read_table(spark, folder, f.name, file_format) for f in fields(cls)})
+        return cls(
+            **{
+                name: (lambda name=name: read_table(spark, folder, name, file_format))
+                for name in TABLES
+            }
+        )
+
+    def but(self, **tables: Table) -> "Star":
+        """The same star with some tables exchanged."""
+        return Star(**{**self._tables, **tables})
 
     def tables(self) -> dict[str, DataFrame]:
-        return {f.name: getattr(self, f.name) for f in fields(self)}
+        return {name: self.table(name) for name in TABLES if name in self._tables}
 
     def interest_of(
         self,

@@ -37,12 +37,12 @@ def load_star(
     counts = {}
     for name in DIMENSIONS:
         check = checks.get(name)
-        counts[name] = load_table(name, getattr(star, name), folder, check and check(star))
+        counts[name] = load_table(name, star.table(name), folder, check and check(star))
     stored = {name: spark.read.parquet(f"{folder}/{name}") for name in DIMENSIONS}
-    loaded = Star(**stored, interest=star.interest, events=star.events)
+    loaded = star.but(**stored)
     for name in FACTS:
         check = checks.get(name)
         counts[name] = load_table(
-            name, getattr(star, name), folder, check and check(loaded), partitions.get(name)
+            name, star.table(name), folder, check and check(loaded), partitions.get(name)
         )
     return counts

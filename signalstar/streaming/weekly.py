@@ -7,9 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-# Seven-day windows start on the epoch's weekday, a Thursday; three days on is Sunday.
-WEEK = ("7 days", "7 days", "3 days")
-
+from signalstar.functions.calendar import week_start
 
 def arriving(
     spark: SparkSession, folder: str, schema: T.StructType, files: str = "*.parquet"
@@ -19,14 +17,20 @@ def arriving(
 
 
 def weekly_counts(
-    stream: DataFrame, stamp: str, keys: list[str], value: str, late: str = "7 days"
+    stream: DataFrame, stamp: str, keys: list[str], value: str, late: str = "14 days"
 ) -> DataFrame:
-    """Rows and value sum per key and week; weeks older than ``late`` are closed, which
-    bounds the state."""
-    weeks = stream.withWatermark(stamp, late).groupBy(F.window(stamp, *WEEK), *keys)
-    return weeks.agg(
+    """Rows and value sum per key and week.
+
+    The event time is the week start itself, so weeks begin on Sunday in any time zone.
+    A week is closed once a week start more than ``late`` after it has been seen, which
+    bounds the state.
+    """
+    weeks = stream.withColumn(
+        "_week", week_start(F.to_date(stamp)).cast("timestamp")
+    ).withWatermark("_week", late)
+    return weeks.groupBy("_week", *keys).agg(
         F.count(F.lit(1)).alias("n_events"), F.sum(value).alias("total")
-    ).select(F.to_date("window.start").alias("week"), *keys, "n_events", "total")
+    ).select(F.to_date("_week").alias("week"), *keys, "n_events", "total")
 
 
 def append_closed_weeks(counts: DataFrame, table: str, checkpoint: str) -> StreamingQuery:
