@@ -23,11 +23,12 @@ def letter_runs(text: Column) -> Column:
     return F.split(F.lower(text), "[^A-Za-z]+")
 
 
-def is_significant(token: Column, own_tokens: Column, stopwords: list[str] | None = None) -> Column:
-    """Long enough, not a stopword, and not one of the entity's own name tokens."""
+def is_significant(token: Column, stopwords: list[str] | None = None) -> Column:
+    """Long enough and not a stopword."""
     words = STOPWORDS if stopwords is None else stopwords
-    return (
-        (F.length(token) >= MIN_LETTERS)
-        & ~token.isin(*words)
-        & ~F.array_contains(own_tokens, token)
-    )
+    return (F.length(token) >= MIN_LETTERS) & ~token.isin(*words)
+
+
+def names_entity(token: Column, name: Column) -> Column:
+    """Whether the token is part of the entity's own name."""
+    return F.array_contains(letter_runs(name), token)

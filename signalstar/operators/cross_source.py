@@ -8,12 +8,13 @@ from pyspark.sql import functions as F
 from signalstar.functions.calendar import date_key, key_to_date, week_start
 from signalstar.functions.measures import pair_correlation, rounded
 from signalstar.operators.growth import WINDOW_DAYS
+from signalstar.operators.sizing import join_measured
 from signalstar.plans.star import Star
 
 
 def weekly_by_source(star: Star, first: str, second: str) -> DataFrame:
     """Mean score of two sources for every entity and week that has any row."""
-    named = star.name_sources(star.interest)
+    named = star.name_sources(star.interest, many=True)
     score, source = F.col("interest_score"), F.col("source_name")
     return named.groupBy("entity_id", "date_id").agg(
         F.avg(F.when(source == first, score)).alias("first_score"),
@@ -33,16 +34,16 @@ def side_by_side(star: Star, first: str, second: str) -> DataFrame:
 def source_pivot(star: Star, names: list[str]) -> DataFrame:
     """Weekly mean with one column per listed source (listed, so that no job is
     needed to find the columns)."""
-    named = star.name_entities(star.name_sources(star.interest))
-    return (
-        named.groupBy("date_id", "entity_name")
+    weekly = (
+        star.name_sources(star.interest, many=True)
+        .groupBy("date_id", "entity_id")
         .pivot("source_name", names)
         .agg(F.avg("interest_score"))
-        .select(
-            key_to_date(F.col("date_id")).alias("date"),
-            "entity_name",
-            *[rounded(F.col(f"`{n}`")).alias(n) for n in names],
-        )
+    )
+    return star.name_entities(weekly).select(
+        key_to_date(F.col("date_id")).alias("date"),
+        "entity_name",
+        *[rounded(F.col(f"`{n}`")).alias(n) for n in names],
     )
 
 
@@ -114,7 +115,7 @@ def source_agreement(
         return F.when(F.col("signal").startswith("interest:"), mean).otherwise(count)
 
     levels = (
-        cells.join(bounds, "signal")
+        join_measured(cells, bounds, "signal")
         .groupBy("entity_id", "signal")
         .agg(level(in_first).alias("before"), level(in_last).alias("after"))
     )

@@ -80,7 +80,7 @@ def high_attention(star: Star, prob: float = 0.9) -> DataFrame:
         (F.col("related_article_count") >= F.col("article_limit"))
         | (F.col("source_count") >= F.col("source_limit"))
     )
-    return star.name_entities(loud).select(
+    return star.name_entities(loud, many=True).select(
         "event_date", "entity_name", "category", "title", "related_article_count",
         "source_count",
     ).orderBy(

@@ -118,7 +118,9 @@ def reporting_bounds(star: Star, source: str) -> DataFrame:
     """First and last calendar date that carry rows of one source, over all rows and
     over its regional rows."""
     def bounded(rows: DataFrame, scope: str) -> DataFrame:
-        dates = star.dates.join(rows.select("date_id"), "date_id", "left_semi")
+        # Distinct first: the fact shrinks to its weeks before it is shuffled.
+        weeks = rows.select("date_id").distinct()
+        dates = star.dates.join(weeks, "date_id", "left_semi")
         return dates.agg(F.min("date").alias("min_date"), F.max("date").alias("max_date")).select(
             F.lit(scope).alias("scope"), "min_date", "max_date"
         )
@@ -164,7 +166,7 @@ def year_over_year(star: Star, source: str, complete_years_only: bool = False) -
 def regional_detail(star: Star) -> DataFrame:
     """Every regional row with its names and date."""
     rows = star.interest_of(regional=True)
-    named = star.name_entities(star.name_regions(rows))
+    named = star.name_entities(star.name_regions(rows, many=True), many=True)
     return named.select(
         "region_name", "entity_name", key_to_date(F.col("date_id")).alias("date"),
         "interest_score",

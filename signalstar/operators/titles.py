@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from signalstar.functions.text import is_significant, letter_runs
+from signalstar.functions.text import is_significant, letter_runs, names_entity
 
 # A position is a row number times this, plus the place of the token in its text.
 TOKENS_PER_TEXT = 1 << 24
@@ -29,13 +29,17 @@ def top_words(
     exploded = titles.select(
         entity,
         F.col(order).cast("bigint").alias("_order"),
-        letter_runs(F.col(entity)).alias("_own"),
         F.posexplode(checked).alias("_i", "word"),
-    ).where(is_significant(F.col("word"), F.col("_own"), stopwords))
+    ).where(is_significant(F.col("word"), stopwords))
     counted = exploded.groupBy(entity, "word").agg(
         F.count(F.lit(1)).alias("n"),
         F.min(F.col("_order") * TOKENS_PER_TEXT + F.col("_i")).alias("_first"),
     )
+    # The entity's own name goes after counting, where it costs one test per word; the
+    # mention of the count keeps Catalyst from moving the test down to every token.
+    counted = counted.where(
+        ~((F.col("n") > 0) & names_entity(F.col("word"), F.col(entity)))
+    )
     best = Window.partitionBy(entity).orderBy(F.desc("n"), F.asc("_first"))
     return (
         counted.withColumn("rank", F.row_number().over(best))

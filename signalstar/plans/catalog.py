@@ -108,7 +108,9 @@ def _dq_report(spark: SparkSession, folder: str) -> DataFrame:
         ],
         [
             quality.ForeignKey("entity_id", star.entities, "entity_id"),
-            quality.ForeignKey("region_id", star.regions.where(F.col("population") > 300), "region_id"),
+            quality.ForeignKey(
+                "region_id", star.regions.where(F.col("population") > 300_000), "region_id"
+            ),
             quality.ForeignKey("date_id", _event_calendar(spark, folder), "date_id"),
         ],
     )

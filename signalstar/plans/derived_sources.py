@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from signalstar.functions.calendar import key_to_date
 from signalstar.functions.cleaning import NEWS_STAMP, PUBLICATION_STAMP
+from signalstar.operators.sizing import measured
 from signalstar.plans.order_star import (
     interest,
     placed_customers,
@@ -169,7 +170,8 @@ def regional_lines(spark: SparkSession, folder: str) -> DataFrame:
 
 def named_entities(spark: SparkSession, folder: str) -> DataFrame:
     """Segments by their display name, for resolving file names without regard to case."""
-    return table(spark, folder, "customer").select(
+    names = table(spark, folder, "customer").select(
         F.col("c_mktsegment").alias("entity_id"),
         segment_name(F.col("c_mktsegment")).alias("entity_name"),
     ).distinct()
+    return measured(names)[0]

@@ -38,7 +38,7 @@ d_entities AS (
          avg(c_acctbal) > 4500 AS approved
   FROM customer GROUP BY c_mktsegment),
 d_regions AS (
-  SELECT r_regionkey AS region_id, r_name AS region_name, count(*) AS population
+  SELECT r_regionkey AS region_id, r_name AS region_name, 1000 * count(*) AS population
   FROM region JOIN placed ON customer_region = r_regionkey GROUP BY ALL),
 d_sources AS (
   SELECT CAST(source_id AS INTEGER) AS source_id, source_name,
@@ -179,7 +179,7 @@ DQ_REPORT = union_all(
                     "region_id IS NOT NULL", 1000),
         orphan_check("interest", "entity_id", "f_interest", "SELECT entity_id FROM d_entities"),
         orphan_check("interest", "region_id", "f_interest",
-                     "SELECT region_id FROM d_regions WHERE population > 300"),
+                     "SELECT region_id FROM d_regions WHERE population > 300000"),
         orphan_check("interest", "date_id", "f_interest",
                      f"SELECT {key('CAST(w AS DATE)')} FROM ({EVENT_WEEKS} AS w)"),
         check("events", "no_nulls", "event_date", "f_events", "event_date IS NULL"),

@@ -1,8 +1,8 @@
 """A star over the order tables: what the registered queries run on.
 
 entity    market segment of the ordering customer
-region    region of the customer's nation; orders of the two lowest priorities count as
-          national rows and have none
+region    region of the customer's nation, where a customer stands for a thousand people;
+          orders of the two lowest priorities count as national rows and have none
 source    order status
 score     order value, dated by the Sunday of the order
 events    user events rolled up per entity, week, region and event type, where a user is
@@ -22,6 +22,7 @@ from signalstar.sources.tables import local_table
 
 NATIONAL_PRIORITIES = ["4-NOT SPECIFIED", "5-LOW"]
 UNPLACED_EVENT = "error"
+PEOPLE_PER_CUSTOMER = 1000
 # id, status letter, name, reliability
 STATUS_SOURCES = [(1, "F", "Search trends", 7), (2, "O", "Page views", 6), (3, "P", "Bulletins", 9)]
 FIRST_SOURCE, SECOND_SOURCE, THIRD_SOURCE = (name for _, _, name, _ in STATUS_SOURCES)
@@ -81,7 +82,7 @@ def entities(spark: SparkSession, folder: str) -> DataFrame:
 
 def regions(spark: SparkSession, folder: str) -> DataFrame:
     people = placed_customers(spark, folder).groupBy(F.col("customer_region").alias("region_id")).agg(
-        F.count(F.lit(1)).alias("population")
+        (F.count(F.lit(1)) * PEOPLE_PER_CUSTOMER).alias("population")
     )
     names = table(spark, folder, "region").select(
         F.col("r_regionkey").alias("region_id"), F.col("r_name").alias("region_name")

@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from signalstar.operators.sizing import join_measured
 from signalstar.sources.schemas import TABLES
 from signalstar.sources.tables import read_table
 
@@ -106,18 +107,24 @@ class Star:
             rows = rows.where(F.col("region_id").isNull())
         return rows
 
-    def name_entities(self, rows: DataFrame) -> DataFrame:
-        """Swap ``entity_id`` for the name; call it after aggregating."""
-        return rows.join(self.entities.select("entity_id", "entity_name"), "entity_id").drop(
-            "entity_id"
-        )
+    # Names are joined after aggregating, when few rows are left. Where a query keeps
+    # fact rows, ``many`` measures the dimension first: it may be an aggregate, whose
+    # size Catalyst cannot know, and a shuffle by a dimension key would put all rows of
+    # a hot member in one task.
+
+    def name_entities(self, rows: DataFrame, many: bool = False) -> DataFrame:
+        """Swap ``entity_id`` for the name."""
+        return _swap(rows, self.entities.select("entity_id", "entity_name"), "entity_id", many)
 
-    def name_sources(self, rows: DataFrame) -> DataFrame:
-        return rows.join(self.sources.select("source_id", "source_name"), "source_id").drop(
-            "source_id"
+    def name_sources(self, rows: DataFrame, many: bool = False) -> DataFrame:
+        return _swap(rows, self.sources.select("source_id", "source_name"), "source_id", many)
+
+    def name_regions(self, rows: DataFrame, *more: str, many: bool = False) -> DataFrame:
+        return _swap(
+            rows, self.regions.select("region_id", "region_name", *more), "region_id", many
         )
 
-    def name_regions(self, rows: DataFrame, *more: str) -> DataFrame:
-        return rows.join(
-            self.regions.select("region_id", "region_name", *more), "region_id"
-        ).drop("region_id")
+
+def _swap(rows: DataFrame, dim: DataFrame, key: str, many: bool) -> DataFrame:
+    joined = join_measured(rows, dim, key) if many else rows.join(dim, key)
+    return joined.drop(key)

@@ -11,15 +11,18 @@ from signalstar.plans.star import Star
 from signalstar.sources.schemas import DIMENSIONS, FACTS
 from signalstar.sources.tables import reload_table
 
+# Facts are read by date window, so their files are ordered by date.
+SORT_FACTS = {"interest": ["date_id"], "events": ["event_date"]}
+
 
 def load_table(
     name: str, df: DataFrame, folder: str, checked: DataFrame | None = None,
-    partition_by: list[str] | None = None,
+    partition_by: list[str] | None = None, sort_by: list[str] | None = None,
 ) -> int:
     """Check and replace one table; a failed check leaves the old table in place."""
     if checked is not None:
         enforce(checked)
-    return reload_table(df, f"{folder}/{name}", partition_by)
+    return reload_table(df, f"{folder}/{name}", partition_by, sort_by)
 
 
 def load_star(
@@ -43,6 +46,7 @@ def load_star(
     for name in FACTS:
         check = checks.get(name)
         counts[name] = load_table(
-            name, star.table(name), folder, check and check(loaded), partitions.get(name)
+            name, star.table(name), folder, check and check(loaded), partitions.get(name),
+            SORT_FACTS[name],
         )
     return counts

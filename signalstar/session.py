@@ -41,7 +41,7 @@ def shared_folder(spark: SparkSession) -> str:
     shared with all tasks, so a temporary folder serves. On a cluster a missing
     setting is an error rather than a silent write to one machine.
     """
-    folder = spark.conf.get("spark.checkpoint.dir", None)
+    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if folder:
         return folder
     if not spark.sparkContext.master.startswith("local"):

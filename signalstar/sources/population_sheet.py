@@ -32,7 +32,7 @@ def unpivot_years(sheet: DataFrame) -> DataFrame:
     years = [c for c in sheet.columns if c.startswith(YEAR_PREFIX)]
     numbers = sheet.select(
         F.col(CODE_HEADER).alias("code"),
-        *[F.col(f"`{c}`").cast("bigint").alias(c.removeprefix(YEAR_PREFIX)) for c in years],
+        *[F.col(f"`{c}`").try_cast("bigint").alias(c.removeprefix(YEAR_PREFIX)) for c in years],
     )
     wanted = [c.removeprefix(YEAR_PREFIX) for c in years]
     return numbers.unpivot(["code"], wanted, "year", "population")
