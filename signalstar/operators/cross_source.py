@@ -8,7 +8,6 @@ from pyspark.sql import functions as F
 from signalstar.functions.calendar import date_key, key_to_date, week_start
 from signalstar.functions.measures import pair_correlation, rounded
 from signalstar.operators.growth import WINDOW_DAYS
-from signalstar.operators.sizing import join_measured
 from signalstar.plans.star import Star
 
 
@@ -88,8 +87,8 @@ def source_agreement(
         F.lit(None).cast("double").alias("score"),
         F.lit(event_days).alias("days"),
     )
-    # One row per entity, signal and week: everything after this is small, and the
-    # bounds of a signal are read from it instead of from the facts again.
+    # One row per entity, signal and week. The bounds of a signal come from these cells,
+    # whose shuffle both sides of the join below share, instead of from the facts again.
     cells = (
         interest.unionByName(events)
         .groupBy("signal", "days", "entity_id", "date_id")
@@ -115,7 +114,7 @@ def source_agreement(
         return F.when(F.col("signal").startswith("interest:"), mean).otherwise(count)
 
     levels = (
-        join_measured(cells, bounds, "signal")
+        cells.join(bounds, "signal")
         .groupBy("entity_id", "signal")
         .agg(level(in_first).alias("before"), level(in_last).alias("after"))
     )
