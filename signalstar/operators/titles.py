@@ -29,7 +29,9 @@ def top_words(
     exploded = titles.select(
         entity,
         F.col(order).cast("bigint").alias("_order"),
-        F.posexplode(checked).alias("_i", "word"),
+        # Outer: an inner explode would tokenise each text a second time, to filter
+        # empty arrays. The test below drops the missing word of a missing text.
+        F.posexplode_outer(checked).alias("_i", "word"),
     ).where(is_significant(F.col("word"), stopwords))
     counted = exploded.groupBy(entity, "word").agg(
         F.count(F.lit(1)).alias("n"),

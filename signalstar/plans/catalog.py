@@ -39,6 +39,7 @@ from signalstar.plans.order_star import (
     THIRD_SOURCE,
     order_star,
     table,
+    with_customer,
 )
 from signalstar.plans.star import Star
 from signalstar.plans.warehouse import load_star
@@ -160,9 +161,8 @@ def _first_source_weeks(spark: SparkSession, folder: str) -> DataFrame:
 def _urgent_weeks(spark: SparkSession, folder: str) -> DataFrame:
     """Segment weeks whose urgent orders reach the segment's 95th percentile."""
     orders = table(spark, folder, "orders").where(F.col("o_orderpriority") == "1-URGENT")
-    people = derived.placed_customers(spark, folder)
     counts = (
-        orders.join(people, F.col("o_custkey") == F.col("c_custkey"))
+        with_customer(spark, folder, orders, "o_custkey")
         .groupBy("entity_id", week_start(F.to_date("o_orderdate")).alias("date"))
         .agg(F.count(F.lit(1)).alias("n"))
     )

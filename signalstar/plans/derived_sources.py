@@ -11,17 +11,15 @@ from signalstar.functions.cleaning import NEWS_STAMP, PUBLICATION_STAMP
 from signalstar.operators.sizing import measured
 from signalstar.plans.order_star import (
     interest,
-    placed_customers,
     regions,
     segment_name,
     table,
+    with_customer,
 )
 
 
 def placed_events(spark: SparkSession, folder: str) -> DataFrame:
-    events = table(spark, folder, "events")
-    people = placed_customers(spark, folder)
-    return events.join(people, F.col("user_id") == F.col("c_custkey"))
+    return with_customer(spark, folder, table(spark, folder, "events"), "user_id")
 
 
 def news_bodies(spark: SparkSession, folder: str) -> DataFrame:

@@ -59,14 +59,23 @@ def status_source(status: Column) -> Column:
     return picked
 
 
-def placed_customers(spark: SparkSession, folder: str) -> DataFrame:
-    """Customer key, segment and region; nothing else of the customer is read."""
-    customers = table(spark, folder, "customer").select("c_custkey", "c_nationkey", "c_mktsegment")
-    nations = table(spark, folder, "nation").select("n_nationkey", "n_regionkey")
-    return customers.join(nations, customers.c_nationkey == nations.n_nationkey).select(
-        "c_custkey",
-        F.col("c_mktsegment").alias("entity_id"),
-        F.col("n_regionkey").alias("customer_region"),
+def with_customer(spark: SparkSession, folder: str, rows: DataFrame, key: str) -> DataFrame:
+    """``rows`` with the segment and region of the customer in column ``key``.
+
+    Customers and nations are joined one after the other and without a hint: Catalyst
+    broadcasts each while its files are small, which it could not tell of their join,
+    and beyond that shuffles by customer with skew splitting.
+    """
+    customers = table(spark, folder, "customer").select(
+        "c_custkey", "c_nationkey", F.col("c_mktsegment").alias("entity_id")
+    )
+    nations = table(spark, folder, "nation").select(
+        "n_nationkey", F.col("n_regionkey").alias("customer_region")
+    )
+    return (
+        rows.join(customers, F.col(key) == F.col("c_custkey"))
+        .join(nations, F.col("c_nationkey") == F.col("n_nationkey"))
+        .drop("c_custkey", "c_nationkey", "n_nationkey")
     )
 
 
@@ -81,8 +90,12 @@ def entities(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def regions(spark: SparkSession, folder: str) -> DataFrame:
-    people = placed_customers(spark, folder).groupBy(F.col("customer_region").alias("region_id")).agg(
-        (F.count(F.lit(1)) * PEOPLE_PER_CUSTOMER).alias("population")
+    customers = table(spark, folder, "customer").select("c_nationkey")
+    nations = table(spark, folder, "nation").select("n_nationkey", "n_regionkey")
+    people = (
+        customers.join(nations, F.col("c_nationkey") == F.col("n_nationkey"))
+        .groupBy(F.col("n_regionkey").alias("region_id"))
+        .agg((F.count(F.lit(1)) * PEOPLE_PER_CUSTOMER).alias("population"))
     )
     names = table(spark, folder, "region").select(
         F.col("r_regionkey").alias("region_id"), F.col("r_name").alias("region_name")
@@ -104,14 +117,11 @@ def dates(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def interest(spark: SparkSession, folder: str) -> DataFrame:
-    """No hint on the customer join: Catalyst broadcasts the side while its files are
-    small, and shuffles both with skew splitting beyond that."""
     orders = table(spark, folder, "orders").select(
         "o_custkey", "o_orderstatus", "o_orderdate", "o_orderpriority", "o_totalprice"
     )
-    people = placed_customers(spark, folder)
     region = F.when(~F.col("o_orderpriority").isin(*NATIONAL_PRIORITIES), F.col("customer_region"))
-    return orders.join(people, F.col("o_custkey") == F.col("c_custkey")).select(
+    return with_customer(spark, folder, orders, "o_custkey").select(
         date_key(week_start(F.to_date("o_orderdate"))).alias("date_id"),
         "entity_id",
         region.alias("region_id"),
@@ -123,9 +133,8 @@ def interest(spark: SparkSession, folder: str) -> DataFrame:
 def articles(spark: SparkSession, folder: str) -> DataFrame:
     """User events as articles: the user publishes, the event id orders by relevance."""
     events = table(spark, folder, "events").select("event_id", "ts", "user_id", "event_type", "props")
-    people = placed_customers(spark, folder)
     region = F.when(F.col("event_type") != UNPLACED_EVENT, F.col("customer_region"))
-    return events.join(people, F.col("user_id") == F.col("c_custkey")).select(
+    return with_customer(spark, folder, events, "user_id").select(
         "entity_id",
         week_start(F.to_date("ts")).alias("week"),
         region.alias("region_id"),

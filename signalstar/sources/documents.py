@@ -1,4 +1,9 @@
-"""JSON sources. Each reader is a scan that yields ``file_name, body`` plus an
+"""JSON sources.
+
+The expansions use outer explodes and drop the empty row afterwards: for an inner explode
+Catalyst adds a filter on the array, for which every body would be parsed once more.
+
+Each reader is a scan that yields ``file_name, body`` plus an
 expansion of the body, so the same expansion also serves bodies kept in a column."""
 
 from __future__ import annotations
@@ -44,7 +49,8 @@ def news_articles(bodies: DataFrame) -> DataFrame:
     parsed = bodies.select(
         *kept, F.from_json("body", NEWS_FILE).getField("articles").alias("articles")
     )
-    return parsed.select(*kept, F.posexplode("articles").alias("pos", "article")).select(
+    listed = parsed.select(*kept, F.posexplode_outer("articles").alias("pos", "article"))
+    return listed.where(F.col("pos").isNotNull()).select(
         *kept,
         "pos",
         F.col("article.seendate").alias("stamp"),
@@ -60,8 +66,10 @@ def publications(bodies: DataFrame) -> DataFrame:
     listed = bodies.select(*kept, result.alias("result")).select(
         *kept,
         "result",
-        F.posexplode(F.from_json(F.col("result")["uids"], "array<string>")).alias("pos", "uid"),
-    )
+        F.posexplode_outer(F.from_json(F.col("result")["uids"], "array<string>")).alias(
+            "pos", "uid"
+        ),
+    ).where(F.col("pos").isNotNull())
     record = F.from_json(F.col("result")[F.col("uid")], PUBLICATION)
     return listed.select(*kept, "pos", "uid", record.alias("record")).select(
         *kept,
@@ -79,7 +87,8 @@ def pageviews(bodies: DataFrame) -> DataFrame:
     parsed = bodies.select(
         *kept, F.from_json("body", PAGEVIEW_FILE).getField("items").alias("items")
     )
-    return parsed.select(*kept, F.explode("items").alias("item")).select(
+    listed = parsed.select(*kept, F.explode_outer("items").alias("item"))
+    return listed.where(F.col("item").isNotNull()).select(
         *kept,
         pageview_day(F.col("item.timestamp")).alias("date"),
         F.col("item.views").alias("views"),
@@ -89,7 +98,7 @@ def pageviews(bodies: DataFrame) -> DataFrame:
 def populations(bodies: DataFrame, region_names: list[str]) -> DataFrame:
     """The newest figure of every known region: code, name, population, year."""
     parsed = bodies.select(F.from_json("body", POPULATION_FILE).getField("geographies").alias("g"))
-    places = parsed.select(F.explode("g").alias("place")).select("place.*")
+    places = parsed.select(F.explode_outer("g").alias("place")).select("place.*")
     return newest_population(places.where(F.col("name").isin(*region_names)))
 
 
