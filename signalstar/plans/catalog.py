@@ -46,7 +46,7 @@ from signalstar.plans.warehouse import load_star
 from signalstar.session import scratch_path
 from signalstar.sources import documents as docs
 from signalstar.sources.population_sheet import places_from_sheet
-from signalstar.sources.tables import local_table, read_table, save_processed
+from signalstar.sources.tables import local_table, save_processed
 from signalstar.sources.trends import national_rows, regional_rows
 from signalstar.streaming import weekly
 
@@ -320,12 +320,14 @@ def _stored_top_entity(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _streamed_weeks(spark: SparkSession, folder: str) -> DataFrame:
+    """The weeks that a stream over the events has closed."""
     target = scratch_path(spark, "stream")
     schema = table(spark, folder, "events").schema
     stream = weekly.arriving(spark, folder, schema, "events.parquet")
     counts = weekly.weekly_counts(stream, "ts", ["event_type"], "value")
-    weekly.replace_all_weeks(counts, f"{target}/weeks", f"{target}/checkpoint").awaitTermination()
-    return read_table(spark, target, "weeks").withColumn("total", F.round("total", 2))
+    weekly.append_closed_weeks(counts, f"{target}/weeks", f"{target}/mark").awaitTermination()
+    closed = spark.read.schema(counts.schema).parquet(f"{target}/weeks")
+    return closed.withColumn("total", F.round("total", 2))
 
 
 QUERIES: dict[str, Query] = {

@@ -634,6 +634,8 @@ FROM totals JOIN peaks USING (entity_id)"""),
 SELECT table_name, row_count, row_count AS observed_rows FROM ({ROW_COUNTS}
 UNION ALL SELECT 'interest_csv', count(*) FROM f_interest)"""),
     "stream_weekly_events": f"""
-SELECT {week(EVENT_DAY)} AS week, event_type, count(*) AS n_events, round(sum(value), 2) AS total
-FROM events GROUP BY ALL""",
+WITH weekly AS (
+  SELECT {week(EVENT_DAY)} AS week, event_type, count(*) AS n_events, round(sum(value), 2) AS total
+  FROM events GROUP BY 1, 2)
+SELECT * FROM weekly WHERE week <= (SELECT max(week) FROM weekly) - 14""",
 }

@@ -34,7 +34,8 @@ def weekly_counts(
 
 
 def append_closed_weeks(counts: DataFrame, table: str, checkpoint: str) -> StreamingQuery:
-    """Each week is written once, when its watermark has passed."""
+    """Each week is written once, when its watermark has passed; weeks still open stay
+    in the state for the next run. The sink commits a batch whole or not at all."""
     return (
         counts.writeStream.outputMode("append")
         .format("parquet")
@@ -43,18 +44,3 @@ def append_closed_weeks(counts: DataFrame, table: str, checkpoint: str) -> Strea
         .trigger(availableNow=True)
         .start()
     )
-
-
-def replace_all_weeks(counts: DataFrame, table: str, checkpoint: str) -> StreamingQuery:
-    """The table holds all weeks so far, open ones too; a repeated batch writes the
-    same rows."""
-    def write(batch: DataFrame, _number: int) -> None:
-        batch.write.mode("overwrite").parquet(table)
-
-    return (
-        counts.writeStream.outputMode("complete")
-        .foreachBatch(write)
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .start()
-    )
