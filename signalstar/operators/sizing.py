@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from signalstar.sources.tables import local_table
+
 # A side of this many short rows is a few megabytes at most.
 MAX_BROADCAST_ROWS = 20_000
 
@@ -17,10 +19,10 @@ def measured(side: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> tuple[DataF
     rows of it: if it fits, it comes back as a local relation and need not be computed
     again; if not, it comes back untouched for a shuffled join, whose skew AQE splits.
     """
-    rows = side.limit(max_rows + 1).toArrow()
-    if rows.num_rows > max_rows:
+    rows = side.take(max_rows + 1)
+    if len(rows) > max_rows:
         return side, False
-    return side.sparkSession.createDataFrame(rows), True
+    return local_table(side.sparkSession, rows, side.schema), True
 
 
 def join_measured(
