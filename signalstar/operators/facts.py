@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 
 from signalstar.functions.calendar import date_key, week_start
 
-INTEREST_COLUMNS = ["date_id", "entity_id", "region_id", "source_id", "interest_score"]
 EVENT_COLUMNS = [
     "event_date", "related_article_count", "source_count", "category", "title", "region_id",
     "entity_id",

@@ -192,7 +192,7 @@ def total_per_million(star: Star, source: str) -> DataFrame:
     """The same measure ungrouped: the mean over all regional rows of a source per
     million of the summed population."""
     mean = star.interest_of(source, regional=True).agg(F.avg("interest_score").alias("mean"))
-    people = star.regions.agg(F.sum("population").alias("people"))
-    return mean.crossJoin(F.broadcast(people)).select(
-        rounded(per_million(F.col("mean"), F.col("people")), 4).alias("interest_per_million_pop")
+    people = star.regions.agg(F.sum("population")).scalar()
+    return mean.select(
+        rounded(per_million(F.col("mean"), people), 4).alias("interest_per_million_pop")
     )
