@@ -37,16 +37,18 @@ def local_session(cores: int | str = 8, app: str = "signalstar") -> SparkSession
 def shared_folder(spark: SparkSession) -> str:
     """Folder every executor can reach, as named by ``spark.checkpoint.dir``.
 
-    Only a local master may go without the setting: there the driver's own disk is
-    shared with all tasks, so a temporary folder serves. On a cluster a missing
-    setting is an error rather than a silent write to one machine.
+    Where it is unset, a local master gets one folder for the whole session, since there
+    the driver's own disk is shared with all tasks. On a cluster a missing setting is an
+    error rather than a silent write to one machine.
     """
-    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    context = spark.sparkContext
+    folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if folder:
         return folder
-    if not spark.sparkContext.master.startswith("local"):
+    if not context.master.startswith("local["):
         raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
-    return tempfile.mkdtemp(prefix="signalstar-")
+    context.setCheckpointDir(tempfile.mkdtemp(prefix="signalstar-"))
+    return context.getCheckpointDir()
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:

@@ -8,8 +8,7 @@ from oracle_compare import differences, duck
 
 import __spark_entry__ as entry
 
-QUERIES = entry.queries()
-SQL = entry.oracle_sql()
+QUERIES, SQL = entry.QUERIES, entry.SQL
 
 
 @pytest.fixture(scope="module")
