@@ -142,10 +142,10 @@ def fit(
     context = rated.sparkSession.sparkContext
     try:
         for _ in range(ROUNDS):
-            shared = context.broadcast(model)
+            shared = context.broadcast((model.weights, model.thresholds))
 
             def one(frame: pd.DataFrame) -> pd.DataFrame:
-                got = _fit_shard(frame, shared.value, grades)
+                got = _fit_shard(frame, OrdinalModel(*shared.value), grades)
                 return pd.DataFrame(
                     {"rows": [len(frame)], "weights": [got.weights], "thresholds": [got.thresholds]}
                 )
@@ -170,12 +170,13 @@ def graded(
     docs: DataFrame, model: OrdinalModel, text: str = "text", prefix: str = "",
 ) -> DataFrame:
     """``docs`` with score, expected_grade and tails (P(grade >= k), k from 1)."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    shared = docs.sparkSession.sparkContext.broadcast((model.weights, model.thresholds))
 
     @F.pandas_udf("struct<score:double,expected_grade:double,tails:array<double>>")
     def judge(texts: pd.Series) -> pd.DataFrame:
-        scores = _scores(pa.array(texts, pa.large_string()), shared.value.weights)
-        tails = shared.value.tails(scores)
+        model = OrdinalModel(*shared.value)
+        scores = _scores(pa.array(texts, pa.large_string()), model.weights)
+        tails = model.tails(scores)
         return pd.DataFrame(
             {"score": scores, "expected_grade": tails.sum(axis=1), "tails": list(tails)}
         )

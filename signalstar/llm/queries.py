@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from signalstar.llm import content_sort, mixing, ordinal, packing, url_trees
+from signalstar.llm import content_sort, mixing, ordinal, packing, pii, url_trees
 from signalstar.llm.common import read
 
 MIX_WEIGHTS = {
@@ -34,6 +34,10 @@ def op2_content_sort(spark: SparkSession, folder: str) -> DataFrame:
     return content_sort.duplicate_groups(read(spark, folder, "documents"))
 
 
+def op3_disclosure(spark: SparkSession, folder: str) -> DataFrame:
+    return pii.personal_data(read(spark, folder, "documents")).drop("clean_text")
+
+
 def op5_vector_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack_documents(read(spark, folder, "documents"))
 
@@ -49,6 +53,7 @@ def op9_url_trees(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mixing": op1_mixing,
     "op2_content_sort": op2_content_sort,
+    "op3_disclosure": op3_disclosure,
     "op5_vector_packing": op5_vector_packing,
     "op6_ordinal_quality": op6_ordinal_quality,
     "op9_url_trees": op9_url_trees,
