@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from signalstar.llm import content_sort, mixing, ordinal, packing, pii, url_trees
+from signalstar.llm import content_sort, lattice, mixing, ordinal, packing, pii, url_trees
 from signalstar.llm.common import read
 
 MIX_WEIGHTS = {
@@ -50,12 +50,17 @@ def op9_url_trees(spark: SparkSession, folder: str) -> DataFrame:
     return url_trees.url_verdicts(read(spark, folder, "pages"))
 
 
+def op10_lattice(spark: SparkSession, folder: str) -> DataFrame:
+    return lattice.near_vectors(read(spark, folder, "embeddings"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mixing": op1_mixing,
     "op2_content_sort": op2_content_sort,
     "op3_disclosure": op3_disclosure,
     "op5_vector_packing": op5_vector_packing,
     "op6_ordinal_quality": op6_ordinal_quality,
+    "op10_lattice": op10_lattice,
     "op9_url_trees": op9_url_trees,
 }
 
