@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from signalstar.llm import content_sort, lattice, mixing, ordinal, packing, pii, url_trees
+from signalstar.llm import chosen_path, content_sort, lattice, mixing, ordinal, packing, pii, url_trees
 from signalstar.llm.common import read
 
 MIX_WEIGHTS = {
@@ -46,6 +46,10 @@ def op6_ordinal_quality(spark: SparkSession, folder: str) -> DataFrame:
     return ordinal.quality_grades(read(spark, folder, "documents"), read(spark, folder, "labels"))
 
 
+def op8_chosen_path(spark: SparkSession, folder: str) -> DataFrame:
+    return chosen_path.near_duplicates(read(spark, folder, "documents"))
+
+
 def op9_url_trees(spark: SparkSession, folder: str) -> DataFrame:
     return url_trees.url_verdicts(read(spark, folder, "pages"))
 
@@ -60,6 +64,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_disclosure": op3_disclosure,
     "op5_vector_packing": op5_vector_packing,
     "op6_ordinal_quality": op6_ordinal_quality,
+    "op8_chosen_path": op8_chosen_path,
     "op10_lattice": op10_lattice,
     "op9_url_trees": op9_url_trees,
 }
