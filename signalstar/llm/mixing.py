@@ -164,3 +164,14 @@ def mixed(
     return rows.select(
         "doc_id", *names, "tokens", "leaf_budget", F.inline(taken)
     ).select("doc_id", *names, "epoch", "tokens", "take_tokens", "leaf_budget")
+
+
+def kept_documents(
+    docs: DataFrame, levels: Mapping[str, Column], weights: Mapping[str, Mapping[str, int]],
+    budget_percent: int = 50, seed: int = 0, id: str = "doc_id", text: str = "text",
+) -> DataFrame:
+    """The rows of ``docs`` that one epoch takes, whole, with all their columns."""
+    taken = mixed(docs, levels, weights, budget_percent, 1, seed, id, text).select(
+        F.col("doc_id").alias("__taken")
+    )
+    return docs.join(taken, F.col(id).eqNullSafe(F.col("__taken")), "left_semi")

@@ -7,7 +7,18 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from signalstar.llm import chosen_path, content_sort, lattice, mixing, ordinal, packing, pii, url_trees
+from signalstar.llm import (
+    chosen_path,
+    content_sort,
+    lattice,
+    licenses,
+    mixing,
+    ordinal,
+    packing,
+    pii,
+    url_trees,
+    wrappers,
+)
 from signalstar.llm.common import read
 
 MIX_WEIGHTS = {
@@ -38,6 +49,10 @@ def op3_disclosure(spark: SparkSession, folder: str) -> DataFrame:
     return pii.personal_data(read(spark, folder, "documents")).drop("clean_text")
 
 
+def op4_wrappers(spark: SparkSession, folder: str) -> DataFrame:
+    return wrappers.main_text(read(spark, folder, "pages"))
+
+
 def op5_vector_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack_documents(read(spark, folder, "documents"))
 
@@ -46,6 +61,10 @@ def op6_ordinal_quality(spark: SparkSession, folder: str) -> DataFrame:
     return ordinal.quality_grades(read(spark, folder, "documents"), read(spark, folder, "labels"))
 
 
+def op7_compression(spark: SparkSession, folder: str) -> DataFrame:
+    return licenses.license_notices(read(spark, folder, "documents"))
+
+
 def op8_chosen_path(spark: SparkSession, folder: str) -> DataFrame:
     return chosen_path.near_duplicates(read(spark, folder, "documents"))
 
@@ -62,8 +81,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mixing": op1_mixing,
     "op2_content_sort": op2_content_sort,
     "op3_disclosure": op3_disclosure,
+    "op4_wrappers": op4_wrappers,
     "op5_vector_packing": op5_vector_packing,
     "op6_ordinal_quality": op6_ordinal_quality,
+    "op7_compression": op7_compression,
     "op8_chosen_path": op8_chosen_path,
     "op10_lattice": op10_lattice,
     "op9_url_trees": op9_url_trees,
