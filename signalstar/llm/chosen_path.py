@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from signalstar.llm.blocks import across, block_pairs, groups, local_roots
-from signalstar.llm.common import body, stored
+from signalstar.llm.common import body, chunks, stored
 from signalstar.llm.components import components
 from signalstar.llm.shingles import SKETCH, mix, shingle_sets, sketch
 
@@ -65,9 +65,7 @@ def _node(items: np.ndarray) -> int:
 
 
 def _featured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        if batch.num_rows == 0:
-            continue
+    for batch in (some for whole in batches for some in chunks(whole, "text")):
         sets = shingle_sets(batch.column("text"))
         yield pa.RecordBatch.from_arrays(
             [
@@ -155,9 +153,7 @@ def _matched(loose: float):
 
 
 def _shingled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        if batch.num_rows == 0:
-            continue
+    for batch in (some for whole in batches for some in chunks(whole, "text")):
         sets = shingle_sets(batch.column("text"))
         own = np.array([_node(s) if len(s) else 0 for s in sets])
         right = own == batch.column("node").to_numpy()  # a repeated id may name another text

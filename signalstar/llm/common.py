@@ -2,6 +2,11 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -26,3 +31,16 @@ def stored(df: DataFrame, name: str) -> DataFrame:
 def body(text: str) -> Column:
     """The text, null as empty."""
     return F.coalesce(F.col(text).cast("string"), F.lit(""))
+
+
+CHUNK = 8 << 20  # bytes of text that a task works on at once
+
+
+def chunks(batch: pa.RecordBatch, text: str, limit: int = CHUNK) -> Iterator[pa.RecordBatch]:
+    """A batch in slices of about ``limit`` bytes of text; a longer text is a slice of its own."""
+    sizes = pc.binary_length(batch.column(text)).fill_null(0).to_numpy(zero_copy_only=False)
+    turn = np.cumsum(sizes, dtype=np.int64) // limit
+    starts = [0, *(np.flatnonzero(np.diff(turn)) + 1), batch.num_rows]
+    for a, b in zip(starts[:-1], starts[1:]):
+        if b > a:
+            yield batch.slice(a, b - a)

@@ -12,7 +12,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from signalstar.llm.common import body
+from signalstar.llm.common import body, chunks
 
 BITS = 16  # hashed weights: 2 ** BITS
 TRAIN_ROWS = 20_000  # expected most labelled documents that the model is fitted on
@@ -32,20 +32,23 @@ class OrdinalModel:
         return 1 / (1 + np.exp(-(scores[:, None] - self.thresholds[None, :])))
 
 
-def _word_features(word: str) -> list[int]:
-    """Hashed features of a word: itself, its shape, its ending, and its ending's shape."""
-    shape = "".join(
-        "A" if c.isupper() else "a" if c.isalpha() else "0" if c.isdigit() else c for c in word[:24]
-    )
-    kinds = (f"w{word}", f"s{shape}", f"e{word[-3:]}", f"t{shape[-3:]}")
-    return [xxhash.xxh64_intdigest(k) & ((1 << BITS) - 1) for k in kinds]
+def _word_features(words: list[str]) -> np.ndarray:
+    """Hashed features by word: itself, its shape, its ending, and its ending's shape."""
+    table = np.empty((len(words), KINDS), np.uint16)
+    for row, word in enumerate(words):
+        shape = "".join(
+            "A" if c.isupper() else "a" if c.isalpha() else "0" if c.isdigit() else c for c in word[:24]
+        )
+        for kind, feature in enumerate((f"w{word}", f"s{shape}", f"e{word[-3:]}", f"t{shape[-3:]}")):
+            table[row, kind] = xxhash.xxh64_intdigest(feature) & ((1 << BITS) - 1)
+    return table
 
 
 def _featured(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """For a batch of texts: word codes in order, where each text begins, features by code.
+    """For some texts: word codes in order, where each text begins, features by code.
 
-    Each distinct word of the batch is hashed once. The last code stands for a word that
-    repeats the one before it; it is put in its place.
+    Each distinct word is hashed once. The last code stands for a word that repeats the one
+    before it; it is put in its place.
     """
     lists = pc.utf8_split_whitespace(pc.utf8_trim_whitespace(texts.cast(pa.large_string())))
     if isinstance(lists, pa.ChunkedArray):
@@ -53,17 +56,15 @@ def _featured(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     offsets = lists.offsets.to_numpy().astype(np.int64)
     coded = lists.values.slice(offsets[0], offsets[-1] - offsets[0]).dictionary_encode()
     offsets = offsets - offsets[0]
-    codes = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
-    table = np.array(
-        [_word_features(w) for w in coded.dictionary.to_pylist()]
-        + [[xxhash.xxh64_intdigest(f"again{i}") & ((1 << BITS) - 1) for i in range(KINDS)]],
-        np.int64,
-    ).reshape(-1, KINDS)
-    again = np.zeros(len(codes), bool)
-    again[1:] = codes[1:] == codes[:-1]
-    starts = offsets[:-1][np.diff(offsets) > 0]
-    again[starts] = False
-    codes[again] = len(table) - 1
+    codes = coded.indices.to_numpy(zero_copy_only=False).astype(np.int32)
+    again = [xxhash.xxh64_intdigest(f"again{k}") & ((1 << BITS) - 1) for k in range(KINDS)]
+    table = np.concatenate([
+        _word_features(coded.dictionary.to_pylist()), np.array([again], np.uint16)
+    ])
+    repeats = np.zeros(len(codes), bool)
+    repeats[1:] = codes[1:] == codes[:-1]
+    repeats[offsets[:-1][np.diff(offsets) > 0]] = False
+    codes[repeats] = len(table) - 1
     return codes, offsets, table
 
 
@@ -74,23 +75,29 @@ def _means(values: np.ndarray, offsets: np.ndarray) -> np.ndarray:
 
 
 def _scores(texts: pa.Array, weights: np.ndarray) -> np.ndarray:
-    codes, offsets, table = _featured(texts)
-    return _means(weights[table].sum(axis=1)[codes], offsets)
+    out = [np.zeros(0)]
+    for some in chunks(pa.RecordBatch.from_arrays([texts], names=["text"]), "text"):
+        codes, offsets, table = _featured(some.column("text"))
+        out.append(_means(weights[table].sum(axis=1)[codes], offsets))
+    return np.concatenate(out)
 
 
 def _fit_shard(frame: pd.DataFrame, start: OrdinalModel, grades: int) -> OrdinalModel:
     """Adagrad over the ordinal likelihood on the rows of one shard."""
     frame = frame.sort_values(["draw", "grade", "text"], kind="stable")
-    codes, offsets, table = _featured(pa.array(frame["text"], pa.large_string()))
+    texts = pa.RecordBatch.from_arrays([pa.array(frame["text"], pa.large_string())], names=["text"])
+    hashed = []
+    for some in chunks(texts, "text"):
+        codes, offsets, table = _featured(some.column("text"))
+        hashed += [table[codes[a:b]] for a, b in zip(offsets[:-1], offsets[1:])]
     grade = frame["grade"].to_numpy(np.int64)
     weights, theta = start.weights.copy(), start.thresholds.copy()
     step_w, step_t = np.full(len(weights), 1e-8), np.full(len(theta), 1e-8)
     order = np.random.default_rng(0)
     for _ in range(EPOCHS):
         for some in np.array_split(order.permutation(len(grade)), -(-len(grade) // BATCH)):
-            spans = [codes[offsets[i] : offsets[i + 1]] for i in some]
-            lengths = np.array([len(s) for s in spans])
-            words = table[np.concatenate(spans)] if lengths.sum() else np.zeros((0, KINDS), int)
+            lengths = np.array([len(hashed[i]) for i in some])
+            words = np.concatenate([hashed[i] for i in some])
             scores = _means(weights[words].sum(axis=1), np.concatenate([[0], np.cumsum(lengths)]))
             tail = 1 / (1 + np.exp(-(scores[:, None] - theta[None, :])))
             # Gradient of the log likelihood of P(y = k) = tail[k-1] - tail[k].
