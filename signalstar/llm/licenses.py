@@ -124,10 +124,11 @@ def _aligned(template: list[str], words: list[str]) -> tuple[int, int, int]:
     low = max(0, longest.b - longest.a - slack)
     high = min(len(words), longest.b + len(template) - longest.a + slack)
     some = words[low:high]
-    same = [b for b in difflib.SequenceMatcher(None, template, some, autojunk=False).get_matching_blocks() if b.size]
+    same = difflib.SequenceMatcher(None, template, some, autojunk=False).get_matching_blocks()[:-1]
     first, last = low + same[0].b, low + same[-1].b + same[-1].size
-    matched = sum(b.size for b in same)
-    return (len(template) - matched) + (last - first - matched), first, last
+    edits = difflib.SequenceMatcher(None, template, words[first:last], autojunk=False).get_opcodes()
+    differences = sum(max(i2 - i1, j2 - j1) for op, i1, i2, j1, j2 in edits if op != "equal")
+    return differences, first, last
 
 
 def notices(text: str, made: list[_Template], plain: zstandard.ZstdCompressor) -> list[tuple]:

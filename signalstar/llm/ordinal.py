@@ -17,7 +17,7 @@ from signalstar.llm.common import body, chunks
 BITS = 16  # hashed weights: 2 ** BITS
 TRAIN_ROWS = 20_000  # expected most labelled documents that the model is fitted on
 SHARDS = 8  # parts of that sample, each fitted in its own task and averaged
-ROUNDS, EPOCHS, BATCH, RATE, DECAY = 2, 4, 64, 0.5, 1e-6
+ROUNDS, EPOCHS, BATCH, RATE, DECAY = 3, 6, 32, 0.5, 1e-6
 KINDS = 4  # features of one word
 
 
