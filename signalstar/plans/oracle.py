@@ -3,6 +3,8 @@ Spark plans (joins and range conditions where the plans use windows)."""
 
 from __future__ import annotations
 
+from signalstar.functions.text import STOPWORDS
+
 
 def week(day: str) -> str:
     return f"({day} - CAST(dayofweek({day}) AS INTEGER))"
@@ -82,29 +84,44 @@ def on_star(sql: str) -> str:
     return STAR + sql
 
 
-def windows(rows: str, days: int = 90) -> str:
-    """A further CTE: ``rows`` tagged with the period they fall in."""
+def growth(rows: str, keys: str = "", label: str = "growth_pct", bounds: str | None = None) -> str:
+    """Mean score of the last against the first 90 days, each period aggregated by itself."""
+    bounds = bounds or rows
+    first = f"date - (SELECT min(date) FROM {bounds}) < 90"
+    last = f"(SELECT max(date) FROM {bounds}) - date < 90"
+    by = f"GROUP BY {keys}" if keys else ""
+    names = f"{keys}, " if keys else ""
+    joined = f"early FULL JOIN late USING ({keys})" if keys else "early, late"
     return f"""
-, bounds AS (SELECT min(date) AS lo, max(date) AS hi FROM {rows}),
-tagged AS (
-  SELECT r.*, CASE WHEN r.date < lo + {days} THEN 'baseline'
-                   WHEN r.date > hi - {days} THEN 'current' END AS period
-  FROM {rows} r CROSS JOIN bounds),
-means AS (SELECT * FROM tagged WHERE period IS NOT NULL)
-"""
+SELECT {names}{rnd("before_mean")} AS baseline_avg, {rnd("now_mean")} AS current_avg,
+       {rnd(grow("now_mean", "before_mean"))} AS {label}
+FROM (WITH early AS (SELECT {names}avg(interest_score) AS before_mean FROM {rows} WHERE {first} {by}),
+           late AS (SELECT {names}avg(interest_score) AS now_mean FROM {rows}
+                    WHERE {last} AND NOT {first} {by})
+      SELECT * FROM {joined})"""
+
 
+def year_over_year(whole: str) -> str:
+    """The newest year's mean after the one before it, if that is the calendar year before."""
+    return f"""
+, yearly AS (
+  SELECT year(date) AS y, avg(interest_score) AS m FROM first_source GROUP BY y HAVING {whole}),
+steps AS (
+  SELECT y, m, CASE WHEN lag(y) OVER in_order = y - 1 THEN lag(m) OVER in_order END AS earlier
+  FROM yearly WINDOW in_order AS (ORDER BY y))
+SELECT CAST(max(y) AS INTEGER) AS current_year, CAST(max(y) - 1 AS INTEGER) AS prior_year,
+       {rnd("arg_max(m, y)")} AS current_year_avg,
+       {rnd("first(earlier ORDER BY y DESC)")} AS prior_year_avg,
+       {rnd(grow("arg_max(m, y)", "first(earlier ORDER BY y DESC)"))} AS yoy_growth_pct
+FROM steps"""
 
-BASE = "avg(interest_score) FILTER (WHERE period = 'baseline')"
-CUR = "avg(interest_score) FILTER (WHERE period = 'current')"
-GROWTH = f"{rnd(BASE)} AS baseline_avg, {rnd(CUR)} AS current_avg, {rnd(grow(CUR, BASE))}"
 
 REGIONAL = """
 , regional AS (
   SELECT f.*, region_name, population FROM f_interest f JOIN d_regions USING (region_id))
 """
 
-ENTITY_GROWTH = windows("first_source") + f"""
-SELECT entity_name, {GROWTH} AS growth_pct FROM means GROUP BY entity_name"""
+ENTITY_GROWTH = growth("first_source", "entity_name")
 
 TABLES = ["entities", "regions", "sources", "dates", "interest", "events"]
 CTES = {
@@ -323,11 +340,6 @@ SELECT event_date, CAST({times} * count(*) AS BIGINT) AS related_article_count,
 FROM event_rows {where} GROUP BY entity_id, event_date"""
 
 
-STOPWORDS = """the and for with from into after before study studies review case effect effects
-using based analysis clinical patient patients human humans trial results role novel new use used
-associated among between following report reports systematic meta literature current potential
-future randomized controlled double blind placebo group groups data model models"""
-
 TOP_WORDS = f"""
 WITH pieces AS (
   SELECT source, doc_id, regexp_split_to_array(lower(text), '[^A-Za-z]+') AS a FROM documents),
@@ -336,7 +348,7 @@ words AS (
 counted AS (
   SELECT source, word, count(*) AS n, min(doc_id * 100000000 + i) AS seen
   FROM words
-  WHERE length(word) >= 4 AND word NOT IN ({", ".join(f"'{w}'" for w in STOPWORDS.split())})
+  WHERE length(word) >= 4 AND word NOT IN ({", ".join(f"'{w}'" for w in STOPWORDS)})
     AND word <> regexp_replace(source, '[^a-z]', '', 'g')
   GROUP BY source, word),
 ranked AS (
@@ -425,19 +437,11 @@ FROM named GROUP BY date, entity_name, source_name"""),
     "bi_trend_line": on_star(f"""
 SELECT date, entity_name, source_name, {rnd("avg(interest_score)")} AS avg_interest_score
 FROM first_source GROUP BY date, entity_name, source_name"""),
-    "growth_entity_source": on_star(f"""
-, bounds AS (SELECT min(date) AS lo, max(date) AS hi FROM d_dates),
-means AS (
-  SELECT n.*, CASE WHEN n.date < lo + 90 THEN 'baseline' ELSE 'current' END AS period
-  FROM named n CROSS JOIN bounds WHERE n.date < lo + 90 OR n.date > hi - 90)
-SELECT entity_name, source_name, {GROWTH} AS growth_pct FROM means
-GROUP BY entity_name, source_name"""),
+    "growth_entity_source": on_star(growth("named", "entity_name, source_name", bounds="d_dates")),
     "regional_detail": on_star(REGIONAL + """
 SELECT region_name, entity_name, date, interest_score
 FROM regional JOIN d_entities USING (entity_id)"""),
-    "regional_growth": on_star(REGIONAL + windows("regional") + f"""
-SELECT region_name, population, {GROWTH} AS growth_pct FROM means
-GROUP BY region_name, population"""),
+    "regional_growth": on_star(REGIONAL + growth("regional", "region_name, population")),
     "regional_per_million": on_star(REGIONAL + f"""
 SELECT region_name, population, {rnd("avg(interest_score)")} AS raw_avg_interest,
        {rnd("avg(interest_score) / (population / 1000000.0)", 4)} AS interest_per_million_pop
@@ -468,13 +472,10 @@ FROM f_events GROUP BY ALL"""),
 SELECT entity_name, count(*) AS n_events FROM f_events JOIN d_entities USING (entity_id)
 GROUP BY entity_name"""),
     "events_high_attention": on_star("""
-, limits AS (
-  SELECT category, quantile_cont(related_article_count, 0.9) AS a,
-         quantile_cont(source_count, 0.9) AS s
-  FROM f_events GROUP BY category)
 SELECT event_date, entity_name, category, title, related_article_count, source_count
-FROM f_events JOIN limits USING (category) JOIN d_entities USING (entity_id)
-WHERE related_article_count >= a OR source_count >= s"""),
+FROM f_events JOIN d_entities USING (entity_id)
+QUALIFY related_article_count >= quantile_cont(related_article_count, 0.9) OVER (PARTITION BY category)
+     OR source_count >= quantile_cont(source_count, 0.9) OVER (PARTITION BY category)"""),
     "events_quarter_pivot": on_star(f"""
 SELECT CAST(date_trunc('quarter', event_date) + INTERVAL 3 MONTH - INTERVAL 1 DAY AS DATE)
          AS quarter_end,
@@ -493,44 +494,26 @@ FROM f_events GROUP BY ALL"""),
 , ranked AS (SELECT *, rank() OVER (ORDER BY related_article_count DESC) AS rank FROM f_events)
 SELECT event_date, entity_name, category, title, related_article_count, source_count, rank
 FROM ranked JOIN d_entities USING (entity_id) WHERE rank <= 15"""),
-    "kpi_overall_growth": on_star(
-        windows("first_source") + f"SELECT {GROWTH} AS overall_growth_pct FROM means"
-    ),
+    "kpi_overall_growth": on_star(growth("first_source", label="overall_growth_pct")),
     "kpi_overall_growth_national": on_star(
         ", country AS (SELECT * FROM first_source WHERE region_id IS NULL)"
-        + windows("country")
-        + f"SELECT {GROWTH} AS overall_growth_pct FROM means"
+        + growth("country", label="overall_growth_pct")
     ),
-    "kpi_yoy_growth": on_star(f"""
-, yearly AS (
-  SELECT year(date) AS y, avg(interest_score) AS m FROM first_source GROUP BY y),
-latest AS (SELECT max(y) AS y FROM yearly)
-SELECT CAST(l.y AS INTEGER) AS current_year, CAST(l.y - 1 AS INTEGER) AS prior_year,
-       {rnd("c.m")} AS current_year_avg, {rnd("p.m")} AS prior_year_avg,
-       {rnd(grow("c.m", "p.m"))} AS yoy_growth_pct
-FROM latest l LEFT JOIN yearly c ON c.y = l.y LEFT JOIN yearly p ON p.y = l.y - 1"""),
-    "kpi_yoy_growth_complete": on_star(f"""
-, yearly AS (
-  SELECT year(date) AS y, avg(interest_score) AS m FROM first_source GROUP BY y
-  HAVING dayofyear(min(date)) <= 7 AND strftime(max(date), '%m%d') >= '1225'),
-latest AS (SELECT max(y) AS y FROM yearly)
-SELECT CAST(l.y AS INTEGER) AS current_year, CAST(l.y - 1 AS INTEGER) AS prior_year,
-       {rnd("c.m")} AS current_year_avg, {rnd("p.m")} AS prior_year_avg,
-       {rnd(grow("c.m", "p.m"))} AS yoy_growth_pct
-FROM latest l LEFT JOIN yearly c ON c.y = l.y LEFT JOIN yearly p ON p.y = l.y - 1"""),
+    "kpi_yoy_growth": on_star(year_over_year("true")),
+    "kpi_yoy_growth_complete": on_star(year_over_year(
+        "dayofyear(min(date)) <= 7 AND strftime(max(date), '%m%d') >= '1225'"
+    )),
     "kpi_top_entity": on_star(ENTITY_GROWTH),
     "kpi_top_entity_stored": on_star(ENTITY_GROWTH),
-    "kpi_top_region": on_star(REGIONAL + windows("regional") + f"""
-SELECT region_name, {GROWTH} AS growth_pct FROM means GROUP BY region_name"""),
+    "kpi_top_region": on_star(REGIONAL + growth("regional", "region_name")),
     "kpi_largest_spike": on_star(f"""
-, per_entity AS (
-  SELECT entity_name, date, interest_score,
-         avg(interest_score) OVER (PARTITION BY entity_name) AS expected,
-         row_number() OVER (PARTITION BY entity_name ORDER BY interest_score DESC, date DESC) AS rn
-  FROM first_source)
-SELECT entity_name, date AS peak_date, interest_score AS peak_interest,
-       {rnd("expected")} AS expected_interest, {rnd(grow("interest_score", "expected"))} AS spike_pct
-FROM per_entity WHERE rn = 1"""),
+SELECT entity_name, max(date) FILTER (WHERE interest_score = top) AS peak_date,
+       max(top) AS peak_interest, {rnd("avg(interest_score)")} AS expected_interest,
+       {rnd(grow("max(top)", "avg(interest_score)"))} AS spike_pct
+FROM first_source
+JOIN (SELECT entity_name, max(interest_score) AS top FROM first_source GROUP BY entity_name)
+  USING (entity_name)
+GROUP BY entity_name"""),
     "kpi_event_lift": on_star(LIFT + f"""
 SELECT entity_id, event_date, control_week, {rnd("pre")} AS pre, {rnd("post")} AS post,
        {rnd("lift")} AS search_lift_pct, {rnd("base")} AS baseline_lift_pct,
@@ -561,18 +544,12 @@ FROM ranked WHERE peak_rank = 1"""),
 SELECT 'all' AS scope, min(date) AS min_date, max(date) AS max_date FROM first_source
 UNION ALL
 SELECT 'regional', min(date), max(date) FROM first_source WHERE region_id IS NOT NULL"""),
-    "bi_top_growing": on_star(
-        REGIONAL
-        + windows("first_source")
-        + windows("regional").replace("bounds", "region_bounds").replace(
-            "tagged", "region_tagged").replace("means", "region_means")
-        + f"""
-(SELECT 'entity' AS kind, entity_name AS name, {rnd(grow(CUR, BASE))} AS growth_pct
- FROM means GROUP BY entity_name ORDER BY growth_pct DESC NULLS LAST, name LIMIT 1)
+    "bi_top_growing": on_star(REGIONAL + f"""
+(SELECT 'entity' AS kind, entity_name AS name, growth_pct
+ FROM ({growth("first_source", "entity_name")}) ORDER BY growth_pct DESC NULLS LAST, name LIMIT 1)
 UNION ALL
-(SELECT 'region', region_name AS name, {rnd(grow(CUR, BASE))} AS growth_pct
- FROM region_means GROUP BY region_name ORDER BY growth_pct DESC NULLS LAST, name LIMIT 1)"""
-    ),
+(SELECT 'region', region_name AS name, growth_pct
+ FROM ({growth("regional", "region_name")}) ORDER BY growth_pct DESC NULLS LAST, name LIMIT 1)"""),
     "cal_weeks": on_star("SELECT * FROM d_dates"),
     "cal_keys": f"""
 WITH days AS (SELECT DISTINCT {ORDER_DAY} AS day FROM orders)
