@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from signalstar.functions.measures import rounded, share_pct
+from signalstar.operators.percentiles import group_percentiles
 from signalstar.plans.star import Star
 
 
@@ -161,14 +162,17 @@ def describe_columns(df: DataFrame, columns: list[str] | None = None) -> DataFra
 
 
 def describe_numbers(df: DataFrame, keys: list[str], value: str) -> DataFrame:
-    """Count, mean, deviation and extremes of a number per group."""
-    return df.groupBy(*keys).agg(
-        F.count(value).alias("n_values"),
-        rounded(F.avg(value), 4).alias("mean"),
-        rounded(F.stddev(value), 4).alias("std"),
-        F.min(value).cast("double").alias("min"),
-        F.max(value).cast("double").alias("max"),
-    )
+    """Count, mean, deviation, extremes and quartiles of a number per group."""
+    stats = {
+        "n_values": F.count(value),
+        "mean": rounded(F.avg(value), 4),
+        "std": rounded(F.stddev(value), 4),
+        "min": F.min(value).cast("double"),
+        "max": F.max(value).cast("double"),
+    }
+    quartiles = {"p25": 0.25, "p50": 0.5, "p75": 0.75}
+    found = group_percentiles(df, keys, value, quartiles, stats=stats)
+    return found.withColumns({q: rounded(F.col(q), 4) for q in quartiles})
 
 
 def numeric_columns(df: DataFrame) -> list[str]:

@@ -30,18 +30,16 @@ def score_distribution(
     star: Star, approximate: bool = False, accuracy: int = ACCURACY
 ) -> DataFrame:
     """Count, quartiles, mean, extremes and deviation per source."""
-    stats = star.interest.groupBy("source_id").agg(
-        F.count(F.lit(1)).alias("n"),
-        F.min("interest_score").alias("min_score"),
-        rounded(F.avg("interest_score")).alias("mean_score"),
-        F.max("interest_score").alias("max_score"),
-        rounded(F.stddev("interest_score")).alias("stddev_score"),
-    )
-    quartiles = group_percentiles(
-        star.interest, ["source_id"], "interest_score", QUARTILES, accuracy, approximate
-    ).select("source_id", *[rounded(F.col(q)).alias(q) for q in QUARTILES])
-    # Left: a source whose scores are all missing still has its count.
-    both = stats.join(quartiles, "source_id", "left")
+    stats = {
+        "n": F.count(F.lit(1)),
+        "min_score": F.min("interest_score"),
+        "mean_score": rounded(F.avg("interest_score")),
+        "max_score": F.max("interest_score"),
+        "stddev_score": rounded(F.stddev("interest_score")),
+    }
+    both = group_percentiles(
+        star.interest, ["source_id"], "interest_score", QUARTILES, accuracy, approximate, stats
+    ).withColumns({q: rounded(F.col(q)) for q in QUARTILES})
     return star.name_sources(both).select(
         "source_name", "n", "min_score", "p25", "median", "mean_score", "p75", "max_score",
         "stddev_score",

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from signalstar.functions.calendar import quarter_end, quarter_label
 from signalstar.operators.percentiles import group_percentiles
 from signalstar.operators.ranking import top_ranked
-from signalstar.operators.sizing import join_measured
+from signalstar.operators.sizing import join_measured, measured
 from signalstar.plans.star import Star
 
 
@@ -36,13 +36,14 @@ def by_quarter_label(star: Star) -> DataFrame:
     )
 
 
-def quarter_pivot(star: Star, categories: list[str]) -> DataFrame:
-    """Quarter ends by listed category; a category without events stays NULL."""
-    return (
-        star.events.groupBy(quarter_end(F.col("event_date")).alias("quarter_end"))
-        .pivot("category", categories)
-        .agg(F.count(F.lit(1)))
-    )
+def quarter_pivot(star: Star, categories: list[str] | None = None) -> DataFrame:
+    """Quarter ends by category, NULL where it has no events. The columns are the
+    categories present, or those listed."""
+    counts = star.events.groupBy(
+        quarter_end(F.col("event_date")).alias("quarter_end"), "category"
+    ).agg(F.count(F.lit(1)).alias("n"))
+    counts, _ = measured(counts)
+    return counts.groupBy("quarter_end").pivot("category", categories).agg(F.sum("n"))
 
 
 def by_entity(star: Star) -> DataFrame:

@@ -42,9 +42,11 @@ def own_peak_index(weekly: DataFrame) -> DataFrame:
 
 
 def in_window(df: DataFrame, column: str, first, last) -> DataFrame:
-    """Rows whose week lies in the closed range. Publications are floored to the week
-    before this filter; news rows are checked instead of filtered."""
-    return df.where(F.col(column).between(F.lit(first), F.lit(last)))
+    """Rows whose week lies in the closed range, or is missing, which the checks report.
+    Publications are floored to the week before this filter; news rows are checked instead
+    of filtered."""
+    week = F.col(column)
+    return df.where(week.isNull() | week.between(F.lit(first), F.lit(last)))
 
 
 def event_rollup(articles: DataFrame) -> DataFrame:
@@ -52,9 +54,10 @@ def event_rollup(articles: DataFrame) -> DataFrame:
     publishers, and the title of the most relevant one that has a title.
 
     Wants ``entity_id, week, region_id, category, publisher, title, pos``, where a
-    smaller ``pos`` is more relevant.
+    smaller ``pos`` is more relevant. Among equal positions, as where two files name one
+    entity, the title that sorts first is taken.
     """
-    titled = F.when(F.col("title").isNotNull(), F.col("pos"))
+    titled = F.when(F.col("title").isNotNull(), F.struct("pos", "title"))
     grouped = articles.groupBy("entity_id", F.col("week").alias("event_date"), "region_id",
                                "category").agg(
         F.count(F.lit(1)).alias("related_article_count"),

@@ -7,11 +7,10 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from signalstar.operators.sizing import join_measured
+from signalstar.operators.sizing import measured
 
-
-# Relative precision of the quantile sketch, and the group size up to which a group is
-# simply ordered by one task.
+# Relative precision of the quantile sketch. A group that the sketch holds whole is put in
+# order whole; of a larger one only a small bracket around each rank is.
 ACCURACY = 100_000
 
 
@@ -22,101 +21,98 @@ def group_percentiles(
     probs: dict[str, float],
     accuracy: int = ACCURACY,
     approximate: bool = False,
+    stats: dict[str, Column] | None = None,
 ) -> DataFrame:
-    """One row per group: the keys and one interpolated percentile per name in ``probs``.
-
-    The built-in exact percentile holds every distinct value of a group in one task, so
-    it is used only once the largest group has been counted and found small. Beyond
-    that a quantile sketch brackets each wanted rank; rows below a bracket are only
-    counted, and just the rows inside it are put in order. The answer is the same, and
-    no task holds more than a small share of a group. The sketch's error bound is a
-    quarter of the bracket's half width; should a bracket still miss its rank, the
-    query fails rather than answer wrongly.
+    """One row per group: the keys, ``stats``, and an interpolated percentile per name.
+
+    One aggregate gives each group's size, a quantile sketch that brackets each wanted rank,
+    and the plain ``stats``. The brackets are joined onto the rows before anything is
+    shuffled: in each task rows below a bracket become one count, rows above are dropped,
+    and only those inside go on by value. So no task holds a large group, and the answer is
+    exact: should a bracket miss its rank, which the counts show, it is opened on that side
+    and the rows of that group are placed again. Groups without values are left out unless
+    ``stats`` asks for all groups.
     """
-    present = df.where(F.col(value).isNotNull())
-    if approximate:
-        return present.groupBy(*keys).agg(
-            *[F.percentile_approx(value, p, accuracy).alias(n) for n, p in probs.items()]
-        )
-    sizes = present.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-    largest = sizes.agg(F.max("_n")).first()[0]
-    if largest is None or largest <= accuracy:
-        return present.groupBy(*keys).agg(*[F.percentile(value, p).alias(n) for n, p in probs.items()])
-    return _bracketed(present, keys, value, probs, accuracy)
-
-
-def _bracketed(
-    present: DataFrame, keys: list[str], value: str, probs: dict[str, float], accuracy: int
-) -> DataFrame:
-    names = list(probs)
     half = 4.0 / accuracy
-    edges = [
-        min(max(p + side * half, 0.0), 1.0) for p in probs.values() for side in (-1, 1)
-    ]
-    sketch = present.groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("_n"),
+    edges = [min(max(p + side * half, 0.0), 1.0) for p in probs.values() for side in (-1, 1)]
+    sketch = df.groupBy(*keys).agg(
+        F.count(value).alias("_n"),
         F.percentile_approx(value, edges, accuracy).cast("array<double>").alias("_edges"),
+        *[F.percentile_approx(value, p, accuracy).alias(f"_a_{n}") for n, p in probs.items() if approximate],
+        *[c.alias(n) for n, c in (stats or {}).items()],
     )
-    # Equal values collapse before they are shuffled, so a hot value costs one row.
-    counts = present.groupBy(*keys, F.col(value).cast("double").alias("_v")).agg(
-        F.count(F.lit(1)).alias("_c")
-    )
-
-    # A group no larger than the sketch is ordered whole.
+    if not stats:
+        sketch = sketch.where("_n > 0")
+    if approximate:
+        return sketch.select(*keys, *(stats or {}), *[F.col(f"_a_{n}").alias(n) for n in probs])
+    sketch, fits = measured(sketch)
     whole = F.col("_n") <= accuracy
-
-    def wanted(i: int, p: float) -> Column:
-        return F.struct(
-            F.lit(i).alias("i"),
-            (F.lit(p) * (F.col("_n") - 1)).alias("rank"),
-            F.when(~whole, F.col("_edges")[2 * i]).alias("lo"),
-            F.when(~whole, F.col("_edges")[2 * i + 1]).alias("hi"),
-        )
-
-    # Renamed keys let a null group meet its own bracket.
     targets = sketch.select(
-        *[F.col(k).alias(f"_key_{k}") for k in keys],
-        F.array(*[wanted(i, p) for i, p in enumerate(probs.values())]).alias("_targets"),
+        *keys,
+        F.explode(F.array(*[
+            F.struct(
+                F.lit(i).alias("i"),
+                (F.lit(p) * (F.col("_n") - 1)).alias("rank"),
+                F.when(~whole, F.col("_edges")[2 * i]).alias("lo"),
+                F.when(~whole, F.col("_edges")[2 * i + 1]).alias("hi"),
+            )
+            for i, p in enumerate(probs.values())
+        ])).alias("_t"),
     )
-    same_group = reduce(
+    present = df.where(F.col(value).isNotNull()).select(*keys, F.col(value).cast("double").alias("_v"))
+    placed = _placed(present, targets, keys, fits)
+    missed = F.col("_low").isNull() | F.col("_high").isNull()
+    wider = placed.where(missed).select(
+        *keys,
+        F.struct(
+            F.col("_i").alias("i"), F.col("_rank").alias("rank"),
+            F.when(F.floor("_rank") >= F.col("_below"), F.col("_lo")).alias("lo"),
+            F.when(F.ceil("_rank") < F.col("_reached"), F.col("_hi")).alias("hi"),
+        ).alias("_t"),
+    )
+    found = placed.where(~missed).unionByName(_placed(present, wider, keys, fits))
+    exact = F.col("_low") + (F.col("_rank") - F.floor("_rank")) * (F.col("_high") - F.col("_low"))
+    answers = found.groupBy(*[F.col(k).alias(f"_key_{k}") for k in keys]).agg(
+        *[F.max(F.when(F.col("_i") == i, exact)).alias(n) for i, n in enumerate(probs)]
+    )
+    return sketch.join(answers, _same(keys), "left").select(*keys, *(stats or {}), *probs)
+
+
+def _same(keys: list[str]) -> Column:
+    """A null group meets its own row."""
+    return reduce(
         lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_key_{k}")) for k in keys], F.lit(True)
     )
+
+
+def _placed(present: DataFrame, targets: DataFrame, keys: list[str], fits: bool) -> DataFrame:
+    """Per group and rank: the values at its floor and ceiling, null where the bracket
+    misses them, and how many rows lie below the bracket and up to its end."""
+    targets = targets.select(*[F.col(k).alias(f"_key_{k}") for k in keys], "_t")
+    rows = present.join(F.broadcast(targets) if fits else targets, _same(keys))
     v, lo, hi = F.col("_v"), F.col("_t.lo"), F.col("_t.hi")
-    bracketed = join_measured(counts, targets, same_group).select(
-        *keys, "_v", "_c", F.explode("_targets").alias("_t")
-    )
-    # Everything below a bracket collapses into one row that sorts ahead of it.
     inside = (lo.isNull() | (v >= lo)) & (hi.isNull() | (v <= hi))
-    below = lo.isNotNull() & (v < lo)
-    i, rank = F.col("_t.i").alias("_i"), F.col("_t.rank").alias("_rank")
-    ordered = (
-        bracketed.where(inside | below)
-        .groupBy(*keys, i, rank, F.when(inside, v).alias("_v"))
-        .agg(F.sum("_c").alias("_c"))
+    rank = [F.col(f"_t.{c}").alias(f"_{c}") for c in ("i", "rank", "lo", "hi")]
+    counts = (
+        rows.where(hi.isNull() | (v <= hi))
+        .groupBy(*keys, *rank, F.when(inside, v).alias("_v"))
+        .agg(F.count(F.lit(1)).alias("_c"))
     )
+    of_rank = [*keys, "_i", "_rank", "_lo", "_hi"]
     running = F.sum("_c").over(
-        Window.partitionBy(*keys, "_i")
+        Window.partitionBy(*of_rank)
         .orderBy(F.asc_nulls_first("_v"))
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
-    placed = ordered.withColumn("_end", running).withColumn("_start", F.col("_end") - F.col("_c"))
+    ordered = counts.withColumn("_end", running).withColumn("_start", F.col("_end") - F.col("_c"))
 
     def at(position: Column) -> Column:
         hit = (F.col("_start") <= position) & (position < F.col("_end"))
         return F.max(F.when(hit, F.col("_v")))
 
-    low_rank, high_rank = F.floor("_rank"), F.ceil("_rank")
-    picked = placed.groupBy(*keys, "_i", "_rank").agg(
-        at(low_rank).alias("_low"), at(high_rank).alias("_high")
-    )
-    missed = F.col("_low").isNull() | F.col("_high").isNull()
-    result = picked.withColumn(
-        "_p",
-        F.when(missed, F.raise_error(F.lit("percentile bracket missed its rank"))).otherwise(
-            F.col("_low")
-            + (F.col("_rank") - F.floor("_rank")) * (F.col("_high") - F.col("_low"))
-        ),
-    )
-    return result.groupBy(*keys).agg(
-        *[F.max(F.when(F.col("_i") == i, F.col("_p"))).alias(n) for i, n in enumerate(names)]
+    return ordered.groupBy(*of_rank).agg(
+        at(F.floor("_rank")).alias("_low"),
+        at(F.ceil("_rank")).alias("_high"),
+        F.coalesce(F.max(F.when(F.col("_v").isNull(), F.col("_end"))), F.lit(0)).alias("_below"),
+        F.max("_end").alias("_reached"),
     )

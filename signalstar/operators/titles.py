@@ -7,8 +7,10 @@ from pyspark.sql import functions as F
 
 from signalstar.functions.text import is_significant, letter_runs, names_entity
 
-# A position is a row number times this, plus the place of the token in its text.
-TOKENS_PER_TEXT = 1 << 24
+# A first appearance is the text's order times this, plus the token's place in its text. As
+# a decimal it holds any order and any place, and still is a fixed-width number.
+PLACES = 1 << 31
+POSITION = "decimal(38,0)"
 
 
 def top_words(
@@ -20,22 +22,18 @@ def top_words(
 
     Words are counted before they are shuffled, and the rank filter keeps only ``top``
     rows per entity and task ahead of the final sort, so a hot entity stays cheap. The
-    first appearance is one integer, which keeps the count in a hash aggregate.
+    first appearance is one number, which keeps the count in a hash aggregate.
     """
-    tokens = letter_runs(F.col(text))
-    checked = F.when(F.size(tokens) < TOKENS_PER_TEXT, tokens).otherwise(
-        F.raise_error(F.lit("text has too many tokens to order")).cast("array<string>")
-    )
     exploded = titles.select(
         entity,
         F.col(order).cast("bigint").alias("_order"),
         # Outer: an inner explode would tokenise each text a second time, to filter
         # empty arrays. The test below drops the missing word of a missing text.
-        F.posexplode_outer(checked).alias("_i", "word"),
+        F.posexplode_outer(letter_runs(F.col(text))).alias("_i", "word"),
     ).where(is_significant(F.col("word"), stopwords))
+    first_seen = F.col("_order").cast("decimal(20,0)") * F.lit(PLACES).cast("decimal(10,0)") + F.col("_i")
     counted = exploded.groupBy(entity, "word").agg(
-        F.count(F.lit(1)).alias("n"),
-        F.min(F.col("_order") * TOKENS_PER_TEXT + F.col("_i")).alias("_first"),
+        F.count(F.lit(1)).alias("n"), F.min(first_seen.cast(POSITION)).alias("_first")
     )
     # The entity's own name goes after counting, where it costs one test per word; the
     # mention of the count keeps Catalyst from moving the test down to every token.

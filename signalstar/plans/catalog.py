@@ -16,7 +16,13 @@ from signalstar.functions.calendar import (
     week_start,
     weeks_between,
 )
-from signalstar.functions.cleaning import national_score, percent_score, sentence_case
+from signalstar.functions.cleaning import (
+    PUBLICATION_STAMP,
+    national_score,
+    percent_score,
+    sentence_case,
+    stamp_week,
+)
 from signalstar.operators import (
     coverage,
     cross_source,
@@ -52,8 +58,7 @@ from signalstar.streaming import weekly
 
 Query = Callable[[SparkSession, str], DataFrame]
 
-EVENT_TYPES = ["click", "error", "purchase", "signup", "view"]
-ORDER_YEARS = list(range(1995, 2002))
+KNOWN_NATIONS = 20  # nations that the population query keeps, by key
 
 
 def _on_star(question: Callable[[Star], DataFrame]) -> Query:
@@ -130,6 +135,29 @@ def _dq_report(spark: SparkSession, folder: str) -> DataFrame:
     return facts.unionByName(rolled).unionByName(customers)
 
 
+def _dq_unreadable(spark: SparkSession, folder: str) -> DataFrame:
+    """Raw inputs of which some are broken: cut news bodies, publications whose record is
+    missing or whose stamp is no date, and trend lines without a label. All are counted."""
+    number = F.col("event_id")
+    cut = F.when(number % 97 == 0, F.substring("body", 1, 40)).otherwise(F.col("body"))
+    news = docs.news_articles(derived.news_bodies(spark, folder).withColumn("body", cut))
+    odd = F.when(number % 89 == 0, F.regexp_replace("body", '"uids":\\["', '"uids":["x')).when(
+        number % 83 == 0, F.regexp_replace("body", '"sortpubdate":"', '"sortpubdate":"about ')
+    ).otherwise(F.col("body"))
+    found = docs.publications(derived.publication_bodies(spark, folder).withColumn("body", odd))
+    found = found.withColumn("week", stamp_week(F.col("stamp"), PUBLICATION_STAMP))
+    blank = F.when(F.dayofyear("label") % 13 != 0, F.col("label"))
+    lines = derived.national_lines(spark, folder).withColumn("label", blank)
+    stampless = quality.RowRule(
+        "unreadable_stamp", "stamp", F.col("stamp").isNotNull() & F.col("week").isNull()
+    )
+    return (
+        quality.report(news, "news", quality.no_nulls("pos"))
+        .unionByName(quality.report(found, "publications", [*quality.no_nulls("stamp"), stampless]))
+        .unionByName(quality.report(national_rows(lines), "national", quality.no_nulls("date")))
+    )
+
+
 def _dq_fk_offenders(spark: SparkSession, folder: str) -> DataFrame:
     """The first ten customers of orders that are no supplier."""
     key = quality.ForeignKey("o_custkey", table(spark, folder, "supplier"), "s_suppkey")
@@ -265,12 +293,14 @@ def _pageview_index(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _populations(spark: SparkSession, folder: str) -> DataFrame:
-    known = [f"NATION_{i}" for i in range(20)]
+    nations = table(spark, folder, "nation").where(F.col("n_nationkey") < KNOWN_NATIONS)
+    known = [row.n_name for row in nations.select("n_name").collect()]
     return docs.populations(derived.population_bodies(spark, folder), known)
 
 
 def _sheet_populations(spark: SparkSession, folder: str) -> DataFrame:
-    sheet = derived.population_sheet(spark, folder, ORDER_YEARS)
+    years = table(spark, folder, "orders").select(F.year("o_orderdate").alias("year")).distinct()
+    sheet = derived.population_sheet(spark, folder, sorted(row.year for row in years.collect()))
     places = places_from_sheet(sheet, derived.nation_codes(spark, folder))
     return docs.newest_population(places)
 
@@ -344,6 +374,7 @@ QUERIES: dict[str, Query] = {
     "dq_score_range": _on_star(distribution.score_range),
     "dq_null_profile": _on_star(lambda s: coverage.null_profile(s.tables())),
     "dq_report": _dq_report,
+    "dq_unreadable": _dq_unreadable,
     "dq_fk_offenders": _dq_fk_offenders,
     "dq_missing_authored": _dq_missing_authored,
     "dq_source_cap": _dq_at_cap,
@@ -357,6 +388,9 @@ QUERIES: dict[str, Query] = {
     "prof_describe": lambda spark, folder: coverage.describe_columns(
         table(spark, folder, "customer"), ["c_nationkey", "c_mktsegment", "c_acctbal"]
     ),
+    "prof_describe_entities": _on_star(
+        lambda s: coverage.describe_columns(s.entities, ["primary_usage", "price_range", "approved"])
+    ),
     "prof_describe_scores": _on_star(
         lambda s: coverage.describe_numbers(
             s.name_sources(s.interest), ["source_name"], "interest_score"
@@ -392,7 +426,7 @@ QUERIES: dict[str, Query] = {
     "events_by_quarter": _on_star(events.by_quarter),
     "events_by_entity": _on_star(events.by_entity),
     "events_high_attention": _on_star(events.high_attention),
-    "events_quarter_pivot": _on_star(lambda s: events.quarter_pivot(s, EVENT_TYPES)),
+    "events_quarter_pivot": _on_star(events.quarter_pivot),
     "events_on_calendar": _events_on_calendar,
     "bi_events_year_quarter": _on_star(events.by_quarter_label),
     "bi_top_events": _on_star(events.most_reported),

@@ -397,6 +397,18 @@ SELECT source_name, min(interest_score) AS min_score, max(interest_score) AS max
 FROM named GROUP BY source_name"""),
     "dq_null_profile": on_star(NULL_PROFILE),
     "dq_report": on_star(DQ_REPORT),
+    "dq_unreadable": on_star(NATIONAL + """
+SELECT 'news' AS table_name, 'no_nulls' AS check_name, 'pos' AS column_name,
+       count(*) FILTER (WHERE event_id % 97 = 0) AS n_bad, CAST(NULL AS VARCHAR) AS sample
+FROM event_rows
+UNION ALL SELECT 'publications', 'no_nulls', 'stamp',
+       count(*) FILTER (WHERE event_id % 89 = 0), NULL FROM event_rows
+UNION ALL SELECT 'publications', 'unreadable_stamp', 'stamp',
+       count(*) FILTER (WHERE event_id % 83 = 0 AND event_id % 89 <> 0),
+       min('about ' || strftime(ts, '%Y/%m/%d %H:%M'))
+         FILTER (WHERE event_id % 83 = 0 AND event_id % 89 <> 0) FROM event_rows
+UNION ALL SELECT 'national', 'no_nulls', 'date',
+       count(*) FILTER (WHERE dayofyear(date) % 13 = 0), NULL FROM national"""),
     "dq_fk_offenders": """
 SELECT DISTINCT o_custkey AS value FROM orders
 WHERE o_custkey NOT IN (SELECT s_suppkey FROM supplier) ORDER BY 1 LIMIT 10""",
@@ -419,10 +431,21 @@ SELECT min(date) AS earliest_date, max(date) AS latest_date, count(*) AS n_weeks
         FACT_ROWS.format(k="region_id", n="region_name", dim="d_regions")
     ),
     "prof_describe": DESCRIBE,
+    "prof_describe_entities": on_star("""
+, pairs AS (
+  UNPIVOT (SELECT primary_usage, coalesce(price_range, '') AS price_range,
+                  CAST(approved AS VARCHAR) AS approved FROM d_entities)
+  ON primary_usage, price_range, approved INTO NAME column_name VALUE v),
+counted AS (SELECT column_name, nullif(v, '') AS v, count(nullif(v, '')) AS n FROM pairs GROUP BY ALL)
+SELECT column_name, CAST(sum(n) AS BIGINT) AS n_values, count(v) AS n_unique,
+       first(v ORDER BY n DESC, v) AS top, nullif(max(n), 0) AS freq
+FROM counted GROUP BY column_name"""),
     "prof_describe_scores": on_star(f"""
 SELECT source_name, count(interest_score) AS n_values, {rnd("avg(interest_score)", 4)} AS mean,
        {rnd("stddev(interest_score)", 4)} AS std, min(interest_score) AS min,
-       max(interest_score) AS max
+       {rnd("quantile_cont(interest_score, 0.25)", 4)} AS p25,
+       {rnd("quantile_cont(interest_score, 0.5)", 4)} AS p50,
+       {rnd("quantile_cont(interest_score, 0.75)", 4)} AS p75, max(interest_score) AS max
 FROM named GROUP BY source_name"""),
     "dist_score_by_source": on_star(SCORE_DISTRIBUTION),
     "dist_score_bracketed": on_star(SCORE_DISTRIBUTION),
@@ -579,8 +602,9 @@ GROUP BY n_nationkey, n_name, year(o_orderdate)
 QUALIFY row_number() OVER (PARTITION BY n_nationkey ORDER BY year(o_orderdate) DESC) = 1""",
     "src_population_sheet": """
 SELECT 'N' || n_nationkey AS ons_code, n_name AS region_name,
-       nullif(count(*) FILTER (WHERE year(o_orderdate) = 2001), 0) AS population, '2001' AS year
-FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey
+       nullif(count(*) FILTER (WHERE year(o_orderdate) = newest), 0) AS population,
+       CAST(any_value(newest) AS VARCHAR) AS year
+FROM (SELECT *, max(year(o_orderdate)) OVER () AS newest FROM orders) AS orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey
 GROUP BY n_nationkey, n_name""",
     "resolve_unknown_names": """
 SELECT DISTINCT ' ' || upper(event_type) AS value FROM events""",

@@ -47,17 +47,38 @@ def _source_id(sources: DataFrame, name: str):
     return sources.where(F.col("source_name") == name).select("source_id").scalar()
 
 
-def trend_facts(
-    national: DataFrame, regional: DataFrame, entities: DataFrame, regions: DataFrame,
-    sources: DataFrame, source_name: str = ref.TREND_SOURCE,
+# A region that no dimension row has, for snapshot lines whose region is not known: left
+# NULL they would pass for national rows.
+UNKNOWN_REGION = -1
+
+
+def national_facts(
+    national: DataFrame, entities: DataFrame, sources: DataFrame,
+    source_name: str = ref.TREND_SOURCE,
+) -> DataFrame:
+    """National weeks, which have no region."""
+    return interest_rows(with_entity(national, entities), _source_id(sources, source_name))
+
+
+def regional_facts(
+    regional: DataFrame, entities: DataFrame, regions: DataFrame, sources: DataFrame,
+    source_name: str = ref.TREND_SOURCE,
 ) -> DataFrame:
-    """National weeks (no region) and regional snapshots on one grain."""
-    source = _source_id(sources, source_name)
+    """Regional snapshots; the foreign key check finds those of unknown regions."""
     placed = resolve_ids(
         with_entity(regional, entities), "region_name", regions, "region_name", "region_id"
     )
-    return interest_rows(with_entity(national, entities), source).unionByName(
-        interest_rows(placed, source, F.col("region_id"))
+    region = F.coalesce("region_id", F.lit(UNKNOWN_REGION))
+    return interest_rows(placed, _source_id(sources, source_name), region)
+
+
+def trend_facts(
+    national: DataFrame, regional: DataFrame, entities: DataFrame, regions: DataFrame,
+    sources: DataFrame, source_name: str = ref.TREND_SOURCE,
+) -> DataFrame:
+    """National weeks and regional snapshots on one grain."""
+    return national_facts(national, entities, sources, source_name).unionByName(
+        regional_facts(regional, entities, regions, sources, source_name)
     )
 
 
@@ -121,14 +142,12 @@ def raw_star(
         regions = keys.withColumn("population", F.lit(None).cast("bigint"))
 
     interest, events = [], []
-    if paths.national and paths.regional:
-        interest.append(
-            trend_facts(
-                national_rows(read_trend_lines(spark, paths.national)),
-                regional_rows(read_trend_lines(spark, paths.regional)),
-                entities, regions, sources,
-            )
-        )
+    if paths.national:
+        lines = read_trend_lines(spark, paths.national)
+        interest.append(national_facts(national_rows(lines), entities, sources))
+    if paths.regional:
+        lines = read_trend_lines(spark, paths.regional)
+        interest.append(regional_facts(regional_rows(lines), entities, regions, sources))
     if paths.pageviews:
         views = docs.pageviews(docs.read_bodies(spark, paths.pageviews))
         interest.append(

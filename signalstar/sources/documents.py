@@ -1,7 +1,8 @@
 """JSON sources.
 
 The expansions use outer explodes and drop the empty row afterwards: for an inner explode
-Catalyst adds a filter on the array, for which every body would be parsed once more.
+Catalyst adds a filter on the array, for which every body would be parsed once more. A body
+that cannot be read keeps its empty row, so that the checks count it instead of losing it.
 
 Each reader is a scan that yields ``file_name, body`` plus an
 expansion of the body, so the same expansion also serves bodies kept in a column."""
@@ -49,8 +50,10 @@ def news_articles(bodies: DataFrame) -> DataFrame:
     parsed = bodies.select(
         *kept, F.from_json("body", NEWS_FILE).getField("articles").alias("articles")
     )
-    listed = parsed.select(*kept, F.posexplode_outer("articles").alias("pos", "article"))
-    return listed.where(F.col("pos").isNotNull()).select(
+    listed = parsed.select(
+        *kept, "articles", F.posexplode_outer("articles").alias("pos", "article")
+    )
+    return listed.where(F.col("pos").isNotNull() | F.col("articles").isNull()).select(
         *kept,
         "pos",
         F.col("article.seendate").alias("stamp"),
@@ -63,13 +66,10 @@ def publications(bodies: DataFrame) -> DataFrame:
     """One row per listed uid, in the order of the ``uids`` array."""
     kept = _carried(bodies)
     result = F.from_json("body", PUBLICATION_FILE).getField("result")
+    uids = F.from_json(F.col("result")["uids"], "array<string>")
     listed = bodies.select(*kept, result.alias("result")).select(
-        *kept,
-        "result",
-        F.posexplode_outer(F.from_json(F.col("result")["uids"], "array<string>")).alias(
-            "pos", "uid"
-        ),
-    ).where(F.col("pos").isNotNull())
+        *kept, "result", F.posexplode_outer(uids).alias("pos", "uid")
+    ).where(F.col("pos").isNotNull() | uids.isNull())
     record = F.from_json(F.col("result")[F.col("uid")], PUBLICATION)
     return listed.select(*kept, "pos", "uid", record.alias("record")).select(
         *kept,
@@ -87,8 +87,8 @@ def pageviews(bodies: DataFrame) -> DataFrame:
     parsed = bodies.select(
         *kept, F.from_json("body", PAGEVIEW_FILE).getField("items").alias("items")
     )
-    listed = parsed.select(*kept, F.explode_outer("items").alias("item"))
-    return listed.where(F.col("item").isNotNull()).select(
+    listed = parsed.select(*kept, "items", F.explode_outer("items").alias("item"))
+    return listed.where(F.col("item").isNotNull() | F.col("items").isNull()).select(
         *kept,
         pageview_day(F.col("item.timestamp")).alias("date"),
         F.col("item.views").alias("views"),

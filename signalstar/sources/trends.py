@@ -21,14 +21,14 @@ def read_trend_lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
     """All data lines of all files in one scan: ``file_name, label, value``.
 
     Header texts differ per file, so columns go by position; the anchor column is
-    never read out of the parser.
+    never read out of the parser. A line without a label stays, and its missing week or
+    region is then found by the checks.
     """
     lines = spark.read.schema(TREND_LINE).csv(path).select(
         F.col("_metadata.file_name").alias("file_name"), "label", "value"
     )
-    return lines.where(
-        ~F.col("label").startswith(PREAMBLE_PREFIX) & ~F.col("label").isin(*HEADER_LABELS)
-    )
+    above = F.col("label").startswith(PREAMBLE_PREFIX) | F.col("label").isin(*HEADER_LABELS)
+    return lines.where(~F.coalesce(above, F.lit(False)))
 
 
 def national_rows(lines: DataFrame, file_pattern: str = NATIONAL_FILE) -> DataFrame:

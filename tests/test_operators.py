@@ -214,7 +214,8 @@ def test_describe(spark):
         ("u", 4, 2, "a", 2), ("ok", 3, 2, "true", 2), ("p", 0, 0, None, None)}
     nums = spark.createDataFrame([("a", 1.0), ("a", 3.0), ("b", None)], "k string, v double")
     assert as_set(coverage.describe_numbers(nums, ["k"], "v")) == {
-        ("a", 2, 2.0, round(math.sqrt(2), 4), 1.0, 3.0), ("b", 0, None, None, None, None)}
+        ("a", 2, 2.0, round(math.sqrt(2), 4), 1.0, 3.0, 1.5, 2.0, 2.5),
+        ("b", 0, *[None] * 7)}
     assert coverage.numeric_columns(nums) == ["v"]
 
 
@@ -360,6 +361,14 @@ def test_top_words_break_ties_by_first_appearance(spark):
                    ("b", "apple", 1, 1)}
 
 
+def test_top_words_take_any_order(spark):
+    """Hashed ids: the order may be any 64-bit number."""
+    data = [("a", "lemon grape", 2**62), ("a", "peach lemon grape", -(2**62)), ("a", "peach", 2**62 + 1)]
+    df = spark.createDataFrame(data, "name string, title string, pos long")
+    got = rows(titles.top_words(df, "name", "title", "pos", top=3).orderBy("rank"))
+    assert [r[1] for r in got] == ["peach", "lemon", "grape"]
+
+
 # --- lift -----------------------------------------------------------------------------
 
 

@@ -7,7 +7,7 @@ import re
 import pytest
 from conftest import SMALL
 
-from signalstar.operators import events, growth, spikes, titles
+from signalstar.operators import events, growth, percentiles, spikes, titles
 from signalstar.operators.percentiles import group_percentiles
 from signalstar.plans.catalog import QUERIES
 from signalstar.plans.order_star import FIRST_SOURCE, order_star, table
@@ -56,10 +56,25 @@ def test_top_words_limit_each_task_before_the_sort(spark):
 
 def test_large_groups_are_never_held_by_one_percentile_buffer(spark):
     df = table(spark, SMALL, "orders")
-    large = plan(group_percentiles(df, ["o_orderstatus"], "o_totalprice", {"m": 0.5}, accuracy=50))
-    assert "percentile(" not in large
-    small = plan(group_percentiles(df, ["o_orderstatus"], "o_totalprice", {"m": 0.5}))
-    assert "percentile(" in small
+    for accuracy in (50, 100_000):
+        text = plan(group_percentiles(df, ["o_orderstatus"], "o_totalprice", {"m": 0.5}, accuracy))
+        # The rows are counted by bracket in their own task before the only exchange of them.
+        assert "percentile(" not in text and "raise_error" not in text
+        below = text[text.index("partial_count"):]
+        assert "Exchange hashpartitioning" not in below[: below.index("BroadcastHashJoin")]
+
+
+def test_a_missed_bracket_is_opened(spark, monkeypatch):
+    """A sketch that points far from the wanted ranks still gives the exact answer."""
+    df = spark.range(5000).selectExpr("CAST(id * id AS DOUBLE) AS v", "id % 2 AS k")
+    real = percentiles.F.percentile_approx
+    for shift in (-0.3, 0.3):
+        monkeypatch.setattr(
+            percentiles.F, "percentile_approx",
+            lambda c, p, a: real(c, [min(max(x + shift, 0.0), 1.0) for x in p], a),
+        )
+        got = {r.k: r.m for r in group_percentiles(df, ["k"], "v", {"m": 0.5}, accuracy=100).collect()}
+        assert got == {0: (2498**2 + 2500**2) / 2, 1: (2499**2 + 2501**2) / 2}
 
 
 def test_only_needed_columns_are_read(spark):

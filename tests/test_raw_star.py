@@ -151,3 +151,54 @@ def test_unknown_entity_is_reported(spark, star, raw):
         enforce(R.interest_report(other))
     with pytest.raises(ValueError):
         R.raw_star(spark, R.RawPaths(news=f"{raw}/news"))
+
+
+def test_one_trend_source_is_enough(spark, raw):
+    entities = ref.entity_rows(spark, [e for e in ref.ENTITY_INFO if e[0] in ("BPC-157", "TB-500")])
+    paths = {"news": f"{raw}/news", "population": f"{raw}/people.json"}
+    regional = R.raw_star(spark, R.RawPaths(regional=f"{raw}/regional/*.csv", **paths), entities)
+    assert regional.interest.count() == 16
+    national = R.raw_star(spark, R.RawPaths(national=f"{raw}/national/*.csv", **paths), entities)
+    assert national.interest.count() == 60
+
+
+@pytest.mark.parametrize("broken,report,message", [
+    ("news", R.event_report, "event_date: no_nulls"),
+    ("record", R.event_report, "event_date: no_nulls"),
+    ("stamp", R.event_report, "event_date: no_nulls"),
+    ("views", R.interest_report, "date_id: no_nulls"),
+    ("label", R.interest_report, "date_id: no_nulls"),
+    ("region", R.interest_report, "region_id: foreign_key"),
+])
+def test_unreadable_input_is_never_lost(spark, tmp_path, broken, report, message):
+    trend(tmp_path / "national" / "Peptides_TB-500.csv", "Week",
+          ["2023-01-01,5,1", ",7,1" if broken == "label" else "2023-01-08,7,1"])
+    trend(tmp_path / "regional" / "TB-500_current.csv", "Region",
+          ["England,5%,9%", ",6%,9%" if broken == "region" else "Wales,6%,9%"])
+    body = json.dumps({"articles": [{"seendate": "20230102T000000Z", "domain": "a", "title": "T"}]})
+    put(tmp_path / "news" / "TB-500.json", body)
+    put(tmp_path / "news" / "BPC-157.json", body[:30] if broken == "news" else body)
+    record = {"sortpubdate": "soon" if broken == "stamp" else "2023/01/04 00:00",
+              "fulljournalname": "J", "title": "T"}
+    put(tmp_path / "papers" / "TB-500_summary.json", json.dumps({"result": {
+        "uids": ["7"], **({} if broken == "record" else {"7": record})}}))
+    views = json.dumps({"items": [{"timestamp": "2023010100", "views": 3}]})
+    put(tmp_path / "views" / "TB-500_pageviews.json", views[:20] if broken == "views" else views)
+    put(tmp_path / "people.json", json.dumps({"geographies": [
+        {"code": str(n), "name": r, "population_by_year": {"2024": 5}} for n, r in enumerate(REGIONS)]}))
+    star = R.raw_star(spark, R.RawPaths(
+        national=f"{tmp_path}/national", regional=f"{tmp_path}/regional", news=f"{tmp_path}/news",
+        publications=f"{tmp_path}/papers", pageviews=f"{tmp_path}/views",
+        population=f"{tmp_path}/people.json"))
+    with pytest.raises(QualityError, match=message):
+        enforce(report(star))
+
+
+def test_two_files_of_one_entity_give_one_title(spark, tmp_path):
+    for name, title in (("TB-500", "later"), ("tb-500", "earlier")):
+        put(tmp_path / f"{name}.json", json.dumps({"articles": [
+            {"seendate": "20230102T000000Z", "domain": name, "title": title}]}))
+    bodies = R.docs.read_bodies(spark, str(tmp_path))
+    rows_ = R.docs.news_articles(bodies).withColumn("entity_name", R.docs.entity_of_file(".json"))
+    got = R.news_facts(rows_, ref.entity_rows(spark)).collect()
+    assert [(r.related_article_count, r.source_count, r.title) for r in got] == [(2, 2, "earlier")]
