@@ -127,13 +127,34 @@ def first_offenders(offenders: DataFrame, shown: int = SHOWN) -> DataFrame:
     return offenders.orderBy("value").limit(shown)
 
 
-def key_report(df: DataFrame, table: str, keys: list[ForeignKey]) -> list[DataFrame]:
-    return [
-        orphans(df, key).agg(F.count(F.lit(1)).alias("n"), F.min("value").alias("low")).select(
-            F.inline(F.array(_finding(table, "foreign_key", key.column, F.col("n"), F.col("low"))))
+def key_report(df: DataFrame, table: str, keys: list[ForeignKey]) -> DataFrame:
+    """All foreign keys of a table in one pass: the distinct values of every key, as text,
+    against the values of their parents. The sample is the smallest offender."""
+    def listed(values: list[Column]) -> Column:
+        return F.inline(F.array(*[
+            F.struct(F.lit(i).alias("key"), v.cast("string").alias("value"))
+            for i, v in enumerate(values)
+        ]))
+
+    used = df.select(listed([F.col(k.column) for k in keys])).where("value IS NOT NULL").distinct()
+    parents = reduce(DataFrame.unionByName, [
+        k.parent.select(F.lit(i).alias("key"), F.col(k.parent_key).cast("string").alias("value"))
+        for i, k in enumerate(keys)
+    ])
+    lost = used.join(parents, ["key", "value"], "left_anti")
+    size = F.struct(F.col("value").try_cast("double").alias("number"), "value")
+    counted = lost.agg(*[
+        column
+        for i in range(len(keys))
+        for column in (
+            F.count_if(F.col("key") == i).alias(f"n{i}"),
+            F.min(F.when(F.col("key") == i, size)).alias(f"s{i}"),
         )
-        for key in keys
-    ]
+    ])
+    return counted.select(F.inline(F.array(*[
+        _finding(table, "foreign_key", k.column, F.col(f"n{i}"), F.col(f"s{i}.value"))
+        for i, k in enumerate(keys)
+    ])))
 
 
 def unique_report(df: DataFrame, table: str, columns: list[str]) -> DataFrame:
@@ -157,7 +178,8 @@ def report(
     parts = []
     if rules:
         parts.append(row_report(df, table, rules))
-    parts += key_report(df, table, foreign_keys or [])
+    if foreign_keys:
+        parts.append(key_report(df, table, foreign_keys))
     if unique:
         parts.append(unique_report(df, table, unique))
     return reduce(DataFrame.unionByName, parts)

@@ -52,6 +52,7 @@ from signalstar.plans.warehouse import load_star
 from signalstar.session import scratch_path
 from signalstar.sources import documents as docs
 from signalstar.sources.population_sheet import places_from_sheet
+from signalstar.sources.schemas import FACTS
 from signalstar.sources.tables import local_table, save_processed
 from signalstar.sources.trends import national_rows, regional_rows
 from signalstar.streaming import weekly
@@ -341,6 +342,19 @@ def _load_counts(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def _load_rejects_orphans(spark: SparkSession, folder: str) -> DataFrame:
+    """What a load refuses, and why, when an entity of the facts is not in its dimension."""
+    star = order_star(spark, folder)
+    first = star.entities.agg(F.min("entity_id")).scalar()
+    short = star.but(entities=star.entities.where(F.col("entity_id") != first))
+    try:
+        load_star(spark, short, scratch_path(spark, "orphans"))
+    except quality.QualityError:
+        reports = [quality.key_report(short.table(f), f, short.foreign_keys(f)) for f in FACTS]
+        return reports[0].unionByName(reports[1]).where("n_bad > 0")
+    raise AssertionError("facts without their entity were loaded")
+
+
 def _stored_top_entity(spark: SparkSession, folder: str) -> DataFrame:
     """Growth per entity over a stored star, whose fact is partitioned by source: only
     that source's partition and the two windows are read."""
@@ -350,14 +364,20 @@ def _stored_top_entity(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _streamed_weeks(spark: SparkSession, folder: str) -> DataFrame:
-    """The weeks that a stream over the events has closed."""
+    """The weeks that a stream over the events has closed, beside those still open, which
+    a batch over the same files counts."""
     target = scratch_path(spark, "stream")
     schema = table(spark, folder, "events").schema
     stream = weekly.arriving(spark, folder, schema, "events.parquet")
     counts = weekly.weekly_counts(stream, "ts", ["event_type"], "value")
     weekly.append_closed_weeks(counts, f"{target}/weeks", f"{target}/mark").awaitTermination()
     closed = spark.read.schema(counts.schema).parquet(f"{target}/weeks")
-    return closed.withColumn("total", F.round("total", 2))
+    now = weekly.weekly_counts(table(spark, folder, "events"), "ts", ["event_type"], "value")
+    still_open = now.join(closed, ["week", "event_type"], "left_anti")
+    both = closed.withColumn("closed", F.lit(True)).unionByName(
+        still_open.withColumn("closed", F.lit(False))
+    )
+    return both.withColumn("total", F.round("total", 2))
 
 
 QUERIES: dict[str, Query] = {
@@ -473,5 +493,6 @@ QUERIES: dict[str, Query] = {
     "fact_publications": _publication_events,
     "fact_event_rollup": lambda spark, folder: order_star(spark, folder).events,
     "load_star_counts": _load_counts,
+    "load_rejects_orphans": _load_rejects_orphans,
     "stream_weekly_events": _streamed_weeks,
 }

@@ -638,5 +638,10 @@ UNION ALL SELECT 'interest_csv', count(*) FROM f_interest)"""),
 WITH weekly AS (
   SELECT {week(EVENT_DAY)} AS week, event_type, count(*) AS n_events, round(sum(value), 2) AS total
   FROM events GROUP BY 1, 2)
-SELECT * FROM weekly WHERE week <= (SELECT max(week) FROM weekly) - 14""",
+SELECT *, week <= (SELECT max(week) FROM weekly) - 14 AS closed FROM weekly""",
+    "load_rejects_orphans": on_star("""
+SELECT t AS table_name, 'foreign_key' AS check_name, 'entity_id' AS column_name,
+       CAST(1 AS BIGINT) AS n_bad, min(entity_id) AS sample
+FROM (SELECT 'interest' AS t, entity_id FROM f_interest
+      UNION ALL SELECT 'events', entity_id FROM f_events) GROUP BY t"""),
 }

@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from signalstar.operators.quality import ForeignKey
 from signalstar.operators.sizing import join_measured
 from signalstar.sources.schemas import TABLES
 from signalstar.sources.tables import read_table
@@ -83,6 +84,13 @@ class Star:
         """The same star with some tables exchanged."""
         return Star(**{**self._tables, **tables})
 
+    def foreign_keys(self, fact: str) -> list[ForeignKey]:
+        """The keys that rows of a fact must find in the dimensions."""
+        parents = {"date_id": "dates", "entity_id": "entities", "region_id": "regions",
+                   "source_id": "sources"}
+        columns = self.table(fact).columns
+        return [ForeignKey(k, self.table(d), k) for k, d in parents.items() if k in columns]
+
     def tables(self) -> dict[str, DataFrame]:
         return {name: self.table(name) for name in TABLES if name in self._tables}
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 import pyarrow as pa
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -61,7 +63,9 @@ def reload_table(
 ) -> int:
     """Replace a table and return its row count.
 
-    The count is observed while the rows are written, so no second job reads them.
+    Rows are written beside the table, which is exchanged only once they are complete, so a
+    job that fails leaves the old rows, and a table may be made from itself. The count is
+    observed while the rows are written, so no second job reads them.
     Running it again gives the same table. ``sort_by`` orders the rows inside each file
     without a shuffle, which lets a later filter skip row groups.
     """
@@ -72,5 +76,21 @@ def reload_table(
     writer = rows.write.mode("overwrite")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
-    writer.parquet(path)
+    path = path.rstrip("/")
+    fresh = f"{path}-{uuid.uuid4().hex}"
+    writer.parquet(fresh)
+    _exchange(df.sparkSession, path, fresh)
     return seen.get["rows"]
+
+
+def _exchange(spark: SparkSession, path: str, fresh: str) -> None:
+    """Put ``fresh`` in the place of ``path`` by renames in the table's own file system."""
+    context = spark.sparkContext
+    of = context._jvm.org.apache.hadoop.fs.Path
+    files = of(path).getFileSystem(context._jsc.hadoopConfiguration())
+    old = f"{fresh}-old"
+    if files.exists(of(path)) and not files.rename(of(path), of(old)):
+        raise OSError(f"cannot move {path}")
+    if not files.rename(of(fresh), of(path)):
+        raise OSError(f"cannot move {fresh}; the old table is in {old}")
+    files.delete(of(old), True)

@@ -14,6 +14,7 @@ from signalstar.plans import raw_star as R
 from signalstar.plans.star import Star
 from signalstar.plans.warehouse import load_star
 from signalstar.sources import reference_rows as ref
+from signalstar.sources.tables import reload_table
 
 FIRST = date(2023, 1, 1)
 REGIONS = ["England", "Scotland", "Wales", "Northern Ireland"]
@@ -202,3 +203,21 @@ def test_two_files_of_one_entity_give_one_title(spark, tmp_path):
     rows_ = R.docs.news_articles(bodies).withColumn("entity_name", R.docs.entity_of_file(".json"))
     got = R.news_facts(rows_, ref.entity_rows(spark)).collect()
     assert [(r.related_article_count, r.source_count, r.title) for r in got] == [(2, 2, "earlier")]
+
+
+def test_orphans_are_refused_without_being_asked(spark, star, tmp_path):
+    short = star.but(entities=star.entities.where("entity_name <> 'TB-500'"))
+    with pytest.raises(QualityError, match="entity_id: foreign_key fails 1 time"):
+        load_star(spark, short, str(tmp_path / "star"))
+
+
+def test_a_lost_write_leaves_the_old_table(spark, tmp_path):
+    path = str(tmp_path / "t")
+    assert reload_table(spark.range(5), path) == 5
+    broken = spark.range(9).selectExpr("IF(id = 8, raise_error('lost'), id) AS id")
+    with pytest.raises(Exception, match="lost"):
+        reload_table(broken, path)
+    assert spark.read.parquet(path).count() == 5
+    again = spark.read.parquet(path)
+    assert reload_table(again.unionByName(again), path) == 10
+    assert spark.read.parquet(path).count() == 10
