@@ -9,6 +9,7 @@ from signalstar.functions.calendar import date_key, key_to_date, week_start
 from signalstar.functions.measures import pair_correlation, rounded
 from signalstar.operators.growth import WINDOW_DAYS
 from signalstar.plans.star import Star
+from signalstar.sources.tables import materialised
 
 
 def weekly_by_source(star: Star, first: str, second: str) -> DataFrame:
@@ -87,16 +88,17 @@ def source_agreement(
         F.lit(None).cast("double").alias("score"),
         F.lit(event_days).alias("days"),
     )
-    # One row per entity, signal and week. The bounds of a signal come from these cells,
-    # whose shuffle both sides of the join below share, instead of from the facts again.
-    cells = (
+    # One row per entity, signal and week, written once: the bounds of a signal and its
+    # levels come from these cells instead of from the facts again.
+    cells = materialised(
         interest.unionByName(events)
         .groupBy("signal", "days", "entity_id", "date_id")
         .agg(
             F.sum("score").alias("total"),
             F.count("score").alias("scored"),
             F.count(F.lit(1)).alias("n"),
-        )
+        ),
+        "cells",
     )
     bounds = cells.groupBy("signal").agg(
         F.min("date_id").alias("first"), F.max("date_id").alias("last")

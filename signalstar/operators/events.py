@@ -10,6 +10,7 @@ from signalstar.operators.percentiles import group_percentiles
 from signalstar.operators.ranking import top_ranked
 from signalstar.operators.sizing import join_measured, measured
 from signalstar.plans.star import Star
+from signalstar.sources.tables import materialised
 
 
 def by_category(star: Star) -> DataFrame:
@@ -67,7 +68,9 @@ def on_calendar(star: Star) -> DataFrame:
 def high_attention(star: Star, prob: float = 0.9) -> DataFrame:
     """Events at or above their category's percentile of articles or of publishers."""
     measures = ["related_article_count", "source_count"]
-    readings = star.events.select("category", *measures).unpivot(
+    # Sizes, limits and result all read the rollup, which is computed once.
+    events = materialised(star.events, "rollup")
+    readings = events.select("category", *measures).unpivot(
         ["category"], measures, "measure", "reading"
     )
     limits = (
@@ -77,7 +80,7 @@ def high_attention(star: Star, prob: float = 0.9) -> DataFrame:
         .agg(F.max("limit"))
         .toDF("category", "article_limit", "source_limit")
     )
-    loud = join_measured(star.events, limits, "category").where(
+    loud = join_measured(events, limits, "category").where(
         (F.col("related_article_count") >= F.col("article_limit"))
         | (F.col("source_count") >= F.col("source_limit"))
     )

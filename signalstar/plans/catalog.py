@@ -53,7 +53,7 @@ from signalstar.session import scratch_path
 from signalstar.sources import documents as docs
 from signalstar.sources.population_sheet import places_from_sheet
 from signalstar.sources.schemas import FACTS
-from signalstar.sources.tables import local_table, save_processed
+from signalstar.sources.tables import local_table, materialised, save_processed
 from signalstar.sources.trends import national_rows, regional_rows
 from signalstar.streaming import weekly
 
@@ -195,6 +195,7 @@ def _urgent_weeks(spark: SparkSession, folder: str) -> DataFrame:
         .groupBy("entity_id", week_start(F.to_date("o_orderdate")).alias("date"))
         .agg(F.count(F.lit(1)).alias("n"))
     )
+    counts = materialised(counts, "urgent-weeks")
     limits = group_percentiles(counts, ["entity_id"], "n", {"limit": 0.95})
     return counts.join(limits, "entity_id").where(F.col("n") >= F.col("limit")).select(
         "entity_id", "date"

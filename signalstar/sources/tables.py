@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
 from signalstar.functions.cleaning import nan_to_null
+from signalstar.session import scratch_path
 from signalstar.sources.schemas import TABLES
 
 
@@ -47,6 +48,13 @@ def nans_to_nulls(df: DataFrame) -> DataFrame:
     )
 
 
+def materialised(df: DataFrame, name: str) -> DataFrame:
+    """Rows that a query needs more than once, written to the shared folder and read back."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def save_processed(df: DataFrame, path: str, file_format: str = "csv") -> None:
     """A hand-off file set: folders are made, CSV gets a header."""
     writer = nans_to_nulls(df).write.mode("overwrite").format(file_format)
