@@ -105,4 +105,61 @@ SQL: dict[str, str] = {
         FROM normal
         WINDOW best AS (PARTITION BY norm ORDER BY length(body) DESC, doc_id)
     """,
+    "op8_chosen_path": r"""
+        WITH RECURSIVE words AS (
+            SELECT doc_id, list_filter(regexp_split_to_array(lower(coalesce(text, '')), '\s+'),
+                                       lambda x: x <> '') AS w
+            FROM documents
+        ),
+        shingles AS (
+            SELECT DISTINCT doc_id,
+                   unnest([array_to_string(w[i : i + 4], ' ') for i in range(1, greatest(len(w) - 3, 2))])
+                     AS shingle
+            FROM words WHERE len(w) > 0
+        ),
+        sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
+        shared AS (
+            SELECT a.doc_id AS one, b.doc_id AS other, count(*) AS common
+            FROM shingles a JOIN shingles b ON a.shingle = b.shingle AND a.doc_id <> b.doc_id
+            GROUP BY ALL
+        ),
+        links AS (
+            SELECT one, other FROM shared
+            JOIN sizes x ON x.doc_id = one JOIN sizes y ON y.doc_id = other
+            WHERE common >= 0.8 * (x.n + y.n - common) - 1e-9
+        ),
+        reach AS (
+            SELECT doc_id AS origin, doc_id AS node FROM documents
+            UNION SELECT origin, other FROM reach JOIN links ON one = node
+        ),
+        classes AS (SELECT origin AS doc_id, min(node) AS class_id FROM reach GROUP BY origin)
+        SELECT doc_id, class_id, (SELECT count(*) FROM links WHERE one = doc_id) AS n_links,
+               doc_id = class_id AS kept
+        FROM classes
+    """,
+    "op10_lattice": """
+        WITH RECURSIVE vectors AS (
+            SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS v FROM embeddings
+            WHERE label IS NOT NULL AND len(embedding) > 0
+              AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+        ),
+        usable AS (
+            SELECT vec_id, label, v, len(v) AS dims, sqrt(list_dot_product(v, v)) AS size
+            FROM vectors WHERE list_dot_product(v, v) > 0
+        ),
+        links AS (
+            SELECT a.vec_id AS one, b.vec_id AS other
+            FROM usable a JOIN usable b
+              ON a.label = b.label AND a.dims = b.dims AND a.vec_id <> b.vec_id
+            WHERE list_dot_product(a.v, b.v) / (a.size * b.size) >= 0.93
+        ),
+        reach AS (
+            SELECT vec_id AS origin, vec_id AS node FROM embeddings
+            UNION SELECT origin, other FROM reach JOIN links ON one = node
+        ),
+        classes AS (SELECT origin AS vec_id, min(node) AS component_id FROM reach GROUP BY origin)
+        SELECT vec_id, (SELECT count(*) FROM links WHERE one = vec_id) AS n_links, component_id,
+               vec_id = component_id AS kept
+        FROM classes
+    """,
 }
