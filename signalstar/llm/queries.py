@@ -90,7 +90,151 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_url_trees": op9_url_trees,
 }
 
+def _mixing_sql() -> str:
+    """Budgets by comparing each child with its siblings, then running token sums."""
+    levels = ["domain", "lang", "source"]
+    parts, above = [], "SELECT sum(tokens) * {} // 100 AS budget FROM counted".format(MIX_PERCENT)
+    for depth, level in enumerate(levels):
+        path = levels[: depth + 1]
+        keys, parent = ", ".join(path), path[:-1]
+        join = f"JOIN ({above}) p USING ({', '.join(parent)})" if parent else f"CROSS JOIN ({above}) p"
+        family = " AND ".join(["true", *[f"s.{c} = c.{c}" for c in parent]])
+        first = f"(s.cap / s.weight, s.{level}) < (c.cap / c.weight, c.{level})"
+        weight = " ".join(f"WHEN '{k}' THEN {v}" for k, v in MIX_WEIGHTS[level].items())
+        weight = f"CASE {level} {weight} ELSE 1 END" if weight else "1"
+        parts.append(f"""
+        child_{level} AS (
+            SELECT {keys}, CAST({MIX_EPOCHS} * sum(tokens) AS BIGINT) AS cap, any_value(budget) AS budget,
+                   {weight} AS weight
+            FROM counted {join} GROUP BY {keys}),
+        placed_{level} AS (
+            SELECT *, greatest(budget - coalesce(used, 0), 0) AS rest FROM (
+                SELECT c.*, sum(s.cap) FILTER (WHERE {first}) AS used,
+                       sum(s.weight) FILTER (WHERE NOT ({first})) AS open
+                FROM child_{level} c JOIN child_{level} s ON {family} GROUP BY ALL)),
+        level_{level} AS (
+            SELECT {", ".join([*parent, "true AS some"])},
+                   arg_min(rest, (cap / weight, {level})) AS rest, arg_min(open, (cap / weight, {level})) AS open,
+                   min((cap / weight, {level})) AS since
+            FROM placed_{level} WHERE cap * open > rest * weight GROUP BY ALL),
+        budget_{level} AS (
+            SELECT {", ".join("c." + c for c in path)},
+                   CASE WHEN s.since IS NULL OR (c.cap / c.weight, c.{level}) < s.since THEN c.cap
+                        ELSE least(s.rest * c.weight // s.open, c.cap) END AS budget
+            FROM placed_{level} c LEFT JOIN level_{level} s ON {family})""")
+        above = f"SELECT * FROM budget_{level}"
+    return r"""
+        WITH counted AS (
+            SELECT doc_id, 'd' || CAST(regexp_extract(source, '([0-9]+)$', 1) AS BIGINT) % 4 AS domain,
+                   lang, source, len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')) AS tokens
+            FROM documents WHERE len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')) > 0),
+    """ + ",".join(parts) + f""",
+        leaves AS (
+            SELECT domain, lang, source, CAST(budget AS BIGINT) AS leaf_budget,
+                   budget // leaf_tokens AS whole, budget % leaf_tokens AS part
+            FROM budget_source
+            JOIN (SELECT domain, lang, source, sum(tokens) AS leaf_tokens FROM counted GROUP BY ALL)
+              USING (domain, lang, source)),
+        ordered AS (
+            SELECT counted.*, leaf_budget, whole,
+                   part - coalesce(sum(tokens) OVER (
+                       PARTITION BY domain, lang, source
+                       ORDER BY md5('{MIX_SEED}:' || (whole + 1) || ':' || doc_id), tokens
+                       ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS room
+            FROM counted JOIN leaves USING (domain, lang, source)),
+        taken AS (
+            SELECT *, unnest(generate_series(1, CAST(whole AS BIGINT))) AS epoch, tokens AS take FROM ordered
+            UNION ALL SELECT *, whole + 1, least(tokens, room) FROM ordered WHERE room > 0)
+        SELECT doc_id, domain, lang, source, CAST(epoch AS BIGINT) AS epoch, tokens,
+               CAST(take AS BIGINT) AS take_tokens, leaf_budget
+        FROM taken
+    """
+
+
+# The patterns as they are defined, for the comparison.
+PLAIN_PATTERNS = {
+    "email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+",
+    "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)",
+    "card": r"[0-9]([\x20-]?[0-9])+",
+    "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
+}
+
+
+def _disclosure_sql() -> str:
+    def found(kind: str, no: int, pattern: str, rows: str) -> str:
+        """Matches with their places, from the lengths of all pieces before them."""
+        return f"""
+            SELECT doc_id, '{kind}' AS kind, {no} AS no, text, m[i] AS value,
+                   CAST(list_sum(list_transform(g[1 : i], lambda x: length(x)))
+                        + coalesce(list_sum(list_transform(m[1 : i - 1], lambda x: length(x))), 0)
+                        AS BIGINT) AS "from"
+            FROM (SELECT doc_id, text, m, g, unnest(range(1, len(m) + 1)) AS i FROM (
+                SELECT doc_id, text, regexp_extract_all(text, '{pattern}') AS m,
+                       regexp_split_to_array(text, '{pattern}') AS g FROM {rows}))"""
+
+    every = " UNION ALL ".join(
+        found(kind, no, pattern, "docs") for no, (kind, pattern) in enumerate(PLAIN_PATTERNS.items())
+    )
+    number = "+ 9 * CAST(d[-k] > '4' AS INTEGER) * -1"
+    luhn = f"""list_sum(list_transform(range(1, len(d) + 1), lambda k:
+        CASE WHEN k % 2 = 1 THEN CAST(d[-k] AS INTEGER) ELSE 2 * CAST(d[-k] AS INTEGER) {number} END))"""
+    return rf"""
+        WITH docs AS (SELECT doc_id, coalesce(text, '') AS text FROM documents),
+        every AS (SELECT *, regexp_replace(value, '[^0-9]', '', 'g') AS d FROM ({every})),
+        base AS (
+            SELECT *, "from" + length(value) AS upto FROM every
+            WHERE CASE kind
+                WHEN 'ip' THEN list_bool_and(list_transform(
+                    string_split(value, '.'), lambda x: length(ltrim(x, '0')) <= 3
+                    AND coalesce(TRY_CAST(x AS INTEGER), 256) <= 255))
+                WHEN 'card' THEN length(d) BETWEEN 12 AND 19 AND {luhn} % 10 = 0
+                WHEN 'phone' THEN length(d) BETWEEN 9 AND 15
+                ELSE true END),
+        entities AS (
+            SELECT *, kind || ':' || CASE WHEN kind IN ('card', 'phone') THEN d ELSE lower(value) END AS entity,
+                   greatest("from" - 48, 0) AS low
+            FROM base),
+        near AS (
+            SELECT DISTINCT doc_id, entity, unnest(regexp_extract_all(lower(
+                regexp_replace(substr(text, low + 1, "from" - low),
+                               CASE WHEN low > 0 THEN '^\p{{L}}+' ELSE '^$' END, '')
+                || ' ' || regexp_replace(substr(text, upto + 1, 48), '\p{{L}}+$', '')
+            ), '\p{{L}}{{4,}}')) AS term
+            FROM entities),
+        n_term AS (
+            SELECT term, count(*) AS n_t FROM (
+                SELECT DISTINCT doc_id, unnest(regexp_extract_all(lower(text), '\p{{L}}{{4,}}')) AS term
+                FROM docs) GROUP BY term),
+        n_entity AS (SELECT entity, count(DISTINCT doc_id) AS n_e FROM entities GROUP BY entity),
+        flagged AS (
+            SELECT entity, term
+            FROM (SELECT entity, term, count(*) AS n_et FROM near GROUP BY ALL) pairs
+            JOIN n_entity USING (entity) JOIN n_term USING (term)
+            CROSS JOIN (SELECT count(*) AS n FROM docs) total
+            WHERE n_et >= {pii.SUPPORT} AND n_e < n
+              AND ln(n * n_et / (n_e * n_t)) >= {pii.DISCLOSURE} * ln(n / n_e)),
+        wanted AS (SELECT DISTINCT doc_id, term FROM near JOIN flagged USING (entity, term)),
+        words AS ({found("term", 4, r"\p{L}+", "(SELECT * FROM docs WHERE doc_id IN (SELECT doc_id FROM wanted)) x")}),
+        added AS (
+            SELECT w.doc_id, w.kind, w.no, w."from", w."from" + length(w.value) AS upto
+            FROM words w JOIN wanted ON w.doc_id = wanted.doc_id AND lower(w.value) = wanted.term
+            WHERE NOT EXISTS (SELECT 1 FROM base b WHERE b.doc_id = w.doc_id
+                              AND b."from" < w."from" + length(w.value) AND w."from" < b.upto)),
+        spans AS (
+            SELECT doc_id, kind, no, "from", kind || ':' || "from" || ':' || upto AS span
+            FROM (SELECT doc_id, kind, no, "from", upto FROM base UNION ALL SELECT * FROM added))
+        SELECT doc_id,
+               {", ".join(f"count(*) FILTER (WHERE kind = '{k}') AS n_{k}" for k in PLAIN_PATTERNS)},
+               sha256(coalesce(string_agg(span, ',' ORDER BY "from", no) FILTER (WHERE no < 4), '')) AS base_sha256,
+               coalesce(string_agg(span, ',' ORDER BY "from", no), '') AS spans,
+               count(*) FILTER (WHERE kind = 'term') AS n_term
+        FROM docs LEFT JOIN spans USING (doc_id) GROUP BY doc_id
+    """
+
+
 SQL: dict[str, str] = {
+    "op3_disclosure": _disclosure_sql(),
+    "op1_mixing": _mixing_sql(),
     "op2_content_sort": r"""
         WITH normal AS (
             SELECT doc_id, coalesce(text, '') AS body,
