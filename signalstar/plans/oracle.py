@@ -643,5 +643,6 @@ SELECT *, week <= (SELECT max(week) FROM weekly) - 14 AS closed FROM weekly""",
 SELECT t AS table_name, 'foreign_key' AS check_name, 'entity_id' AS column_name,
        CAST(1 AS BIGINT) AS n_bad, min(entity_id) AS sample
 FROM (SELECT 'interest' AS t, entity_id FROM f_interest
-      UNION ALL SELECT 'events', entity_id FROM f_events) GROUP BY t"""),
+      UNION ALL SELECT 'events', entity_id FROM f_events)
+WHERE entity_id = (SELECT min(entity_id) FROM d_entities) GROUP BY t"""),
 }
