@@ -144,6 +144,7 @@ def test_pages(spark):
     rows += [(10 + i, f"https://b.org/{i}?q", PLAIN_PAGE.format(i=i)) for i in range(5)]
     rows += [(20, None, None), (21, "http://a.org/x", ""), (22, "nonsense", "just text"),
              (23, "http://a.org/y", "<p>no article here</p>"), (None, "http://b.org/z", "<div"),
+             (25, "http://d.org/", "<div class='page has-sidebar'><main><p>Kept</p></main></div>"),
              (24, "http://c.org/", "<p>deep " * 3000), (10, "https://b.org/0?q", PLAIN_PAGE.format(i=0))]
     pages = spark.createDataFrame([(*r, "x") for r in rows], "page_id long, url string, html string, host string")
     got = [(r.page_id, r.url, r.text, r.n_chars) for r in wrappers.main_text(pages).collect()]
@@ -156,6 +157,7 @@ def test_pages(spark):
     assert by_id[20][1:] == (None, "", 0) and by_id[21][2] == ""
     assert by_id[22][2] == "just text" and by_id[23][2] == "no article here"
     assert by_id[24][2].count("\n\n") == 2999
+    assert by_id[25][2] == "Kept"
     assert all(g[3] == len(g[2]) for g in got)
     none = spark.createDataFrame([], "page_id long, url string, html string")
     assert wrappers.main_text(none).count() == 0
