@@ -81,3 +81,10 @@ def test_only_needed_columns_are_read(spark):
     text = plan(QUERIES["kpi_overall_growth"](spark, SMALL))
     schemas = re.findall(r"ReadSchema: struct<([^>]*)>", text)
     assert schemas and all("c_name" not in s and "c_acctbal" not in s and "o_orderkey" not in s for s in schemas)
+
+
+def test_facts_are_not_read_again_for_limits_and_bounds(spark):
+    """What sizes, limits and bounds need comes from rows written once."""
+    for name in ("events_high_attention", "source_agreement"):
+        text = plan(QUERIES[name](spark, SMALL))
+        assert not re.search(r"/(orders|events)\.parquet", text), name
