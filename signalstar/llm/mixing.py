@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from signalstar.llm.common import WORD, body, stored
 
-SLICE_ROWS = 50_000  # rows of one ordered slice of a leaf
+SLICE_ROWS = 5_000  # rows of one ordered slice of a leaf
 HASHES = 1 << 32
 
 
