@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from datetime import date
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from signalstar.functions.calendar import (
@@ -51,9 +51,10 @@ from signalstar.plans.star import Star
 from signalstar.plans.warehouse import load_star
 from signalstar.session import scratch_path
 from signalstar.sources import documents as docs
-from signalstar.sources.population_sheet import places_from_sheet
+from signalstar.sources import reference_rows as ref
+from signalstar.sources.population_sheet import places_from_sheet, with_header
 from signalstar.sources.schemas import FACTS
-from signalstar.sources.tables import local_table, materialised, save_processed
+from signalstar.sources.tables import local_table, materialised, reload_table, save_processed
 from signalstar.sources.trends import national_rows, regional_rows
 from signalstar.streaming import weekly
 
@@ -307,6 +308,51 @@ def _sheet_populations(spark: SparkSession, folder: str) -> DataFrame:
     return docs.newest_population(places)
 
 
+def _raw_star(spark: SparkSession, folder: str) -> Star:
+    """The whole way of raw data: real exports, the star read from them, its tables handed
+    on as CSV, and the star read from those. Entities are numbered, sources are authored."""
+    target = scratch_path(spark, "exports")
+    paths = raw_star.RawPaths(
+        **derived.write_exports(spark, folder, f"{target}/raw"), bodies_per_line=True
+    )
+    ordered = order_star(spark, folder)
+    number = F.row_number().over(Window.orderBy("entity_name"))  # a handful of rows
+    numbered = materialised(ordered.entities.withColumn("entity_id", number), "entities")
+    star = raw_star.raw_star(
+        spark, paths, numbered, region_keys=ordered.regions.select("region_id", "region_name")
+    )
+    for name, rows in star.tables().items():
+        save_processed(rows, f"{target}/processed/{name}")
+    return Star.read(spark, f"{target}/processed", "csv")
+
+
+def _on_raw_star(question: Callable[[Star], DataFrame]) -> Query:
+    return lambda spark, folder: question(_raw_star(spark, folder))
+
+
+def _sheet_from_file(spark: SparkSession, folder: str) -> DataFrame:
+    years = table(spark, folder, "orders").select(F.year("o_orderdate").alias("year")).distinct()
+    cells = derived.write_sheet(
+        spark, folder, sorted(row.year for row in years.collect()), scratch_path(spark, "sheet")
+    )
+    return docs.newest_population(
+        places_from_sheet(with_header(cells), derived.nation_codes(spark, folder))
+    )
+
+
+def _missing_scores(spark: SparkSession, folder: str) -> DataFrame:
+    """Scores that are not a number when they are saved are missing when they are read."""
+    score = F.when(F.col("date_id") % 7 == 0, F.lit(float("nan"))).otherwise(F.col("interest_score"))
+    rows = order_star(spark, folder).interest.withColumn("interest_score", score)
+    target = scratch_path(spark, "missing")
+    reload_table(rows, target)
+    return spark.read.schema(rows.schema).parquet(target).groupBy("source_id").agg(
+        F.count(F.lit(1)).alias("n_rows"),
+        F.count_if(F.col("interest_score").isNull()).alias("n_missing"),
+        F.count_if(F.isnan("interest_score")).alias("n_nan"),
+    )
+
+
 def _unresolved_names(spark: SparkSession, folder: str) -> DataFrame:
     """Event types and segments in mixed case against the segments."""
     names = table(spark, folder, "events").select(
@@ -493,7 +539,13 @@ QUERIES: dict[str, Query] = {
     "fact_news": _news_events,
     "fact_publications": _publication_events,
     "fact_event_rollup": lambda spark, folder: order_star(spark, folder).events,
+    "raw_kpi_top_entity": _on_raw_star(lambda s: growth.entity_growth(s, ref.TREND_SOURCE)),
+    "raw_interest_report": _on_raw_star(raw_star.interest_report),
+    "raw_event_report": _on_raw_star(raw_star.event_report),
+    "raw_events": _on_raw_star(lambda s: s.events),
+    "raw_population_sheet": _sheet_from_file,
     "load_star_counts": _load_counts,
+    "load_missing_scores": _missing_scores,
     "load_rejects_orphans": _load_rejects_orphans,
     "stream_weekly_events": _streamed_weeks,
 }

@@ -137,6 +137,52 @@ def national_lines(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def _write_lines(lines: DataFrame, path: str, header: str) -> str:
+    """Lines as one export per file name, below a preamble and a header; returns the glob."""
+    above = [("Category: All categories", None), (header, "Score")]
+    top = lines.select("file_name").distinct().select(
+        "file_name",
+        F.inline(F.array(*[
+            F.struct(F.lit(a).alias("label"), F.lit(b).cast("string").alias("value")) for a, b in above
+        ])),
+    )
+    whole = top.unionByName(lines).withColumn("anchor", F.lit("100"))
+    whole.write.partitionBy("file_name").csv(
+        path, ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False
+    )
+    return f"{path}/file_name=*"
+
+
+def _write_bodies(bodies: DataFrame, path: str) -> str:
+    bodies.select("file_name", "body").write.partitionBy("file_name").text(path)
+    return f"{path}/file_name=*"
+
+
+def write_exports(spark: SparkSession, folder: str, target: str) -> dict[str, str]:
+    """Lines and bodies as real files below ``target``: the path of each raw source."""
+    return {
+        "national": _write_lines(national_lines(spark, folder), f"{target}/national", "Week"),
+        "regional": _write_lines(regional_lines(spark, folder), f"{target}/regional", "Region"),
+        "news": _write_bodies(news_bodies(spark, folder), f"{target}/news"),
+        "publications": _write_bodies(publication_bodies(spark, folder), f"{target}/publications"),
+        "pageviews": _write_bodies(pageview_bodies(spark, folder), f"{target}/pageviews"),
+    }
+
+
+def write_sheet(spark: SparkSession, folder: str, years: list[int], path: str) -> DataFrame:
+    """The wide sheet as a file whose header stands below a title, read back cell by cell."""
+    sheet = population_sheet(spark, folder, years)
+    cells = [f"c{i}" for i in range(len(sheet.columns))]
+    title = [F.lit("Mid-year estimates"), *[F.lit(None)] * (len(cells) - 1)]
+    above = spark.range(1).select(F.inline(F.array(*[
+        F.struct(*[v.cast("string").alias(c) for c, v in zip(cells, row)])
+        for row in (title, [F.lit(name) for name in sheet.columns])
+    ])))
+    body = sheet.select(*[F.col(n).cast("string").alias(c) for n, c in zip(sheet.columns, cells)])
+    above.unionByName(body).write.csv(path)
+    return spark.read.schema(body.schema).csv(path)
+
+
 def percent_text(number):
     """Percent cells of every kind: blank, missing, below one, one decorated, plain."""
     return (

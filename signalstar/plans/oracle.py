@@ -332,14 +332,85 @@ snapshots AS (
 THOUSANDS = "CAST(floor(o_totalprice / 1000.0) AS BIGINT)"
 
 
-def rolled(where: str, publisher: str, category: str, times: int) -> str:
+PAGEVIEWS = f"""
+, totals AS (
+  SELECT entity_id, event_date, CAST(sum(CAST(floor(value) AS BIGINT)) AS DOUBLE) AS t
+  FROM event_rows GROUP BY ALL),
+peaks AS (SELECT entity_id, max(t) AS peak FROM totals GROUP BY entity_id),
+pageviews AS (
+  SELECT entity_id, event_date, {key("event_date")} AS date_id,
+         CASE WHEN peak > 0 THEN t / peak * 100.0 ELSE 0.0 END AS score
+  FROM totals JOIN peaks USING (entity_id))
+"""
+
+
+def rolled(
+    where: str, publisher: str, category: str, times: int, title: str = "arg_min(props, event_id)"
+) -> str:
     return f"""
 SELECT event_date, CAST({times} * count(*) AS BIGINT) AS related_article_count,
        count(DISTINCT {publisher}) AS source_count, '{category}' AS category,
-       arg_min(props, event_id) AS title, CAST(NULL AS INTEGER) AS region_id, entity_id
+       {title} AS title, CAST(NULL AS INTEGER) AS region_id, entity_id
 FROM event_rows {where} GROUP BY entity_id, event_date"""
 
 
+# The star read from files: entities by number, sources 1 (trends) and 4 (page views).
+RAW = NATIONAL + SNAPSHOTS + PAGEVIEWS + f"""
+, numbers AS (
+  SELECT entity_id, entity_name, CAST(rank() OVER (ORDER BY entity_name) AS INTEGER) AS number
+  FROM d_entities),
+raw_interest AS (
+  SELECT date_id, date, number AS entity_id, entity_name, region_id, source_id, interest_score
+  FROM (SELECT entity_id, date, date_id, CAST(NULL AS INTEGER) AS region_id, 1 AS source_id,
+               interest_score FROM national
+        UNION ALL SELECT entity_id, date, {key("date")}, region_id, 1, interest_score FROM snapshots
+        UNION ALL SELECT entity_id, event_date, date_id, NULL, 4, score FROM pageviews)
+  JOIN numbers USING (entity_id)),
+raw_trends AS (SELECT * FROM raw_interest WHERE source_id = 1),
+raw_events AS (
+  SELECT e.* REPLACE (number AS entity_id)
+  FROM ({rolled("", "user_id", "News/Media", 2, "min(props)")}
+        UNION ALL {rolled("", "category", "Clinical research", 1, "min(props)")}) e
+  JOIN numbers ON numbers.entity_id = e.entity_id)
+"""
+PROJECT_WEEKS = f"""SELECT {key("CAST(w AS DATE)")} FROM (SELECT unnest(generate_series(
+    TIMESTAMP '2023-01-01', TIMESTAMP '2026-12-31', INTERVAL 7 DAY)) AS w)"""
+PROJECT_DATES = "NOT BETWEEN DATE '2023-01-01' AND DATE '2026-12-31'"
+RAW_INTEREST_REPORT = union_all(
+    [
+        *[check("interest", "no_nulls", c, "raw_interest", f"{c} IS NULL")
+          for c in ("date_id", "entity_id", "source_id", "interest_score")],
+        check("interest", "date_bounds", "date_id", "raw_interest", f"date {PROJECT_DATES}"),
+        check("interest", "within", "interest_score", "raw_interest",
+              "interest_score NOT BETWEEN 0 AND 100"),
+        orphan_check("interest", "date_id", "raw_interest", PROJECT_WEEKS),
+        orphan_check("interest", "entity_id", "raw_interest", "SELECT number FROM numbers"),
+        orphan_check("interest", "region_id", "raw_interest", "SELECT region_id FROM d_regions"),
+        orphan_check("interest", "source_id", "raw_interest", "SELECT unnest(range(1, 6))"),
+    ]
+)
+RAW_EVENT_REPORT = union_all(
+    [
+        *[check("events", "no_nulls", c, "raw_events", f"{c} IS NULL")
+          for c in ("event_date", "related_article_count", "source_count", "category", "title",
+                    "entity_id")],
+        check("events", "date_bounds", "event_date", "raw_events", f"event_date {PROJECT_DATES}"),
+        *[check("events", "at_least", c, "raw_events", f"{c} < 1")
+          for c in ("related_article_count", "source_count")],
+        check("events", "not_above", "source_count", "raw_events",
+              "source_count > related_article_count"),
+        orphan_check("events", "entity_id", "raw_events", "SELECT number FROM numbers"),
+        orphan_check("events", "region_id", "raw_events", "SELECT region_id FROM d_regions"),
+    ]
+)
+SHEET = """
+SELECT 'N' || n_nationkey AS ons_code, n_name AS region_name,
+       nullif(count(*) FILTER (WHERE year(o_orderdate) = newest), 0) AS population,
+       CAST(any_value(newest) AS VARCHAR) AS year
+FROM (SELECT *, max(year(o_orderdate)) OVER () AS newest FROM orders) AS orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey
+GROUP BY n_nationkey, n_name"""
+
+
 TOP_WORDS = f"""
 WITH pieces AS (
   SELECT source, doc_id, regexp_split_to_array(lower(text), '[^A-Za-z]+') AS a FROM documents),
@@ -600,12 +671,7 @@ FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey =
 WHERE n_nationkey < 20
 GROUP BY n_nationkey, n_name, year(o_orderdate)
 QUALIFY row_number() OVER (PARTITION BY n_nationkey ORDER BY year(o_orderdate) DESC) = 1""",
-    "src_population_sheet": """
-SELECT 'N' || n_nationkey AS ons_code, n_name AS region_name,
-       nullif(count(*) FILTER (WHERE year(o_orderdate) = newest), 0) AS population,
-       CAST(any_value(newest) AS VARCHAR) AS year
-FROM (SELECT *, max(year(o_orderdate)) OVER () AS newest FROM orders) AS orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey
-GROUP BY n_nationkey, n_name""",
+    "src_population_sheet": SHEET,
     "resolve_unknown_names": """
 SELECT DISTINCT ' ' || upper(event_type) AS value FROM events""",
     "text_sentence_case": """
@@ -616,21 +682,25 @@ SELECT date_id, entity_id, CAST(NULL AS INTEGER) AS region_id, 3 AS source_id, i
 FROM national
 UNION ALL
 SELECT {key("date")}, entity_id, region_id, 3, interest_score FROM snapshots"""),
-    "fact_pageviews": on_star(f"""
-, totals AS (
-  SELECT entity_id, event_date, CAST(sum(CAST(floor(value) AS BIGINT)) AS DOUBLE) AS t
-  FROM event_rows GROUP BY ALL),
-peaks AS (SELECT entity_id, max(t) AS peak FROM totals GROUP BY entity_id)
-SELECT {key("event_date")} AS date_id, entity_id, CAST(NULL AS INTEGER) AS region_id,
-       2 AS source_id,
-       round(CASE WHEN peak > 0 THEN t / peak * 100.0 ELSE 0.0 END, 6) AS interest_score
-FROM totals JOIN peaks USING (entity_id)"""),
+    "fact_pageviews": on_star(PAGEVIEWS + """
+SELECT date_id, entity_id, CAST(NULL AS INTEGER) AS region_id, 2 AS source_id,
+       round(score, 6) AS interest_score
+FROM pageviews"""),
     "fact_news": on_star(rolled("", "user_id", "News/Media", 2)),
     "fact_publications": on_star(
         rolled("WHERE event_date BETWEEN DATE '2024-01-07' AND DATE '2024-01-27'", "category",
                "Clinical research", 1)
     ),
     "fact_event_rollup": on_star("SELECT * FROM f_events"),
+    "raw_kpi_top_entity": on_star(RAW + growth("raw_trends", "entity_name")),
+    "raw_interest_report": on_star(RAW + RAW_INTEREST_REPORT),
+    "raw_event_report": on_star(RAW + RAW_EVENT_REPORT),
+    "raw_events": on_star(RAW + "SELECT * FROM raw_events"),
+    "raw_population_sheet": SHEET,
+    "load_missing_scores": on_star("""
+SELECT source_id, count(*) AS n_rows, count(*) FILTER (WHERE date_id % 7 = 0) AS n_missing,
+       CAST(0 AS BIGINT) AS n_nan
+FROM f_interest GROUP BY source_id"""),
     "load_star_counts": on_star(f"""
 SELECT table_name, row_count, row_count AS observed_rows FROM ({ROW_COUNTS}
 UNION ALL SELECT 'interest_csv', count(*) FROM f_interest)"""),

@@ -37,6 +37,7 @@ class RawPaths:
     publications: str | None = None
     pageviews: str | None = None
     population: str | None = None
+    bodies_per_line: bool = False  # JSON exports hold one body per line
 
 
 def with_entity(df: DataFrame, entities: DataFrame, name: str = "entity_name") -> DataFrame:
@@ -135,12 +136,16 @@ def raw_star(
     keys = ref.region_keys(spark) if region_keys is None else region_keys
 
     if paths.population:
-        names = [name for name, _ in ref.REGION_CODES]
+        # Regions of a caller's own are matched by name in the dimension itself.
+        names = [name for name, _ in ref.REGION_CODES] if region_keys is None else None
         staged = docs.populations(docs.read_bodies(spark, paths.population), names)
         regions = region_dimension(staged, keys)
     else:
         regions = keys.withColumn("population", F.lit(None).cast("bigint"))
 
+    def bodies(path: str) -> DataFrame:
+        return docs.read_bodies(spark, path, paths.bodies_per_line)
+
     interest, events = [], []
     if paths.national:
         lines = read_trend_lines(spark, paths.national)
@@ -149,15 +154,15 @@ def raw_star(
         lines = read_trend_lines(spark, paths.regional)
         interest.append(regional_facts(regional_rows(lines), entities, regions, sources))
     if paths.pageviews:
-        views = docs.pageviews(docs.read_bodies(spark, paths.pageviews))
+        views = docs.pageviews(bodies(paths.pageviews))
         interest.append(
             pageview_facts(_entity_column(views, docs.PAGEVIEW_SUFFIX), entities, sources)
         )
     if paths.news:
-        news = docs.news_articles(docs.read_bodies(spark, paths.news))
+        news = docs.news_articles(bodies(paths.news))
         events.append(news_facts(_entity_column(news, docs.NEWS_SUFFIX), entities))
     if paths.publications:
-        found = docs.publications(docs.read_bodies(spark, paths.publications))
+        found = docs.publications(bodies(paths.publications))
         events.append(publication_facts(_entity_column(found, docs.PUBLICATION_SUFFIX), entities))
     if not interest or not events:
         raise ValueError("a star needs an interest source and an event source")

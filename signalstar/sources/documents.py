@@ -20,6 +20,7 @@ from signalstar.sources.schemas import (
     PUBLICATION,
     PUBLICATION_FILE,
 )
+from signalstar.sources.tables import export_name
 
 # File names after the entity name.
 NEWS_SUFFIX = ".json"
@@ -27,10 +28,16 @@ PUBLICATION_SUFFIX = "_summary.json"
 PAGEVIEW_SUFFIX = "_pageviews.json"
 
 
-def read_bodies(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    """One row per file. The sources cap what a file holds, so a body stays small."""
-    return spark.read.text(path, wholetext=True).select(
-        F.col("_metadata.file_name").alias("file_name"), F.col("value").alias("body")
+def read_bodies(
+    spark: SparkSession, path: str | list[str], per_line: bool = False
+) -> DataFrame:
+    """One row per file, or per line where many bodies are kept in an export's part files.
+
+    A file read as a whole is one row of one task; the sources cap what it holds. Large
+    collections are read by line, which splits.
+    """
+    return spark.read.text(path, wholetext=not per_line).select(
+        export_name().alias("file_name"), F.col("value").alias("body")
     )
 
 
@@ -95,11 +102,13 @@ def pageviews(bodies: DataFrame) -> DataFrame:
     )
 
 
-def populations(bodies: DataFrame, region_names: list[str]) -> DataFrame:
-    """The newest figure of every known region: code, name, population, year."""
+def populations(bodies: DataFrame, region_names: list[str] | None) -> DataFrame:
+    """The newest figure of every known (None: every) region: code, name, population, year."""
     parsed = bodies.select(F.from_json("body", POPULATION_FILE).getField("geographies").alias("g"))
     places = parsed.select(F.explode_outer("g").alias("place")).select("place.*")
-    return newest_population(places.where(F.col("name").isin(*region_names)))
+    if region_names is not None:
+        places = places.where(F.col("name").isin(*region_names))
+    return newest_population(places)
 
 
 def newest_population(places: DataFrame) -> DataFrame:

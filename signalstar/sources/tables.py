@@ -5,7 +5,7 @@ from __future__ import annotations
 import uuid
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
@@ -15,13 +15,24 @@ from signalstar.session import scratch_path
 from signalstar.sources.schemas import TABLES
 
 
+def export_name() -> Column:
+    """The name of the export that a scanned row belongs to: its file, or for the part files
+    of a large export the folder they are in, plain or as a partition (``name=…``)."""
+    folder = F.element_at(F.split(F.col("_metadata.file_path"), "/"), -2)
+    folder = F.url_decode(F.replace(folder, F.lit("+"), F.lit("%2B")))
+    file = F.col("_metadata.file_name")
+    return F.when(
+        file.startswith("part-"), F.regexp_replace(folder, "^[a-z_]+=", "")
+    ).otherwise(file)
+
+
 def read_table(
     spark: SparkSession, folder: str, name: str, file_format: str = "parquet"
 ) -> DataFrame:
     """One of the six tables; CSV is read with the table's schema, never inferred."""
     path = f"{folder}/{name}"
     if file_format == "csv":
-        return spark.read.schema(TABLES[name]).csv(path, header=True)
+        return spark.read.schema(TABLES[name]).csv(path, header=True, escape='"')
     return spark.read.format(file_format).load(path)
 
 
@@ -59,7 +70,8 @@ def save_processed(df: DataFrame, path: str, file_format: str = "csv") -> None:
     """A hand-off file set: folders are made, CSV gets a header."""
     writer = nans_to_nulls(df).write.mode("overwrite").format(file_format)
     if file_format == "csv":
-        writer = writer.option("header", True)
+        # Quotes are doubled, as other tools expect.
+        writer = writer.option("header", True).option("escape", '"')
     writer.save(path)
 
 

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from signalstar.functions.calendar import week_start
 from signalstar.functions.cleaning import national_score, percent_score, snapshot_week
 from signalstar.sources.schemas import TREND_LINE
+from signalstar.sources.tables import export_name
 
 # What the lines above the data begin with, and how files are named.
 PREAMBLE_PREFIX = "Category:"
@@ -21,11 +22,12 @@ def read_trend_lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
     """All data lines of all files in one scan: ``file_name, label, value``.
 
     Header texts differ per file, so columns go by position; the anchor column is
-    never read out of the parser. A line without a label stays, and its missing week or
+    never read out of the parser. An export may be one file or a folder of part files of
+    that name. A line without a label stays, and its missing week or
     region is then found by the checks.
     """
     lines = spark.read.schema(TREND_LINE).csv(path).select(
-        F.col("_metadata.file_name").alias("file_name"), "label", "value"
+        export_name().alias("file_name"), "label", "value"
     )
     above = F.col("label").startswith(PREAMBLE_PREFIX) | F.col("label").isin(*HEADER_LABELS)
     return lines.where(~F.coalesce(above, F.lit(False)))

@@ -5,6 +5,7 @@ from datetime import date
 
 import pytest
 from conftest import as_set, rows
+from pyspark.sql import functions as F
 
 from signalstar.session import scratch_path, shared_folder
 from signalstar.sources import documents as docs
@@ -46,6 +47,28 @@ def test_regional_files(spark, tmp_path):
         ("AB-1", "England", "current", date(2026, 5, 10), 0.0)}
 
 
+def test_exports_in_part_files(spark, tmp_path):
+    for folder in ("Peptides_AB-1.csv", "file_name=Peptides_zeta+ x.csv"):
+        for n in (1, 2):
+            write(tmp_path / folder / f"part-0000{n}.csv", f"Category: All\nWeek,x,y\n2023-01-0{n},{n},9\n")
+    got = as_set(national_rows(read_trend_lines(spark, str(tmp_path / "*"))))
+    assert got == {(name, date(2023, 1, 1), float(n)) for name in ("AB-1", "zeta+ x") for n in (1, 2)}
+
+
+def test_bodies_by_line(spark, tmp_path):
+    line = json.dumps({"items": [{"timestamp": "2023010100", "views": 5}]})
+    write(tmp_path / "AB-1_pageviews.json" / "part-00000.txt", f"{line}\n{line}\nbroken\n")
+    got = rows(docs.pageviews(docs.read_bodies(spark, str(tmp_path / "*"), per_line=True)).orderBy("date"))
+    assert got == [("AB-1_pageviews.json", None, None)] + 2 * [("AB-1_pageviews.json", date(2023, 1, 1), 5)]
+
+
+def test_csv_keeps_quotes(spark, tmp_path):
+    title = 'A "quoted", \\ title'
+    frame = spark.range(1).select(F.lit(title).alias("title"))
+    save_processed(frame, str(tmp_path / "t"))
+    assert rows(spark.read.csv(str(tmp_path / "t"), header=True, escape='"')) == [(title,)]
+
+
 def test_news(spark, tmp_path):
     write(tmp_path / "ab-1.json", json.dumps({"articles": [
         {"url": "u", "title": "One", "seendate": "20260609T133000Z", "domain": "a.com", "language": "en"},
