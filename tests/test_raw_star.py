@@ -112,6 +112,23 @@ def test_national_growth_by_hand(star):
     assert got == [("BPC-157", 0.5, round(late, 2), round(100 * (late - 0.5) / 0.5, 2)), ("TB-500", 0.0, 1.0, None)]
 
 
+def test_published_growth(spark, tmp_path):
+    """13 weeks of 0 and regions of 0.5, 0, 0, 0, then 13 weeks that sum to 21: 5,392.31 %.
+    The current snapshot's week, 2026-05-10, is before the last 90 days."""
+    scores = ["0"] * 13 + ["1"] * 163 + list("1111133222211")
+    weeks = [FIRST + timedelta(days=7 * n) for n in range(len(scores))]
+    assert weeks[-1] == date(2026, 8, 9)
+    trend(tmp_path / "national" / "Peptides_TB-500.csv", "Week",
+          [f"{w},{s},50" for w, s in zip(weeks, scores)])
+    for window, cells in (("baseline", ["<1%", "", "0%", ""]), ("current", ["9%"] * 4)):
+        trend(tmp_path / "regional" / f"TB-500_{window}.csv", "Region",
+              [f"{r},{c},90%" for r, c in zip(REGIONS, cells)])
+    put(tmp_path / "news" / "tb-500.json", '{"articles": []}')
+    star = R.raw_star(spark, R.RawPaths(
+        national=f"{tmp_path}/national", regional=f"{tmp_path}/regional", news=f"{tmp_path}/news"))
+    assert rows(growth.entity_growth(star, "Google Trends")) == [("TB-500", 0.03, 1.62, 5392.31)]
+
+
 def test_region_growth_by_hand(star):
     assert rows(growth.region_growth(star)) == [
         ("Scotland", 0.5, 3.0, 500.0), ("England", 4.0, 6.0, 50.0),
