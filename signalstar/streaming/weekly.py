@@ -9,6 +9,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from signalstar.functions.calendar import week_start
 
+
 def arriving(
     spark: SparkSession, folder: str, schema: T.StructType, files: str = "*.parquet"
 ) -> DataFrame:
@@ -44,3 +45,14 @@ def append_closed_weeks(counts: DataFrame, table: str, checkpoint: str) -> Strea
         .trigger(availableNow=True)
         .start()
     )
+
+
+def late_groups(query: StreamingQuery) -> int:
+    """How many (week, key) groups came too late in the batches of a run, by the query's own
+    progress. Their week was written before, so they are in no total; a run that finds some
+    should be followed by a batch count of those weeks."""
+    return sum(
+        state["numRowsDroppedByWatermark"]
+        for progress in query.recentProgress
+        for state in progress["stateOperators"]
+    )

@@ -33,3 +33,14 @@ def test_weeks_are_appended_once_they_are_closed(spark, tmp_path):
     first, second = (date(2023, 1, 1), "a", 2, 3.0), (date(2023, 1, 8), "b", 2, 9.0)
     assert run(spark, folder, out, mark) == {first, second}
     assert run(spark, folder, out, mark) == {first, second}
+
+
+def test_late_rows_are_counted(spark, tmp_path):
+    folder, out, mark = (str(tmp_path / n) for n in ("in", "out", "mark"))
+    put(spark, folder, [(datetime(2023, 1, 1), "a", 1.0), (datetime(2023, 2, 1), "a", 2.0)])
+    run(spark, folder, out, mark)
+    late = [(datetime(2023, 1, 2), "a", 3.0), (datetime(2023, 1, 3), "a", 3.0), (datetime(2023, 1, 4), "b", 3.0)]
+    put(spark, folder, late)
+    query = weekly.append_closed_weeks(counts(spark, folder), out, mark)
+    query.awaitTermination()
+    assert weekly.late_groups(query) == 2
