@@ -8,11 +8,11 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from signalstar.llm.blocks import across, block_pairs, groups, local_roots
-from signalstar.llm.common import body, chunks, stored
+from signalstar.llm.common import body, chunks, first_rows, same_keys, stored, text_key
 from signalstar.llm.components import components
 from signalstar.llm.shingles import SKETCH, mix, shingle_sets, sketch
 
@@ -70,10 +70,11 @@ def _featured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays(
             [
                 batch.column("doc_id"),
+                batch.column("text_key"),
                 pa.array([_node(s) if len(s) else None for s in sets], pa.int64()),
                 pa.array([sketch(s).tobytes() if len(s) else None for s in sets], pa.binary()),
             ],
-            names=["doc_id", "node", "sketch"],
+            names=["doc_id", "text_key", "node", "sketch"],
         )
 
 
@@ -155,14 +156,10 @@ def _matched(loose: float):
 def _shingled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in (some for whole in batches for some in chunks(whole, "text")):
         sets = shingle_sets(batch.column("text"))
-        own = np.array([_node(s) if len(s) else 0 for s in sets])
-        right = own == batch.column("node").to_numpy()  # a repeated id may name another text
         yield pa.RecordBatch.from_arrays(
             [
-                batch.column("cluster").filter(pa.array(right)),
-                batch.column("node").filter(pa.array(right)),
-                batch.column("size").filter(pa.array(right)),
-                pa.array([s.tobytes() for s, r in zip(sets, right) if r], pa.binary()),
+                batch.column("cluster"), batch.column("node"), batch.column("size"),
+                pa.array([s.tobytes() for s in sets], pa.binary()),
             ],
             names=["cluster", "node", "size", "items"],
         )
@@ -252,45 +249,40 @@ def candidate_clusters(classes: DataFrame, similarity: float, recall: float) ->
     )
 
 
-def near_duplicates(
-    docs: DataFrame, id: str = "doc_id", text: str = "text", similarity: float = SIMILARITY,
-    recall: float = RECALL,
-) -> DataFrame:
-    """One row per document: doc_id, class_id, n_links, kept.
+def _classed(
+    docs: DataFrame, id: str, text: str, similarity: float, recall: float
+) -> tuple[DataFrame, DataFrame]:
+    """(doc_id, text_key, node) of each row, and (node, n_links, keeper) of each set.
 
-    Two documents are linked if the Jaccard similarity of their sets of five-word shingles
-    is at least ``similarity``; a class is what links connect and is named by its smallest
-    doc_id. Documents with equal sets are compared once and counted as often as they occur.
-    Texts without words (null, empty, white space) link with nothing and are kept. Rows that
-    repeat an id and text count as copies of each other. Other columns are not read.
-
-    Sets are embedded by min-hash values and split recursively on sampled values they share
-    (see ``split``), first inside each set's own row, then again in buckets that are still
-    large; repeated runs bring the odds of a pair at the threshold to ``recall``. Buckets are
-    compared by sketches in bounded blocks and alike sets grouped into clusters; inside a
-    cluster all pairs are compared on their whole sets, so every link is exact and counted
-    once. No pairs leave a task.
+    A class's keeper is its row with the smallest id, nulls last, then the smallest text key.
     """
-    rows = docs.select(F.col(id).alias("doc_id"), body(text).alias("text"))
+    rows = docs.select(
+        F.col(id).alias("doc_id"), body(text).alias("text"), text_key(text).alias("text_key")
+    )
     id_type = rows.schema["doc_id"].dataType.simpleString()
     features = stored(
-        rows.mapInArrow(_featured, f"doc_id {id_type}, node long, sketch binary"), "path-features"
+        rows.select("doc_id", "text_key", "text").mapInArrow(
+            _featured, f"doc_id {id_type}, text_key binary, node long, sketch binary"
+        ),
+        "path-features",
     )
     known = features.where("node is not null")
+    row = F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "text_key")
     sizes = known.groupBy("node").agg(
-        F.min("doc_id").alias("least"), F.count(F.lit(1)).alias("size")
+        F.min(row).alias("least"), F.count(F.lit(1)).alias("size")
     )
     classes = stored(
-        known.join(sizes, "node").where(F.col("doc_id").eqNullSafe(F.col("least")))
+        known.join(sizes, "node").where(row == F.col("least"))
         .select("node", "least", "size", "sketch"),
         "path-classes",
     )
     clusters = stored(candidate_clusters(classes, similarity, recall), "path-clusters")
     members = clusters.join(classes.drop("sketch"), "node").select(
-        "cluster", "node", "size", F.col("least").alias("__least")
+        "cluster", "node", "size",
+        F.col("least.doc_id").alias("__least"), F.col("least.text_key").alias("__key"),
     )
     sets = (
-        rows.join(members, F.col("doc_id").eqNullSafe(F.col("__least")))
+        rows.join(members, same_keys(["doc_id", "text_key"], ["__least", "__key"]))
         .select("cluster", "node", "size", "text")
         .mapInArrow(_shingled, "cluster long, node long, size long, items binary")
     )
@@ -306,21 +298,67 @@ def near_duplicates(
         sizes.join(links, "node", "left").join(roots, "node", "left")
         .withColumn("root", F.coalesce("root", "node"))
     )
-    names = grouped.groupBy("root").agg(F.min("least").alias("class_id"))
+    names = grouped.groupBy("root").agg(F.min("least").alias("keeper"))
     grouped = grouped.join(names, "root").select(
-        "node", (F.coalesce("links", F.lit(0)) + F.col("size") - 1).alias("n_links"), "class_id"
+        "node", (F.coalesce("links", F.lit(0)) + F.col("size") - 1).alias("n_links"), "keeper"
     )
-    class_id = F.when(F.col("n_links").isNull(), F.col("doc_id")).otherwise(F.col("class_id"))
-    return features.drop("sketch").join(grouped, "node", "left").select(
-        "doc_id", class_id.alias("class_id"),
+    return features.drop("sketch"), grouped
+
+
+def _is_keeper() -> Column:
+    return same_keys(["doc_id", "text_key"], ["keeper.doc_id", "keeper.text_key"])
+
+
+def near_duplicates(
+    docs: DataFrame, id: str = "doc_id", text: str = "text", similarity: float = SIMILARITY,
+    recall: float = RECALL,
+) -> DataFrame:
+    """One row per document: doc_id, class_id, n_links, kept.
+
+    Two documents are linked if the Jaccard similarity of their sets of five-word shingles
+    is at least ``similarity``; a class is what links connect and is named by its smallest
+    doc_id, nulls last; ``kept`` is true for the row with that id, of several under one id for
+    the text with the smallest SHA-256. Documents with equal sets are compared once and counted as often as they occur.
+    Texts without words (null, empty, white space) link with nothing and are kept. Rows that
+    repeat an id and text count as copies of each other. Other columns are not read.
+
+    Sets are embedded by min-hash values and split recursively on sampled values they share
+    (see ``split``), first inside each set's own row, then again in buckets that are still
+    large; repeated runs bring the odds of a pair at the threshold to ``recall``. Buckets are
+    compared by sketches in bounded blocks and alike sets grouped into clusters; inside a
+    cluster all pairs are compared on their whole sets, so every link is exact and counted
+    once. No pairs leave a task.
+    """
+    features, grouped = _classed(docs, id, text, similarity, recall)
+    alone = F.col("n_links").isNull()
+    return features.join(grouped, "node", "left").select(
+        "doc_id",
+        F.when(alone, F.col("doc_id")).otherwise(F.col("keeper.doc_id")).alias("class_id"),
         F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"),
-        F.col("doc_id").eqNullSafe(class_id).alias("kept"),
+        (alone | _is_keeper()).alias("kept"),
     )
 
 
 def kept_documents(docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:
-    """The rows of ``docs`` that stay: of each class the document that names it."""
-    gone = near_duplicates(docs, id, text).where(~F.col("kept")).select(
-        F.col("doc_id").alias("__gone")
+    """The rows of ``docs`` that stay: of each class one row, with all its columns.
+
+    Rows are told apart by id and text, so a null or repeated id takes no other row along;
+    of rows that repeat an id and text one stays. Texts without words all stay.
+    """
+    features, grouped = _classed(docs, id, text, SIMILARITY, RECALL)
+    keys = features.where("node is not null").groupBy("doc_id", "text_key", "node").agg(
+        F.count(F.lit(1)).alias("rows")
+    )
+    touched = stored(
+        keys.join(grouped, "node").withColumn("keeper", _is_keeper())
+        .where(~F.col("keeper") | (F.col("rows") > 1))
+        .select(F.col("doc_id").alias("__id"), F.col("text_key").alias("__key"), "keeper"),
+        "path-touched",
     )
-    return docs.join(gone, F.col(id).eqNullSafe(F.col("__gone")), "left_anti")
+    keyed = docs.withColumn("__text_key", text_key(text))
+    own, other = [id, "__text_key"], ["__id", "__key"]
+    kept = keyed.join(touched.drop("keeper"), same_keys(own, other), "left_anti")
+    repeated = touched.where("keeper").select(*other, F.lit(1).alias("__quota"))
+    if not repeated.isEmpty():
+        kept = kept.unionByName(first_rows(keyed, own, repeated, other))
+    return kept.drop("__text_key")

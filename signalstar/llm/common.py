@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from signalstar.session import scratch_path
@@ -33,6 +33,41 @@ def body(text: str) -> Column:
     return F.coalesce(F.col(text).cast("string"), F.lit(""))
 
 
+def text_key(text: str) -> Column:
+    """SHA-256 of the whole text: with the id it tells rows apart where ids repeat or are null."""
+    return F.unhex(F.sha2(body(text).cast("binary"), 256))
+
+
+def same_keys(left: Sequence[str], right: Sequence[str]) -> Column:
+    """Whether all of the columns are equal, null being a value like any other."""
+    found = F.lit(True)
+    for a, b in zip(left, right):
+        found = found & F.col(a).eqNullSafe(F.col(b))
+    return found
+
+
+def first_rows(rows: DataFrame, keys: Sequence[str], quotas: DataFrame, wanted: Sequence[str]) -> DataFrame:
+    """Of the rows with a key in ``quotas`` (``wanted`` and ``__quota``), as many as it says.
+
+    Rows are numbered inside their input partition and partitions by running sums, so the
+    rows of one key do not meet in a task.
+    """
+    parted = rows.withColumns(
+        {"__part": F.spark_partition_id(), "__row": F.monotonically_increasing_id()}
+    )
+    some = stored(parted.join(quotas, same_keys(keys, wanted)).drop(*wanted), "first-rows")
+    counts = some.groupBy(*keys, "__part").agg(F.count(F.lit(1)).alias("__n"))
+    before = Window.partitionBy(*keys).orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
+    ahead = counts.select(
+        *[F.col(c).alias(f"{c}_of") for c in (*keys, "__part")],
+        F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__ahead"),
+    )
+    place = F.row_number().over(Window.partitionBy(*keys, "__part").orderBy("__row"))
+    on = [*keys, "__part"]
+    numbered = some.withColumn("__place", place).join(ahead, same_keys(on, [f"{c}_of" for c in on]))
+    return numbered.where(F.col("__ahead") + F.col("__place") <= F.col("__quota")).select(*rows.columns)
+
+
 CHUNK = 8 << 20  # bytes of text that a task works on at once
 
 

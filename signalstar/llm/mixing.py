@@ -8,7 +8,7 @@ from itertools import chain
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from signalstar.llm.common import WORD, body, stored
+from signalstar.llm.common import WORD, body, first_rows, same_keys, stored, text_key
 
 SLICE_ROWS = 5_000  # rows of one ordered slice of a leaf
 HASHES = 1 << 32
@@ -115,10 +115,25 @@ def mixed(
     uniform hash, as many as the table's size asks for; token sums of slices are
     accumulated, then rows inside each slice, so a hot leaf spreads over many tasks.
     """
+    rows = _taken(docs, levels, weights, budget_percent, max_epochs, seed, id, text, {})
+    return rows.select(
+        "doc_id", *levels, "tokens", "leaf_budget", F.inline("taken")
+    ).select("doc_id", *levels, "epoch", "tokens", "take_tokens", "leaf_budget")
+
+
+def _taken(
+    docs: DataFrame, levels: Mapping[str, Column], weights: Mapping[str, Mapping[str, int]],
+    budget_percent: int, max_epochs: int, seed: int, id: str, text: str, ties: Mapping[str, Column],
+) -> DataFrame:
+    """Documents of leaves with a budget, and ``taken``: the epochs that take each, with tokens.
+
+    ``ties`` are further columns to carry; they order rows with equal ids and lengths.
+    """
     names = list(levels)
     counted = stored(
         docs.select(F.col(id).alias("doc_id"), *[c.alias(n) for n, c in levels.items()],
-                    token_count(text).alias("tokens")).where("tokens > 0"),
+                    token_count(text).alias("tokens"), *[c.alias(n) for n, c in ties.items()])
+        .where("tokens > 0"),
         "mixing-counts",
     )
     leaves = counted.groupBy(*names).agg(F.sum("tokens").cast("long").alias("leaf_tokens"))
@@ -145,7 +160,7 @@ def mixed(
         F.sum("n").over(earlier).alias("slice_start"),
     )
     in_slice = (
-        Window.partitionBy(*names, "slice").orderBy("place", "tokens")
+        Window.partitionBy(*names, "slice").orderBy("place", "tokens", *ties)
         .rowsBetween(Window.unboundedPreceding, -1)
     )
     same = [F.col(c).eqNullSafe(F.col(f"__{c}")) for c in (*names, "slice")]
@@ -161,17 +176,31 @@ def mixed(
             F.least(F.col("tokens"), left).alias("take_tokens"),
         ))).otherwise(F.array().cast("array<struct<epoch:bigint,take_tokens:bigint>>")),
     )
-    return rows.select(
-        "doc_id", *names, "tokens", "leaf_budget", F.inline(taken)
-    ).select("doc_id", *names, "epoch", "tokens", "take_tokens", "leaf_budget")
+    return rows.select("doc_id", *names, "tokens", "leaf_budget", *ties, taken.alias("taken"))
 
 
 def kept_documents(
     docs: DataFrame, levels: Mapping[str, Column], weights: Mapping[str, Mapping[str, int]],
     budget_percent: int = 50, seed: int = 0, id: str = "doc_id", text: str = "text",
 ) -> DataFrame:
-    """The rows of ``docs`` that one epoch takes, whole, with all their columns."""
-    taken = mixed(docs, levels, weights, budget_percent, 1, seed, id, text).select(
-        F.col("doc_id").alias("__taken")
+    """The rows of ``docs`` that one epoch takes, whole, with all their columns.
+
+    Rows are told apart by id, levels and text; of rows equal in these, as many pass as the
+    epoch takes.
+    """
+    rows = _taken(docs, levels, weights, budget_percent, 1, seed, id, text, {"text_key": text_key(text)})
+    names = ["doc_id", *levels, "text_key"]
+    wanted, own = [f"__want_{n}" for n in names], [f"__own_{n}" for n in names]
+    quotas = stored(
+        rows.groupBy(*[F.col(n).alias(w) for n, w in zip(names, wanted)]).agg(
+            F.count(F.lit(1)).alias("__rows"), F.count(F.when(F.size("taken") > 0, 1)).alias("__quota")
+        ).where("__quota > 0"),
+        "mixing-quotas",
     )
-    return docs.join(taken, F.col(id).eqNullSafe(F.col("__taken")), "left_semi")
+    of_row = [F.col(id), *levels.values(), text_key(text)]
+    keyed = docs.withColumns(dict(zip(own, of_row)))
+    kept = keyed.join(quotas.where("__quota = __rows").select(*wanted), same_keys(own, wanted), "left_semi")
+    cut = quotas.where("__quota < __rows").drop("__rows")
+    if not cut.isEmpty():
+        kept = kept.unionByName(first_rows(keyed, own, cut, wanted))
+    return kept.drop(*own)

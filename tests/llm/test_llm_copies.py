@@ -128,6 +128,27 @@ def test_large_group_of_near_copies(spark, monkeypatch):
     assert got == brute_near(texts)
 
 
+def test_near_copies_go_by_row(spark):
+    """Null and repeated ids take no other row along; of each class one row stays."""
+    base = [f"w{i}" for i in range(60)]
+    copy, other = " ".join([*base[:-1], "x"]), " ".join([*base[:-1], "y"])
+    rows = [
+        (1, " ".join(base)), (None, copy), (None, "a clean text without any id at all"),
+        (5, other), (5, "quite another text under the same id five"),
+        (7, "two near copies under one id seven"), (7, "Two near copies under one id  seven"),
+        (8, "the same row twice over here"), (8, "the same row twice over here"),
+        (None, "equal rows that have no id"), (None, "equal rows that have no id"), (None, None), (9, " "),
+    ]
+    kept = chosen_path.kept_documents(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    got = sorted([(r.doc_id, " ".join((r.text or "").lower().split())) for r in kept], key=str)
+    assert got == sorted([
+        (1, " ".join(base)), (None, rows[2][1]), (5, rows[4][1]), (7, rows[5][1]), (8, rows[7][1]),
+        (None, rows[9][1]), (None, ""), (9, ""),
+    ], key=str)
+    flags = chosen_path.near_duplicates(spark.createDataFrame(rows[:7], "doc_id long, text string"))
+    assert flags.where("kept").count() == 4
+
+
 def test_survival_and_plan():
     assert chosen_path.survival(1) == pytest.approx(0.632, abs=1e-3)
     depth, runs = chosen_path.plan(1000, 0.9)

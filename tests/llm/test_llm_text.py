@@ -385,6 +385,16 @@ def test_mixing_odd_rows(spark):
     assert "Python" not in plan and "Arrow" not in plan
 
 
+@pytest.mark.parametrize("same_text", [False, True])
+def test_mixing_keeps_rows_not_ids(spark, same_text):
+    """Rows under one id, or none, pass up to the budget only."""
+    rows = [(d, "a b c d" if same_text else f"a b c {i}", "en", "src0") for i, d in enumerate([None, 3] * 20)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string").repartition(3)
+    kept = mixing.kept_documents(docs, mix_levels(), {}, 40, 1)
+    assert kept.columns == docs.columns
+    assert kept.count() == 16 and kept.exceptAll(docs).count() == 0
+
+
 # --- quality -------------------------------------------------------------------------
 
 
