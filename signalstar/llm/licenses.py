@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import difflib
 import re
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -57,13 +58,55 @@ TEMPLATES: list[tuple[str, str]] = [
     ("Proprietary", "All rights reserved."),
 ]
 
+# The other members of two families, each with its versions.
+TEMPLATES += [
+    (f"{short}-{version}",
+     f"This {what} is free software: you can redistribute it and/or modify it under the terms of the "
+     f"GNU {kind}General Public License as published by the Free Software Foundation, either version "
+     f"{said} of the License, or (at your option) any later version.")
+    for short, what, kind, said, version in [
+        ("GPL", "program", "", "1", "1.0"), ("GPL", "program", "", "2", "2.0"),
+        ("LGPL", "library", "Library ", "2", "2.0"), ("LGPL", "library", "Lesser ", "2.1", "2.1"),
+        ("LGPL", "program", "Lesser ", "3", "3.0"), ("AGPL", "program", "Affero ", "3", "3.0"),
+    ]
+]
+TEMPLATES += [
+    ("LGPL-2.1", "This work is licensed under the GNU Lesser General Public License, version 2.1."),
+    ("MPL-1.1", "The contents of this file are subject to the Mozilla Public License Version 1.1."),
+    ("CC-BY-NC-ND-4.0", "Licensed under CC BY-NC-ND 4.0."),
+]
+TEMPLATES += [
+    (f"CC-{short}-{version}", f"This work is licensed under a Creative Commons {name} {version} {area} License.")
+    for version, area in (("4.0", "International"), ("3.0", "Unported"), ("2.5", "Generic"), ("2.0", "Generic"))
+    for short, name in (
+        ("BY", "Attribution"), ("BY-SA", "Attribution-ShareAlike"),
+        ("BY-NC", "Attribution-NonCommercial"), ("BY-ND", "Attribution-NoDerivatives"),
+        ("BY-NC-SA", "Attribution-NonCommercial-ShareAlike"),
+        ("BY-NC-ND", "Attribution-NonCommercial-NoDerivatives"),
+    )
+    if (version, short) not in (("4.0", "BY"), ("4.0", "BY-SA"))
+]
+
+# Words that tell the licenses of a family apart; within a family none may differ.
+FAMILIES = [
+    {"gnu", "lesser", "affero", "gpl", "lgpl", "agpl"},
+    {"cc", "cc0", "commons", "attribution", "noncommercial", "commercial", "noderivatives", "noderivs",
+     "derivatives", "derivs", "sharealike", "nc", "nd", "sa"},
+    {"mit"}, {"apache"}, {"mozilla"},
+]
+_VERSION = re.compile(r"v?\d+(?:\.\d+)*")
+
 # Every template holds one of these, so a text without them has no notice.
-TRIGGER = r"(?i:licen[cs]e|redistribut|permission|public domain|rights reserved|unencumbered)"
+_GAP = r"[\W\d_]+"
+TRIGGER = (
+    rf"(?i:licen[cs]e|redistribut|permission|public{_GAP}domain|rights{_GAP}reserved|unencumbered)"
+)
 _TRIGGER = re.compile(TRIGGER)
 _WORD = re.compile(r"[^\W_]+(?:[.'-][^\W_]+)*")
+_PART = re.compile(r"[.'-]")
 REACH = 600  # characters around a trigger that form a candidate block
 SPLIT = 6000  # longer runs of triggers are looked at in overlapping pieces
-CLOSE = 8  # templates whose reduction is within so many bytes of the best are confirmed too
+CLOSE = 8  # templates whose reduction is within so many bytes of the best are tried with it
 TOLERANCE = 0.1  # wording differences allowed, as a share of the template's words
 
 
@@ -71,6 +114,8 @@ TOLERANCE = 0.1  # wording differences allowed, as a share of the template's wor
 class _Template:
     license: str
     words: list[str]
+    counts: Counter
+    names: set[str]  # of the families that the template belongs to
     compressor: zstandard.ZstdCompressor
 
 
@@ -92,7 +137,11 @@ def prepared(templates: list[tuple[str, str]]) -> tuple[list[_Template], zstanda
     made = []
     for license, text in templates:
         words = _words(text)
-        made.append(_Template(license, words, _compressor(" ".join(words).encode())))
+        parts = {part for word in words for part in _PART.split(word)}
+        names = set().union(*(f for f in FAMILIES if f & parts))
+        made.append(
+            _Template(license, words, Counter(words), names, _compressor(" ".join(words).encode()))
+        )
     return made, _compressor(None)
 
 
@@ -113,21 +162,46 @@ def blocks(text: str) -> list[tuple[int, int]]:
     return out
 
 
-def _aligned(template: list[str], words: list[str]) -> tuple[int, int, int]:
-    """Wording differences of the best aligned stretch of words, and that stretch."""
-    match = difflib.SequenceMatcher(None, template, words, autojunk=False)
+def _renames(template: _Template, words: list[str], edits: list[tuple]) -> bool:
+    """Whether the differences touch a word that decides which license it is."""
+    for op, i1, i2, j1, j2 in edits:
+        if op == "equal":
+            continue
+        lost, new = template.words[i1:i2], words[j1:j2]
+        if any(_VERSION.fullmatch(word) for word in lost):
+            return True
+        if any(part in template.names for word in (*lost, *new) for part in _PART.split(word)):
+            return True
+        if "gnu" in template.names and any(
+            near[k] == "library" and k and near[k - 1] == "gnu"
+            for near, span in ((template.words, range(i1, i2)), (words, range(j1, j2))) for k in span
+        ):
+            return True
+    return False
+
+
+def _aligned(template: _Template, words: list[str]) -> tuple[int, int, int] | None:
+    """Wording differences of the best aligned stretch of words, and that stretch.
+
+    None if they are too many, or if a word that names the license differs.
+    """
+    allowed = TOLERANCE * len(template.words)
+    match = difflib.SequenceMatcher(None, template.words, words, autojunk=False)
     longest = match.find_longest_match()
     if not longest.size:
-        return len(template), 0, 0
+        return None
     # Around the longest common stretch, as many words as the template has there and a tenth.
-    slack = len(template) // 10 + 1
+    slack = len(template.words) // 10 + 1
     low = max(0, longest.b - longest.a - slack)
-    high = min(len(words), longest.b + len(template) - longest.a + slack)
+    high = min(len(words), longest.b + len(template.words) - longest.a + slack)
     some = words[low:high]
-    same = difflib.SequenceMatcher(None, template, some, autojunk=False).get_matching_blocks()[:-1]
+    same = difflib.SequenceMatcher(None, template.words, some, autojunk=False).get_matching_blocks()[:-1]
     first, last = low + same[0].b, low + same[-1].b + same[-1].size
-    edits = difflib.SequenceMatcher(None, template, words[first:last], autojunk=False).get_opcodes()
+    stretch = words[first:last]
+    edits = difflib.SequenceMatcher(None, template.words, stretch, autojunk=False).get_opcodes()
     differences = sum(max(i2 - i1, j2 - j1) for op, i1, i2, j1, j2 in edits if op != "equal")
+    if differences > allowed or _renames(template, stretch, edits):
+        return None
     return differences, first, last
 
 
@@ -145,13 +219,19 @@ def notices(text: str, made: list[_Template], plain: zstandard.ZstdCompressor) -
             block = " ".join(words).encode()
             alone = len(plain.compress(block))
             gains = [alone - len(t.compressor.compress(block)) for t in made]
-            best = max(gains)
-            options = []
-            for gain, template in zip(gains, made):
-                if gain > 0 and gain >= best - CLOSE - best // 4:
-                    differences, first, last = _aligned(template.words, words)
-                    if differences <= TOLERANCE * len(template.words):
-                        options.append((-(last - first) + 2 * differences, differences, first, last, gain, template.license))
+            floor = max(gains) - CLOSE - max(gains) // 4
+            counts = Counter(words)
+            options: list[tuple] = []
+            for gain, template in sorted(zip(gains, made), key=lambda t: -t[0]):
+                # The best are compared; below them the first that is confirmed is taken.
+                if gain <= 0 or options and gain < floor:
+                    break
+                # Words that the block lacks are differences wherever the template is laid.
+                if (template.counts - counts).total() > TOLERANCE * len(template.words):
+                    continue
+                if (stretch := _aligned(template, words)) is not None:
+                    differences, first, last = stretch
+                    options.append((-(last - first) + 2 * differences, differences, first, last, gain, template.license))
             if not options:
                 continue
             _, differences, first, last, gain, license = min(options)
@@ -174,7 +254,9 @@ def license_notices(
 
     Blocks around license words are compressed with each template as a raw dictionary; the
     templates that save most bytes (``reduction``) are confirmed by aligning words, case and
-    punctuation aside, and one with at most a tenth of its words different wins. What lies
+    punctuation aside, and one with at most a tenth of its words different wins, if no word
+    that names the license or its version differs; where none of them is confirmed, those
+    that save less are tried in turn. What lies
     beside a notice is searched again, so several in one block are all found. Spans are code
     points, end exclusive. Null and empty texts have no notices; equal rows give equal
     notices; other columns are not read. Nothing is shuffled, and a block is bounded

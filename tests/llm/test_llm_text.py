@@ -123,6 +123,34 @@ def test_every_template_has_a_trigger():
     assert all(re.search(licenses.TRIGGER, text) for _, text in licenses.TEMPLATES)
 
 
+def test_license_deciding_words():
+    made, plain = licenses.prepared(licenses.TEMPLATES)
+
+    def names(text):
+        return [n[2] for n in licenses.notices(text, made, plain)]
+
+    cc = "This work is licensed under a Creative Commons {} License."
+    assert names(cc.format("Attribution-NonCommercial 4.0 International")) == ["CC-BY-NC-4.0"]
+    assert names(cc.format("Attribution-NoDerivatives 4.0 International")) == ["CC-BY-ND-4.0"]
+    assert names(cc.format("Attribution 3.0 Unported")) == ["CC-BY-3.0"]
+    head = (
+        "This {} is free software: you can redistribute it and/or modify it under the terms of the GNU {} "
+        "as published by the Free Software Foundation, either version {} of the License, or (at your "
+        "option) any later version."
+    )
+    gpl = "General Public License"
+    assert names(head.format("program", gpl, "3")) == ["GPL-3.0"]
+    assert names(head.format("library", gpl, "2")) == ["GPL-2.0"]
+    assert names(head.format("program", f"Affero {gpl}", "3")) == ["AGPL-3.0"]
+    assert names(head.format("library", f"Lesser {gpl}", "2.1")) == ["LGPL-2.1"]
+    assert names(head.format("library", f"Library {gpl}", "2")) == ["LGPL-2.0"]
+    # A long altered text beside a short notice does not hide it.
+    mit = next(t for n, t in licenses.TEMPLATES if n == "MIT" and len(t) > 200)
+    assert names(mit[: mit.index("subject to")] + "to do so. Licensed under CC BY 4.0.") == ["CC-BY-4.0"]
+    for text in ("All rights\n * reserved.", "ALL RIGHTS  RESERVED"):
+        assert re.search(licenses.TRIGGER, text) and names(text) == ["Proprietary"]
+
+
 # --- pages ---------------------------------------------------------------------------
 
 ARTICLE = (
