@@ -53,14 +53,23 @@ def rule_columns(host: str, path: str, rules: Sequence[Rule]) -> tuple[Column, C
 
 
 def _entropy(text: Column) -> Column:
-    """Shannon entropy of the characters, in bits, from counts of each distinct one."""
-    chars = F.filter(F.split(text, ""), lambda c: c != "")
+    """Shannon entropy of all characters, in bits, from the runs of the sorted ones."""
+    chars = F.sort_array(F.filter(F.split(text, ""), lambda c: c != ""))
     n = F.greatest(F.size(chars), F.lit(1))
-    terms = F.transform(
-        F.array_distinct(chars),
-        lambda c: F.size(F.filter(chars, lambda other: other == c)) / n,
-    )
-    return F.aggregate(terms, F.lit(0.0), lambda total, p: total - p * F.log2(p))
+
+    def term(run: Column) -> Column:
+        return F.when(run == 0, 0.0).otherwise(-(run / n) * F.log2(run / n))
+
+    def step(done: Column, c: Column) -> Column:
+        same = c == done["char"]
+        return F.struct(
+            c.alias("char"),
+            F.when(same, done["run"] + 1).otherwise(F.lit(1)).alias("run"),
+            F.when(same, done["total"]).otherwise(done["total"] + term(done["run"])).alias("total"),
+        )
+
+    start = F.struct(F.lit("").alias("char"), F.lit(0).alias("run"), F.lit(0.0).alias("total"))
+    return F.aggregate(chars, start, step, lambda done: done["total"] + term(done["run"]))
 
 
 def lexical(urls: DataFrame) -> DataFrame:
@@ -77,7 +86,7 @@ def lexical(urls: DataFrame) -> DataFrame:
         "f_digits": F.regexp_count(url, F.lit("[0-9]")) / F.greatest(length, F.lit(1)),
         "f_hyphens": F.regexp_count(F.col("host"), F.lit("-")),
         "f_entropy": _entropy(F.col("host")),
-        "f_path_entropy": _entropy(F.substring("path", 1, 256)),
+        "f_path_entropy": _entropy(F.col("path")),
         "f_params": F.when(query == "", 0).otherwise(F.size(F.split(query, "&"))),
         "f_fragment": url.contains("#").cast("int"),
         "f_secure": F.lower(url).startswith("https:").cast("int"),

@@ -247,6 +247,15 @@ def test_url_rules(spark):
             assert r.verdict == "block"
 
 
+def test_entropy_of_whole_paths(spark):
+    paths = ["", "/", "/aab", "/" + "a" * 300 + "bcdefgh" * 50, "/é💡" * 400, "/" + "x" * 40_000 + "y" * 40_000]
+    urls = spark.createDataFrame([(f"http://h.org{p}", "h.org", p) for p in paths], "url string, host string, path string")
+    got = {r.path: r.f_path_entropy for r in url_trees.lexical(urls).collect()}
+    for p in paths:
+        shares = [p.count(c) / len(p) for c in set(p)]
+        assert got[p] == pytest.approx(-sum(s * np.log2(s) for s in shares), abs=1e-9)
+
+
 def test_trees_learn(spark):
     """Held-out accuracy on URLs whose label shows in their features."""
     rng = np.random.default_rng(4)
