@@ -9,12 +9,15 @@ from pyspark.sql import functions as F
 
 from signalstar.llm import (
     chosen_path,
+    collocations,
     content_sort,
     lattice,
     licenses,
+    limb_codes,
     mixing,
     ordinal,
     packing,
+    paragraph_sketch,
     pii,
     url_trees,
     wrappers,
@@ -77,6 +80,18 @@ def op10_lattice(spark: SparkSession, folder: str) -> DataFrame:
     return lattice.near_vectors(read(spark, folder, "embeddings"))
 
 
+def op11_limb_gemm(spark: SparkSession, folder: str) -> DataFrame:
+    return limb_codes.vector_codes(read(spark, folder, "embeddings"))
+
+
+def op12_paragraph_sketch(spark: SparkSession, folder: str) -> DataFrame:
+    return paragraph_sketch.paragraph_fingerprints(read(spark, folder, "documents"))
+
+
+def op13_collocations(spark: SparkSession, folder: str) -> DataFrame:
+    return collocations.collocations(read(spark, folder, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mixing": op1_mixing,
     "op2_content_sort": op2_content_sort,
@@ -88,6 +103,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_chosen_path": op8_chosen_path,
     "op10_lattice": op10_lattice,
     "op9_url_trees": op9_url_trees,
+    "op11_limb_gemm": op11_limb_gemm,
+    "op12_paragraph_sketch": op12_paragraph_sketch,
+    "op13_collocations": op13_collocations,
 }
 
 def _mixing_sql() -> str:
@@ -232,7 +250,137 @@ def _disclosure_sql() -> str:
     """
 
 
+def _limb_sql() -> str:
+    """The rounds one after the other, with distances summed component by component."""
+    far = "list_sum(list_transform(range(1, len(a.x) + 1), lambda i: (a.x[i] - b.x[i]) * (a.x[i] - b.x[i])))"
+    parts, rounds = limb_codes.PARTS, limb_codes.ROUNDS
+    steps = []
+    for k in range(rounds + 1):
+        steps.append(f"""
+        near_{k} AS MATERIALIZED (
+            SELECT row, part, any_value(x) AS x, min(far) AS far, arg_min(entry, (far, entry)) AS entry
+            FROM (SELECT a.row, a.part, a.x, b.entry, {far} AS far FROM parts a JOIN book_{k} b USING (part))
+            GROUP BY row, part)""")
+        if k < rounds:
+            steps.append(f"""
+        book_{k + 1} AS MATERIALIZED (
+            SELECT part, entry, coalesce(m.x, b.x) AS x FROM book_{k} b LEFT JOIN (
+                SELECT part, entry, list(CAST((s - ((s % n) + n) % n) // n AS BIGINT) ORDER BY i) AS x
+                FROM (SELECT part, entry, i, sum(v) AS s, count(*) AS n
+                      FROM (SELECT part, entry, unnest(x) AS v, unnest(range(len(x))) AS i FROM near_{k})
+                      GROUP BY ALL)
+                GROUP BY part, entry) m USING (part, entry))""")
+    return f"""
+        WITH kept AS (
+            SELECT vec_id, label, row_number() OVER (ORDER BY vec_id, embedding) AS row,
+                   list_transform(embedding, lambda x: CAST(floor({limb_codes.SCALE} * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+            FROM embeddings
+            WHERE len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+        parts AS MATERIALIZED (
+            SELECT row, part, v[part * len(v) // {parts} + 1 : (part + 1) * len(v) // {parts}] AS x
+            FROM kept, range({parts}) t(part)),
+        book_0 AS (SELECT part, row - 1 AS entry, x FROM parts WHERE row <= {limb_codes.ENTRIES}),
+        {",".join(steps)},
+        coded AS (
+            SELECT row, string_agg(printf('%02x', entry), '' ORDER BY part) AS code,
+                   CAST(sum(far) AS BIGINT) AS error
+            FROM near_{rounds} GROUP BY row)
+        SELECT vec_id, code, error,
+               CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error,
+               (SELECT sha256(string_agg(array_to_string(x, ','), ',' ORDER BY part, entry)) FROM book_{rounds})
+                   AS codebooks_sha256
+        FROM kept JOIN coded USING (row)
+    """
+
+
+def _sketch_sql() -> str:
+    """The cells by grouping; the likeness from the paragraphs that two documents share."""
+    return rf"""
+        WITH docs AS (SELECT doc_id, coalesce(text, '') AS text FROM documents),
+        versions AS (
+            SELECT doc_id, length(text) AS n_chars, text, 'own' AS version FROM docs
+            UNION ALL
+            SELECT doc_id, length(text),
+                   substr(text, 1, length(text) - length(text) // 2) || substr(next, 1, length(text) // 2), 'edited'
+            FROM (SELECT *, coalesce(lead(text) OVER (ORDER BY doc_id DESC),
+                                     first_value(text) OVER (ORDER BY doc_id DESC)) AS next FROM docs)),
+        parts AS (
+            SELECT DISTINCT doc_id, version, CAST('0x' || substr(md5(p), 1, 15) AS BIGINT) AS x
+            FROM (SELECT doc_id, version, unnest(regexp_split_to_array(text, '[\n\x0B\f\r]+')) AS p FROM versions)
+            WHERE p <> ''),
+        hashed AS (
+            SELECT *, xor((x & 2147483647) * {paragraph_sketch.LOW}, (x >> 31) * {paragraph_sketch.HIGH}) AS y FROM parts),
+        cells AS (
+            SELECT doc_id, version, cell, count(*) AS n, bit_xor(x) AS xs, bit_xor(y) AS ys
+            FROM (SELECT *, unnest([(y >> 24) & 7, ((y >> 29) & 7) + 8, ((y >> 34) & 7) + 16]) AS cell FROM hashed)
+            GROUP BY ALL),
+        prints AS (
+            SELECT v.doc_id, v.version, v.n_chars, v.text,
+                   string_agg(printf('%d:%x:%x', coalesce(n, 0), coalesce(xs, 0), coalesce(ys, 0)), ',' ORDER BY c) AS print
+            FROM versions v, range(24) t(c)
+            LEFT JOIN cells ON cells.doc_id = v.doc_id AND cells.version = v.version AND cells.cell = c
+            GROUP BY ALL),
+        sizes AS (SELECT doc_id, version, count(*) AS n FROM parts GROUP BY ALL),
+        pairs AS (
+            SELECT doc_id, doc_id AS other, 'edited' AS kind FROM docs
+            UNION ALL
+            SELECT doc_id, coalesce(lead(doc_id) OVER (ORDER BY doc_id DESC),
+                                    first_value(doc_id) OVER (ORDER BY doc_id DESC)), 'own' FROM docs),
+        shared AS (
+            SELECT q.doc_id, q.kind, count(*) AS n
+            FROM pairs q JOIN parts a ON a.doc_id = q.doc_id AND a.version = 'own'
+            JOIN parts b ON b.doc_id = q.other AND b.version = q.kind AND b.x = a.x
+            GROUP BY ALL),
+        likeness AS (
+            SELECT q.doc_id, q.kind,
+                   CASE WHEN coalesce(a.n, 0) + coalesce(b.n, 0) = 0 THEN 1.0::DOUBLE
+                        ELSE (2 * coalesce(s.n, 0))::DOUBLE
+                             / (2 * (coalesce(a.n, 0) + coalesce(b.n, 0) - coalesce(s.n, 0)))::DOUBLE END AS near
+            FROM pairs q LEFT JOIN sizes a ON a.doc_id = q.doc_id AND a.version = 'own'
+            LEFT JOIN sizes b ON b.doc_id = q.other AND b.version = q.kind
+            LEFT JOIN shared s ON s.doc_id = q.doc_id AND s.kind = q.kind)
+        SELECT o.doc_id, o.n_chars, sha256(e.text) AS edited_sha256, o.print AS fingerprint, e.print AS edited_fingerprint,
+               x.near AS near_edited, y.near AS near_next
+        FROM prints o JOIN prints e ON e.doc_id = o.doc_id AND e.version = 'edited'
+        JOIN likeness x ON x.doc_id = o.doc_id AND x.kind = 'edited'
+        JOIN likeness y ON y.doc_id = o.doc_id AND y.kind = 'own'
+        WHERE o.version = 'own'
+    """
+
+
 SQL: dict[str, str] = {
+    "op11_limb_gemm": _limb_sql(),
+    "op12_paragraph_sketch": _sketch_sql(),
+    "op13_collocations": r"""
+        WITH docs AS (
+            SELECT coalesce(lang, 'und') AS lang,
+                   translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS text
+            FROM documents),
+        pieces AS (SELECT lang, unnest(regexp_split_to_array(text, '[.,;:!?\x0A-\x0D]')) AS piece FROM docs),
+        listed AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM pieces),
+        grams AS (
+            SELECT lang, size, array_to_string(w[i : i + size - 1], ' ') AS phrase, count(*) AS f
+            FROM (SELECT lang, w, size, unnest(range(1, len(w) - size + 2)) AS i FROM listed, range(1, 4) s(size))
+            GROUP BY ALL),
+        totals AS (SELECT lang, CAST(sum(f) AS BIGINT) AS n FROM grams WHERE size = 1 GROUP BY lang),
+        candidates AS (SELECT lang, size, phrase, f AS a, string_split(phrase, ' ') AS w FROM grams WHERE size > 1 AND f >= 10),
+        cuts AS (
+            SELECT c.lang, c.size, c.phrase, c.a, c.k, x.f AS l, y.f AS r,
+                   CAST(CAST(1000000 AS HUGEINT) * c.a * c.a // (CAST(x.f AS HUGEINT) * y.f) AS BIGINT) AS score
+            FROM (SELECT *, unnest(range(1, size)) AS k FROM candidates) c
+            JOIN grams x ON x.lang = c.lang AND x.size = c.k AND x.phrase = array_to_string(c.w[1 : c.k], ' ')
+            JOIN grams y ON y.lang = c.lang AND y.size = c.size - c.k AND y.phrase = array_to_string(c.w[c.k + 1 :], ' ')),
+        scored AS (SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+        inside AS (
+            SELECT lang, unnest([array_to_string(w[1:2], ' '), array_to_string(w[2:3], ' ')]) AS phrase, a AS longer
+            FROM candidates WHERE size = 3),
+        covered AS (SELECT lang, phrase, max(longer) AS longer FROM inside GROUP BY ALL),
+        ranked AS (
+            SELECT s.*, row_number() OVER (PARTITION BY s.lang ORDER BY score DESC, a DESC, s.phrase) AS rank
+            FROM scored s LEFT JOIN covered c ON c.lang = s.lang AND c.phrase = s.phrase AND s.size = 2
+            WHERE c.longer IS NULL OR 100 * c.longer < 50 * s.a)
+        SELECT lang, rank, phrase, a, l, r, n, score FROM ranked JOIN totals USING (lang) WHERE rank <= 2000
+    """,
     "op3_disclosure": _disclosure_sql(),
     "op1_mixing": _mixing_sql(),
     "op2_content_sort": r"""
