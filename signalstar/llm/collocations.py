@@ -18,7 +18,7 @@ SUPPORT = 10  # occurrences that make a phrase a candidate
 SCALE = 1_000_000
 TOP = 2000
 COVERED = 50  # percent of a phrase's occurrences inside a longer one that make it redundant
-BLOCK = 8 << 20  # bytes of text whose positions are advanced at once
+BLOCK = 4 << 20  # bytes of text whose positions are advanced at once
 FILTER_BITS = 1 << 26  # of a filter of hashes, 8 MB whatever the corpus
 SHARD_PHRASES, SHARD_BYTES = 1 << 20, 32 << 20  # what one broadcast trie may hold
 
@@ -241,17 +241,17 @@ def _candidates(texts: DataFrame, words: DataFrame) -> DataFrame:
 class Trie:
     """A double array over word numbers, for phrases of two and three words.
 
-    A word's number is read as two digits, so that no state has more than ``digits`` children,
-    the square root of the words. From state s the digit d leads to base[s] + d, if check there
+    A word's number is read as three digits, so that no state has more children than the cube
+    root of the words, and the array is filled well. From state s the digit d leads to base[s] + d, if check there
     is s. The first word of a phrase leads from the root to the state of its number. ``phrase``
     names the phrase that a state accepts, or is -1.
     """
 
-    ALONE = 32  # a state with more children gets a window of its own
+    ALONE = 16  # a state with more children gets a window of its own
 
     def __init__(self, phrases: np.ndarray, words: int):
         """``phrases``: three word numbers in each row, the third -1 in a phrase of two."""
-        self.digits = max(2, int(np.ceil(np.sqrt(words))))
+        self.digits = max(2, int(np.ceil(np.cbrt(words))))
         self.base = np.zeros(words, np.int64)
         self.check = np.full(words, -2, np.int64)
         self.free = np.zeros(words, bool)
@@ -267,12 +267,15 @@ class Trie:
         self.phrase[triple_states] = three
         del self.free
 
-    def _child(self, parents: np.ndarray, numbers: np.ndarray) -> np.ndarray:
+    def _split(self, numbers: np.ndarray) -> list[np.ndarray]:
+        return [numbers // self.digits**k % self.digits for k in (2, 1, 0)]
+
+    def _child(self, states: np.ndarray, numbers: np.ndarray) -> np.ndarray:
         """The states that these words lead to: one step for each digit."""
-        first = np.stack([parents, numbers // self.digits], axis=1)
-        between, which = np.unique(first, axis=0, return_inverse=True)
-        states = self._place(between[:, 0], between[:, 1])
-        return self._place(states[which.reshape(-1)], numbers % self.digits)
+        for digits in self._split(numbers):
+            steps, which = np.unique(np.stack([states, digits], axis=1), axis=0, return_inverse=True)
+            states = self._place(steps[:, 0], steps[:, 1])[which.reshape(-1)]
+        return states
 
     def _grow(self, more: int) -> None:
         self.base = np.append(self.base, np.zeros(more, np.int64))
@@ -317,7 +320,7 @@ class Trie:
         most = self.ALONE
         claim = np.zeros(len(self.check), np.int32)
         while most > 1:
-            waiting = np.flatnonzero((sizes <= most) & (sizes > most // 2))
+            waiting, tried = np.flatnonzero((sizes <= most) & (sizes > most // 2)), 0
             while len(waiting):
                 bases = random.integers(0, len(self.check) - self.digits + 1, len(waiting))
                 rows, heads = children(waiting)
@@ -326,8 +329,10 @@ class Trie:
                 claim[places] = family
                 good = np.logical_and.reduceat(self.free[places] & (claim[places] == family), heads)
                 settle(waiting[good], bases[good])
-                if good.mean() < 0.03:
+                tried = 0 if good.mean() > 0.03 else tried + 1
+                if tried == 32:
                     self._grow(len(self.check) // 4)
+                    tried = 0
                     claim = np.zeros(len(self.check), np.int32)
                 waiting = waiting[~good]
             most //= 2
@@ -338,23 +343,24 @@ class Trie:
         out[order] = states
         return out
 
-    def counts(self, numbers: np.ndarray, linked: np.ndarray) -> np.ndarray:
-        """How often each state accepts. ``numbers``: word numbers by position, -1 for words
-        that no phrase has; all positions go from level to level together."""
+    def counts(self, numbers: np.ndarray, linked: np.ndarray, phrases: int) -> np.ndarray:
+        """How often each phrase is accepted. ``numbers``: word numbers by position, -1 for
+        words that no phrase has; all positions go from level to level together."""
         size = len(self.check)
-        total = np.zeros(size, np.int64)
-        high, low = numbers // self.digits, numbers % self.digits
+        total = np.zeros(phrases, np.int64)
+        split = [digits.astype(np.int32) for digits in self._split(np.maximum(numbers, 0))]
         at = np.flatnonzero(linked & (numbers >= 0))
         states = numbers[at]
         for k in (1, 2):
             on = numbers[at + k] >= 0
             at, states = at[on], states[on]
-            for digits in (high, low):
+            for digits in split:
                 to = self.base[states] + digits[at + k]
                 on = (to >= 0) & (to < size)
                 on[on] = self.check[to[on]] == states[on]
                 at, states = at[on], to[on]
-            total += np.bincount(states, minlength=size)
+            accepted = self.phrase[states]
+            total += np.bincount(accepted[accepted >= 0], minlength=phrases)
             on = linked[at + k]
             at, states = at[on], states[on]
         return total
@@ -388,15 +394,14 @@ def _trie_counts(texts: DataFrame, shard: DataFrame) -> DataFrame:
             for words in words_of(batch):
                 if words.lang not in sent.value:
                     continue
-                trie, spelled, _ = sent.value[words.lang]
+                trie, spelled, cids = sent.value[words.lang]
                 number = pc.fill_null(pc.index_in(words.spelled, spelled), -1).to_numpy(zero_copy_only=False)
-                found = trie.counts(number.astype(np.int64)[words.codes], words.linked)
+                found = trie.counts(number.astype(np.int64)[words.codes], words.linked, len(cids))
                 total[words.lang] = total.get(words.lang, 0) + found
         for lang, found in total.items():
-            trie, _, cids = sent.value[lang]
-            some = np.flatnonzero((found > 0) & (trie.phrase >= 0))
+            some = np.flatnonzero(found)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(cids[trie.phrase[some]]), pa.array(found[some])], names=["cid", "n"]
+                [pa.array(sent.value[lang][2][some]), pa.array(found[some])], names=["cid", "n"]
             )
 
     parts = texts.mapInArrow(count, "cid long, n long")
