@@ -8,11 +8,13 @@ from dataclasses import dataclass
 from datetime import date
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from signalstar.functions.calendar import WINDOW_END, WINDOW_START
 
+REPORT = "table_name string, check_name string, column_name string, n_bad long, sample string"
+
 # How many offending values an error shows.
 SHOWN = 10
 
@@ -92,9 +94,8 @@ def _finding(table: str, check: str, column: str, n_bad: Column, sample: Column)
     )
 
 
-def row_report(df: DataFrame, table: str, rules: list[RowRule | CountRule]) -> DataFrame:
-    """All row and count rules of a table in one aggregate. The sample is the smallest
-    offending value; a count rule reports how far off the count is, and the count."""
+def _rule_columns(table: str, rules: list[RowRule | CountRule]) -> tuple[list[Column], list[Column]]:
+    """The counters of all rules, and the findings that are made from them."""
     metrics, findings = [], []
     for i, rule in enumerate(rules):
         bad, worst = F.col(f"n{i}"), F.col(f"s{i}")
@@ -113,9 +114,35 @@ def row_report(df: DataFrame, table: str, rules: list[RowRule | CountRule]) -> D
                 F.min(F.when(rule.bad, F.col(rule.column))).cast("string").alias(f"s{i}"),
             ]
             findings.append(_finding(table, rule.check, rule.column, bad, worst))
+    return metrics, findings
+
+
+def row_report(df: DataFrame, table: str, rules: list[RowRule | CountRule]) -> DataFrame:
+    """All row and count rules of a table in one aggregate. The sample is the smallest
+    offending value; a count rule reports how far off the count is, and the count."""
+    metrics, findings = _rule_columns(table, rules)
     return df.agg(*metrics).select(F.inline(F.array(*findings)))
 
 
+def rule_metrics(rules: list[RowRule | CountRule]) -> list[Column]:
+    """The counters of the rules, to be observed while rows are written."""
+    return _rule_columns("", rules)[0] if rules else []
+
+
+def observed_report(
+    spark: SparkSession, table: str, rules: list[RowRule | CountRule], seen: dict
+) -> DataFrame:
+    """The same report as :func:`row_report` from observed counters, without reading a row."""
+    findings = []
+    for i, rule in enumerate(rules):
+        bad, worst = seen.get(f"n{i}") or 0, seen.get(f"s{i}")
+        if isinstance(rule, CountRule):
+            worst = str(bad) if bad != rule.expected else None
+            bad = abs(bad - rule.expected)
+        findings.append((table, rule.check, rule.column, bad, worst))
+    return spark.createDataFrame(findings, REPORT)
+
+
 def orphans(df: DataFrame, key: ForeignKey) -> DataFrame:
     """Distinct non-null values of a foreign key that have no parent."""
     values = df.where(F.col(key.column).isNotNull()).select(F.col(key.column).alias("value"))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable
 from datetime import date
 
@@ -54,7 +55,7 @@ from signalstar.sources import documents as docs
 from signalstar.sources import reference_rows as ref
 from signalstar.sources.population_sheet import places_from_sheet, with_header
 from signalstar.sources.schemas import FACTS
-from signalstar.sources.tables import local_table, materialised, reload_table, save_processed
+from signalstar.sources.tables import local_table, materialised, read_table, reload_table, save_processed
 from signalstar.sources.trends import national_rows, regional_rows
 from signalstar.streaming import weekly
 
@@ -344,9 +345,9 @@ def _missing_scores(spark: SparkSession, folder: str) -> DataFrame:
     """Scores that are not a number when they are saved are missing when they are read."""
     score = F.when(F.col("date_id") % 7 == 0, F.lit(float("nan"))).otherwise(F.col("interest_score"))
     rows = order_star(spark, folder).interest.withColumn("interest_score", score)
-    target = scratch_path(spark, "missing")
+    target = f"{scratch_path(spark, 'missing')}/interest"
     reload_table(rows, target)
-    return spark.read.schema(rows.schema).parquet(target).groupBy("source_id").agg(
+    return read_table(spark, *os.path.split(target)).groupBy("source_id").agg(
         F.count(F.lit(1)).alias("n_rows"),
         F.count_if(F.col("interest_score").isNull()).alias("n_missing"),
         F.count_if(F.isnan("interest_score")).alias("n_nan"),
@@ -402,6 +403,35 @@ def _load_rejects_orphans(spark: SparkSession, folder: str) -> DataFrame:
     raise AssertionError("facts without their entity were loaded")
 
 
+def _refused_keeps_star(spark: SparkSession, folder: str) -> DataFrame:
+    """The stored star after a load that was refused: the rows of each table as they were
+    loaded first, and how many keys of the facts are not found."""
+    target = scratch_path(spark, "refused")
+    star = order_star(spark, folder)
+    before = load_star(spark, star, target)
+    first = star.entities.agg(F.min("entity_id")).scalar()
+    try:
+        load_star(spark, star.but(entities=star.entities.where(F.col("entity_id") != first)), target)
+    except quality.QualityError:
+        pass
+    else:
+        raise AssertionError("facts without their entity were loaded")
+    stored = Star.read(spark, target)
+    orphans = [
+        quality.key_report(stored.table(f), f, stored.foreign_keys(f)).groupBy("table_name").agg(
+            F.sum("n_bad").alias("n_orphans"))
+        for f in FACTS
+    ]
+    loaded = local_table(
+        spark, sorted(before.items()),
+        spark.range(0).selectExpr("'' AS table_name", "id AS loaded_rows").schema,
+    )
+    counts = coverage.row_counts(stored.tables()).join(loaded, "table_name")
+    return counts.join(orphans[0].unionByName(orphans[1]), "table_name", "left").select(
+        "table_name", "row_count", "loaded_rows", F.coalesce("n_orphans", F.lit(0)).alias("n_orphans")
+    )
+
+
 def _stored_top_entity(spark: SparkSession, folder: str) -> DataFrame:
     """Growth per entity over a stored star, whose fact is partitioned by source: only
     that source's partition and the two windows are read."""
@@ -547,5 +577,6 @@ QUERIES: dict[str, Query] = {
     "load_star_counts": _load_counts,
     "load_missing_scores": _missing_scores,
     "load_rejects_orphans": _load_rejects_orphans,
+    "load_refused_keeps_star": _refused_keeps_star,
     "stream_weekly_events": _streamed_weeks,
 }

@@ -704,6 +704,8 @@ FROM f_interest GROUP BY source_id"""),
     "load_star_counts": on_star(f"""
 SELECT table_name, row_count, row_count AS observed_rows FROM ({ROW_COUNTS}
 UNION ALL SELECT 'interest_csv', count(*) FROM f_interest)"""),
+    "load_refused_keeps_star": on_star(f"""
+SELECT table_name, row_count, row_count AS loaded_rows, CAST(0 AS BIGINT) AS n_orphans FROM ({ROW_COUNTS})"""),
     "stream_weekly_events": f"""
 WITH weekly AS (
   SELECT {week(EVENT_DAY)} AS week, event_type, count(*) AS n_events, round(sum(value), 2) AS total

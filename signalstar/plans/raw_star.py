@@ -6,6 +6,7 @@ Every source is one scan over all of its files; there is no loop over entities.
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -22,8 +23,10 @@ from signalstar.operators.facts import (
 )
 from signalstar.operators.resolve import resolve_ids
 from signalstar.plans.star import Star
+from signalstar.plans.warehouse import Audit
 from signalstar.sources import documents as docs
 from signalstar.sources import reference_rows as ref
+from signalstar.sources.schemas import DIMENSIONS
 from signalstar.sources.trends import national_rows, read_trend_lines, regional_rows
 
 
@@ -183,8 +186,8 @@ def _union(frames: list[DataFrame]) -> DataFrame:
     return whole
 
 
-def interest_report(star: Star, expected_regional: int | None = None) -> DataFrame:
-    """All checks on interest rows; ``expected_regional`` is regions × entities × windows."""
+def interest_rules(expected_regional: int | None = None) -> list:
+    """``expected_regional`` is regions × entities × windows."""
     rules: list = Q.no_nulls("date_id", "entity_id", "source_id", "interest_score")
     rules += [
         Q.date_bounds("date_id", key_to_date(F.col("date_id"))),
@@ -192,45 +195,49 @@ def interest_report(star: Star, expected_regional: int | None = None) -> DataFra
     ]
     if expected_regional is not None:
         rules.append(Q.regional_row_count(expected_regional))
-    keys = [
-        Q.ForeignKey("date_id", star.dates, "date_id"),
-        Q.ForeignKey("entity_id", star.entities, "entity_id"),
-        Q.ForeignKey("region_id", star.regions, "region_id"),
-        Q.ForeignKey("source_id", star.sources, "source_id"),
-    ]
-    return Q.report(star.interest, "interest", rules, keys)
+    return rules
 
 
-def event_report(star: Star) -> DataFrame:
+def event_rules() -> list:
     rules: list = Q.no_nulls(
         "event_date", "related_article_count", "source_count", "category", "title", "entity_id"
     )
-    rules += [
+    return rules + [
         Q.date_bounds("event_date"),
         Q.at_least("related_article_count", 1),
         Q.at_least("source_count", 1),
         Q.not_above("source_count", "related_article_count"),
     ]
-    keys = [
-        Q.ForeignKey("entity_id", star.entities, "entity_id"),
-        Q.ForeignKey("region_id", star.regions, "region_id"),
-    ]
-    return Q.report(star.events, "events", rules, keys)
 
 
-def dimension_report(star: Star, expected_regions: int | None = None) -> DataFrame:
-    region_rules: list = Q.no_nulls("region_id", "region_name", "population")
+def audits(expected_regional: int | None = None, expected_regions: int | None = None) -> dict[str, Audit]:
+    """All rules of the six tables; a load adds the keys of the facts by itself."""
+    regions: list = Q.no_nulls("region_id", "region_name", "population")
     if expected_regions is not None:
-        region_rules.append(Q.row_count(expected_regions))
-    return (
-        Q.report(star.entities, "entities", Q.no_nulls("entity_id", "entity_name", "approved"),
-                 unique=["entity_id"])
-        .unionByName(Q.report(star.regions, "regions", region_rules, unique=["region_id"]))
-        .unionByName(
-            Q.report(star.sources, "sources",
-                     Q.no_nulls("source_id", "source_name", "reliability"), unique=["source_id"])
-        )
-        .unionByName(
-            Q.report(star.dates, "dates", Q.no_nulls(*star.dates.columns), unique=["date_id"])
-        )
-    )
+        regions.append(Q.row_count(expected_regions))
+    return {
+        "entities": Audit(Q.no_nulls("entity_id", "entity_name", "approved"), ["entity_id"]),
+        "regions": Audit(regions, ["region_id"]),
+        "sources": Audit(Q.no_nulls("source_id", "source_name", "reliability"), ["source_id"]),
+        "dates": Audit(Q.no_nulls("date_id", "date", "month", "quarter", "year"), ["date_id"]),
+        "interest": Audit(interest_rules(expected_regional)),
+        "events": Audit(event_rules()),
+    }
+
+
+def interest_report(star: Star, expected_regional: int | None = None) -> DataFrame:
+    """All checks on interest rows."""
+    keys = star.foreign_keys("interest")
+    return Q.report(star.interest, "interest", interest_rules(expected_regional), keys)
+
+
+def event_report(star: Star) -> DataFrame:
+    return Q.report(star.events, "events", event_rules(), star.foreign_keys("events"))
+
+
+def dimension_report(star: Star, expected_regions: int | None = None) -> DataFrame:
+    found = audits(expected_regions=expected_regions)
+    return reduce(DataFrame.unionByName, [
+        Q.report(star.table(name), name, found[name].rules, unique=found[name].unique)
+        for name in DIMENSIONS
+    ])

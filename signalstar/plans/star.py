@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from signalstar.operators.quality import ForeignKey
 from signalstar.operators.sizing import join_measured
 from signalstar.sources.schemas import TABLES
+from signalstar.sources.snapshots import NOTHING, Snapshot, current, read_version
 from signalstar.sources.tables import read_table
 
 Table = DataFrame | Callable[[], DataFrame]
@@ -71,8 +72,23 @@ class Star:
         names = names or {}
         return cls(**{k: t.withColumnsRenamed(names) for k, t in tables.items()})
 
+    @classmethod
+    def of_snapshot(cls, spark: SparkSession, folder: str, snapshot: Snapshot) -> "Star":
+        """The tables of one version, whatever is published later."""
+        return cls(
+            **{
+                name: (lambda name=name: read_version(spark, folder, snapshot, name))
+                for name in TABLES if name in snapshot.tables
+            }
+        )
+
     @classmethod
     def read(cls, spark: SparkSession, folder: str, file_format: str = "parquet") -> "Star":
+        """The newest published version, or plain tables where none is. All tables are of the
+        version found now."""
+        snapshot = current(spark, folder) if file_format == "parquet" else NOTHING
+        if snapshot.tables:
+            return cls.of_snapshot(spark, folder, snapshot)
         return cls(
             **{
                 name: (lambda name=name: read_table(spark, folder, name, file_format))
@@ -91,6 +107,10 @@ class Star:
         columns = self.table(fact).columns
         return [ForeignKey(k, self.table(d), k) for k, d in parents.items() if k in columns]
 
+    def names(self) -> list[str]:
+        """The tables it has, dimensions first."""
+        return [name for name in TABLES if name in self._tables]
+
     def tables(self) -> dict[str, DataFrame]:
         return {name: self.table(name) for name in TABLES if name in self._tables}
 

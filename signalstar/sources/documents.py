@@ -103,11 +103,12 @@ def pageviews(bodies: DataFrame) -> DataFrame:
 
 
 def populations(bodies: DataFrame, region_names: list[str] | None) -> DataFrame:
-    """The newest figure of every known (None: every) region: code, name, population, year."""
+    """The newest figure of every known (None: every) region: code, name, population, year. A
+    body that cannot be read stays as a row of NULLs."""
     parsed = bodies.select(F.from_json("body", POPULATION_FILE).getField("geographies").alias("g"))
     places = parsed.select(F.explode_outer("g").alias("place")).select("place.*")
     if region_names is not None:
-        places = places.where(F.col("name").isin(*region_names))
+        places = places.where(F.col("name").isNull() | F.col("name").isin(*region_names))
     return newest_population(places)
 
 

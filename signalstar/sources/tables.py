@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-import uuid
+import os
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
@@ -12,6 +12,7 @@ from pyspark.sql.pandas.types import to_arrow_schema
 
 from signalstar.functions.cleaning import nan_to_null
 from signalstar.session import scratch_path
+from signalstar.sources import snapshots
 from signalstar.sources.schemas import TABLES
 
 
@@ -29,10 +30,14 @@ def export_name() -> Column:
 def read_table(
     spark: SparkSession, folder: str, name: str, file_format: str = "parquet"
 ) -> DataFrame:
-    """One of the six tables; CSV is read with the table's schema, never inferred."""
+    """One of the six tables; CSV is read with the table's schema, never inferred. Of a folder
+    with published versions the newest one is read."""
     path = f"{folder}/{name}"
     if file_format == "csv":
         return spark.read.schema(TABLES[name]).csv(path, header=True, escape='"')
+    snapshot = snapshots.current(spark, folder)
+    if name in snapshot.tables:
+        return snapshots.read_version(spark, folder, snapshot, name)
     return spark.read.format(file_format).load(path)
 
 
@@ -75,42 +80,47 @@ def save_processed(df: DataFrame, path: str, file_format: str = "csv") -> None:
     writer.save(path)
 
 
-def reload_table(
+def write_observed(
     df: DataFrame,
     path: str,
     partition_by: list[str] | None = None,
     sort_by: list[str] | None = None,
-) -> int:
-    """Replace a table and return its row count.
+    metrics: list[Column] | None = None,
+) -> dict:
+    """Write a table to a fresh path. Returns ``rows`` and the named metrics, which are
+    observed while the rows are written, so that no second job computes them.
 
-    Rows are written beside the table, which is exchanged only once they are complete, so a
-    job that fails leaves the old rows, and a table may be made from itself. The count is
-    observed while the rows are written, so no second job reads them.
-    Running it again gives the same table. ``sort_by`` orders the rows inside each file
-    without a shuffle, which lets a later filter skip row groups.
+    ``sort_by`` orders the rows inside each file without a shuffle, which lets a later filter
+    skip row groups.
     """
     seen = Observation()
-    rows = nans_to_nulls(df).observe(seen, F.count(F.lit(1)).alias("rows"))
+    rows = nans_to_nulls(df).observe(seen, F.count(F.lit(1)).alias("rows"), *(metrics or []))
     if sort_by:
         rows = rows.sortWithinPartitions(*(partition_by or []), *sort_by)
-    writer = rows.write.mode("overwrite")
+    writer = rows.write.mode("errorifexists")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
-    path = path.rstrip("/")
-    fresh = f"{path}-{uuid.uuid4().hex}"
-    writer.parquet(fresh)
-    _exchange(df.sparkSession, path, fresh)
-    return seen.get["rows"]
-
-
-def _exchange(spark: SparkSession, path: str, fresh: str) -> None:
-    """Put ``fresh`` in the place of ``path`` by renames in the table's own file system."""
-    context = spark.sparkContext
-    of = context._jvm.org.apache.hadoop.fs.Path
-    files = of(path).getFileSystem(context._jsc.hadoopConfiguration())
-    old = f"{fresh}-old"
-    if files.exists(of(path)) and not files.rename(of(path), of(old)):
-        raise OSError(f"cannot move {path}")
-    if not files.rename(of(fresh), of(path)):
-        raise OSError(f"cannot move {fresh}; the old table is in {old}")
-    files.delete(of(old), True)
+    writer.parquet(path)
+    return {"rows": 0, **seen.get}  # no rows, no counters
+
+
+def reload_table(
+    df: DataFrame,
+    path: str,
+    partition_by: list[str] | None = None,
+    sort_by: list[str] | None = None,
+) -> int:
+    """Replace a table and return its row count.
+
+    Rows are written to a folder of their own and become the table once they are complete, by
+    a new version of the tables of the folder above: a job that fails leaves the old rows, a
+    table may be made from itself, and a rerun gives the same table. Read it by
+    :func:`read_table`.
+    """
+    spark = df.sparkSession
+    folder, name = os.path.split(path.rstrip("/"))
+    base, load = snapshots.current(spark, folder), snapshots.new_load()
+    fresh = snapshots.version_path(name, load)
+    rows = write_observed(df, f"{folder}/{fresh}", partition_by, sort_by)["rows"]
+    snapshots.publish(spark, folder, base.with_tables([snapshots.Version(name, fresh, rows)]), load)
+    return rows
