@@ -5,8 +5,9 @@ from __future__ import annotations
 import os
 from collections.abc import Callable
 from datetime import date
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from signalstar.functions.calendar import (
@@ -37,13 +38,15 @@ from signalstar.operators import (
     spikes,
     titles,
 )
+from signalstar.operators.facts import event_rollup
 from signalstar.operators.percentiles import group_percentiles
 from signalstar.plans import derived_sources as derived
-from signalstar.plans import raw_star
+from signalstar.plans import incremental, raw_star
 from signalstar.plans.order_star import (
     FIRST_SOURCE,
     SECOND_SOURCE,
     THIRD_SOURCE,
+    articles,
     order_star,
     table,
     with_customer,
@@ -57,7 +60,7 @@ from signalstar.sources.population_sheet import places_from_sheet, with_header
 from signalstar.sources.schemas import FACTS
 from signalstar.sources.tables import local_table, materialised, read_table, reload_table, save_processed
 from signalstar.sources.trends import national_rows, regional_rows
-from signalstar.streaming import weekly
+from signalstar.streaming import rollup, weekly
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -457,6 +460,66 @@ def _streamed_weeks(spark: SparkSession, folder: str) -> DataFrame:
     return both.withColumn("total", F.round("total", 2))
 
 
+def _article_files(spark: SparkSession, folder: str, target: str, share: int) -> None:
+    """Every third article, by position, as one file more of a folder."""
+    rows = articles(spark, folder).where(F.col("pos") % 3 == share)
+    rows.coalesce(1).write.mode("append").parquet(target)
+
+
+def _incremental_events(spark: SparkSession, folder: str) -> DataFrame:
+    """The rollup after articles came in three files, two loads and a load without news."""
+    target = scratch_path(spark, "incremental")
+    raw = f"{target}/raw"
+
+    def take() -> list[str]:
+        found = spark.read.parquet(raw).select("*", incremental.input_name().alias("input"))
+        return incremental.take_articles(spark, target, found)
+
+    _article_files(spark, folder, raw, 0)
+    take()
+    for share in (1, 2):
+        _article_files(spark, folder, raw, share)
+    take()
+    if take():
+        raise AssertionError("inputs were taken twice")
+    return incremental.rolled_up(spark, target)
+
+
+def _streamed_rollup(spark: SparkSession, folder: str) -> DataFrame:
+    """The streamed rollup over three files that all touch the same weeks, beside the exact
+    number of publishers."""
+    target = scratch_path(spark, "stream-rollup")
+    for share in range(3):
+        _article_files(spark, folder, f"{target}/raw", share)
+    schema = articles(spark, folder).schema
+    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(f"{target}/raw")
+    rollup.follow_articles(stream, target, f"{target}/mark").awaitTermination()
+    exact = event_rollup(spark.read.schema(schema).parquet(f"{target}/raw"))
+    keys = rollup.KEYS
+    counted = exact.select(*[F.col(k).alias(f"_{k}") for k in keys], F.col("source_count").alias("exact"))
+    same = [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys]
+    # Five standard errors.
+    near = F.abs(F.col("source_count") - F.col("exact")) <= F.greatest(
+        F.lit(0.5), F.col("exact") * 5 * rollup.SKETCH_ERROR)
+    streamed = incremental.rolled_up(spark, target)
+    return streamed.join(counted, reduce(Column.__and__, same)).select(
+        *keys, "related_article_count", "title", near.alias("publishers_within_error"))
+
+
+def _rank_all_events(spark: SparkSession, folder: str) -> DataFrame:
+    """The rank of every order by price, and of every event of the rollup by its articles."""
+    orders = table(spark, folder, "orders").select(
+        F.lit("order").alias("kind"), F.col("o_orderkey").cast("string").alias("name"),
+        F.col("o_totalprice").alias("value"))
+    rolled = event_rollup(articles(spark, folder)).select(
+        F.lit("event").alias("kind"),
+        F.concat_ws("|", "entity_id", "event_date", F.coalesce(F.col("region_id").cast("string"), F.lit("-")),
+                    "category").alias("name"),
+        F.col("related_article_count").cast("double").alias("value"))
+    parts = [ranking.ranked(rows, "value") for rows in (orders, rolled)]
+    return parts[0].unionByName(parts[1])
+
+
 QUERIES: dict[str, Query] = {
     # data quality
     "dq_row_counts": _on_star(lambda s: coverage.row_counts(s.tables())),
@@ -578,5 +641,8 @@ QUERIES: dict[str, Query] = {
     "load_missing_scores": _missing_scores,
     "load_rejects_orphans": _load_rejects_orphans,
     "load_refused_keeps_star": _refused_keeps_star,
+    "load_incremental_events": _incremental_events,
+    "stream_event_rollup": _streamed_rollup,
+    "rank_all_events": _rank_all_events,
     "stream_weekly_events": _streamed_weeks,
 }

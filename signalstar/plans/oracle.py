@@ -706,6 +706,18 @@ SELECT table_name, row_count, row_count AS observed_rows FROM ({ROW_COUNTS}
 UNION ALL SELECT 'interest_csv', count(*) FROM f_interest)"""),
     "load_refused_keeps_star": on_star(f"""
 SELECT table_name, row_count, row_count AS loaded_rows, CAST(0 AS BIGINT) AS n_orphans FROM ({ROW_COUNTS})"""),
+    "load_incremental_events": on_star("SELECT * FROM f_events"),
+    "stream_event_rollup": on_star("""
+SELECT entity_id, event_date, region_id, category, related_article_count, title,
+       true AS publishers_within_error
+FROM f_events"""),
+    "rank_all_events": on_star("""
+SELECT kind, name, value, rank() OVER (PARTITION BY kind ORDER BY value DESC NULLS LAST) AS rank
+FROM (SELECT 'order' AS kind, CAST(o_orderkey AS VARCHAR) AS name, o_totalprice AS value FROM orders
+      UNION ALL
+      SELECT 'event', concat_ws('|', entity_id, event_date, coalesce(CAST(region_id AS VARCHAR), '-'), category),
+             CAST(related_article_count AS DOUBLE)
+      FROM f_events)"""),
     "stream_weekly_events": f"""
 WITH weekly AS (
   SELECT {week(EVENT_DAY)} AS week, event_type, count(*) AS n_events, round(sum(value), 2) AS total

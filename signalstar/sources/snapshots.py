@@ -132,7 +132,7 @@ def orphaned_loads(spark: SparkSession, folder: str) -> DataFrame:
     files = spark.read.format("binaryFile").option("recursiveFileLookup", True).option(
         "pathGlobFilter", "*.parquet"
     ).load(f"{folder}/tables")
-    path = F.regexp_extract("path", r"(tables/[^/]+/[0-9a-f]{32})/", 1).alias("path")
+    path = F.regexp_extract("path", r"(tables/[^/]+/(?:load=)?[0-9a-f]{32})/", 1).alias("path")
     named = _manifests(spark, folder)
     folders = files.select(path).distinct()
     return folders if named is None else folders.join(named.select("path"), "path", "left_anti")
