@@ -6,7 +6,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from signalstar.functions.calendar import quarter_end, quarter_label
-from signalstar.operators.percentiles import group_percentiles
 from signalstar.operators.ranking import top_ranked
 from signalstar.operators.sizing import join_measured, measured
 from signalstar.plans.star import Star
@@ -67,18 +66,12 @@ def on_calendar(star: Star) -> DataFrame:
 
 def high_attention(star: Star, prob: float = 0.9) -> DataFrame:
     """Events at or above their category's percentile of articles or of publishers."""
-    measures = ["related_article_count", "source_count"]
-    # Sizes, limits and result all read the rollup, which is computed once.
+    # Limits and result both read the rollup, which is computed once.
     events = materialised(star.events, "rollup")
-    readings = events.select("category", *measures).unpivot(
-        ["category"], measures, "measure", "reading"
-    )
-    limits = (
-        group_percentiles(readings, ["category", "measure"], "reading", {"limit": prob})
-        .groupBy("category")
-        .pivot("measure", measures)
-        .agg(F.max("limit"))
-        .toDF("category", "article_limit", "source_limit")
+    # Only distinct counts are held, and counts that add up to the articles are few.
+    limits = events.groupBy("category").agg(
+        F.percentile("related_article_count", prob).alias("article_limit"),
+        F.percentile("source_count", prob).alias("source_limit"),
     )
     loud = join_measured(events, limits, "category").where(
         (F.col("related_article_count") >= F.col("article_limit"))

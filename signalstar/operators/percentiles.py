@@ -60,7 +60,8 @@ def group_percentiles(
         ])).alias("_t"),
     )
     present = df.where(F.col(value).isNotNull()).select(*keys, F.col(value).cast("double").alias("_v"))
-    placed = _placed(present, targets, keys, fits)
+    # A row for each group and rank: computed once, and looked at for misses, which are rare.
+    placed, known = measured(_placed(present, targets, keys, fits))
     missed = F.col("_low").isNull() | F.col("_high").isNull()
     wider = placed.where(missed).select(
         *keys,
@@ -70,7 +71,9 @@ def group_percentiles(
             F.when(F.ceil("_rank") < F.col("_reached"), F.col("_hi")).alias("hi"),
         ).alias("_t"),
     )
-    found = placed.where(~missed).unionByName(_placed(present, wider, keys, fits))
+    found = placed.where(~missed)
+    if not known or not placed.where(missed).isEmpty():
+        found = found.unionByName(_placed(present, wider, keys, fits))
     exact = F.col("_low") + (F.col("_rank") - F.floor("_rank")) * (F.col("_high") - F.col("_low"))
     answers = found.groupBy(*[F.col(k).alias(f"_key_{k}") for k in keys]).agg(
         *[F.max(F.when(F.col("_i") == i, exact)).alias(n) for i, n in enumerate(probs)]

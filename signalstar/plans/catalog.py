@@ -39,7 +39,6 @@ from signalstar.operators import (
     titles,
 )
 from signalstar.operators.facts import event_rollup
-from signalstar.operators.percentiles import group_percentiles
 from signalstar.plans import derived_sources as derived
 from signalstar.plans import incremental, raw_star
 from signalstar.plans.order_star import (
@@ -200,9 +199,9 @@ def _urgent_weeks(spark: SparkSession, folder: str) -> DataFrame:
         .groupBy("entity_id", week_start(F.to_date("o_orderdate")).alias("date"))
         .agg(F.count(F.lit(1)).alias("n"))
     )
-    counts = materialised(counts, "urgent-weeks")
-    limits = group_percentiles(counts, ["entity_id"], "n", {"limit": 0.95})
-    return counts.join(limits, "entity_id").where(F.col("n") >= F.col("limit")).select(
+    # A segment has one row a week by now, so its percentile is a window over a calendar.
+    limit = F.percentile("n", 0.95).over(Window.partitionBy("entity_id"))
+    return counts.withColumn("limit", limit).where(F.col("n") >= F.col("limit")).select(
         "entity_id", "date"
     )
 
