@@ -18,7 +18,7 @@ SUPPORT = 10  # occurrences that make a phrase a candidate
 SCALE = 1_000_000
 TOP = 2000
 COVERED = 50  # percent of a phrase's occurrences inside a longer one that make it redundant
-BLOCK = 4 << 20  # bytes of text whose positions are advanced at once
+BLOCK = 2 << 20  # bytes of text whose positions are advanced at once
 FILTER_BITS = 1 << 26  # of a filter of hashes, 8 MB whatever the corpus
 SHARD_PHRASES, SHARD_BYTES = 1 << 20, 32 << 20  # what one broadcast trie may hold
 
