@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 import html as entities
 import json
 import re
@@ -19,11 +20,14 @@ from signalstar.llm.url_trees import host
 
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*+>"
-    r"|<(/?)([a-zA-Z][^\s/>]*+)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>",
+    r"|<(/?)([a-zA-Z][^\s/>]*+)"
+    # A quote begins a value only after an equals sign; else it is a character like others.
+    r"((?:[^>\"'=]++|=\s*+(?:\"[^\"]*+\"|'[^']*+'|[^\s>\"'][^\s>]*+)?|[\"'])*+)>",
     re.S,
 )
 _ATTRIBUTE = re.compile(r"(?i)\b(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))")
-_NAME = re.compile(r"[a-z]+")
+_NAME = re.compile(r"[a-z]+(?:-+[a-z]+)*")
+DEPTH = 150  # elements nested deeper stand beside each other at this depth
 
 RAW = {"script", "style", "textarea", "xmp", "iframe", "noscript", "template", "title", "svg", "object"}
 VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "source", "track", "wbr"}
@@ -40,7 +44,7 @@ CLOSED_BY = {
 }
 SCOPE = {"ul", "ol", "dl", "table", "select", "menu"}
 
-# Parts that are never main text, by element and by the words of class, id and role.
+# Parts that are never main text, by element and by the names in class, id and role.
 SIDE_TAGS = {
     "head", "nav", "footer", "aside", "form", "button", "select", "dialog", "menu", "canvas",
     "audio", "video", "map", "input", "fieldset", "datalist",
@@ -56,45 +60,79 @@ SIDE_WORDS = {
 }
 COMMENT_WORDS = {"comment", "comments", "replies", "reply", "disqus", "respond"}
 HEADER_WORDS = {"header", "masthead", "topbar"}
-# Words of a class that says what a page has beside it, as in has-sidebar.
+# Words that a name of a side part may have besides, as in ad-slot or post-comments.
+PLAIN_WORDS = {
+    "area", "article", "articles", "bar", "block", "body", "bottom", "box", "button", "buttons",
+    "container", "content", "form", "global", "group", "header", "icons", "inner", "item", "items",
+    "left", "links", "list", "main", "outer", "page", "panel", "post", "posts", "primary", "reader",
+    "right", "row", "secondary", "section", "site", "slot", "stories", "thread", "top", "unit",
+    "user", "users", "wrap", "wrapper",
+}
+# First words of a name that says what a page has beside it, as in has-sidebar.
 LAYOUT_WORDS = {"has", "with", "without", "no"}
+# Words of an id that may name a place of a template; other ids belong to one page.
+PLACE_WORDS = SIDE_WORDS | HEADER_WORDS | PLAIN_WORDS
+
+
+def _names(text: str) -> set[str]:
+    """The whole names in an attribute, in lower case and without digits."""
+    return {n for part in text.lower().replace("_", "-").split() for n in _NAME.findall(part)}
 
 
 class Element:
-    """A tag with its children; ``label`` is the tag and the words of its class, id, role."""
+    """A tag with its children and names; ``label`` is the tag and the names that a template
+    may have given it."""
 
-    __slots__ = ("tag", "label", "words", "kids")
+    __slots__ = ("tag", "label", "names", "kids")
 
     def __init__(self, tag: str, attributes: str = ""):
-        words: set[str] = set()
+        names: set[str] = set()
+        lasting: set[str] = set()
         if attributes:
             for m in _ATTRIBUTE.finditer(attributes):
-                words.update(_NAME.findall((m[2] or m[3] or m[4] or "").lower()))
-        self.tag, self.words = tag, words
-        self.label = ".".join([tag, *sorted(words)])
+                found = _names(entities.unescape(m[2] or m[3] or m[4] or ""))
+                names |= found
+                if m[1].lower() == "id":
+                    found = {n for n in found if PLACE_WORDS.issuperset(n.split("-"))}
+                lasting |= found
+        self.tag, self.names = tag, names
+        self.label = ".".join([tag, *sorted(lasting)])
         self.kids: list[Element | str] = []
 
 
 def parse(page: str) -> Element:
-    """The page as nested elements; left-open elements end where browsers end them."""
+    """The page as nested elements; left-open elements end where browsers end them.
+
+    Takes time in proportion to the page, whatever is in it. Elements nested deeper than
+    ``DEPTH`` become neighbours, but what is in a side part stays in it.
+    """
     root = Element("")
     stack, at = [root], 0
+    passed: dict[str, int] = {}  # deep elements by tag whose end is still to come
 
     def text(until: int) -> None:
         if until > at:
             stack[-1].kids.append(page[at:until])
 
-    position = 0
+    position, last = 0, page.rfind(">") + 1
     while True:
-        m = _TOKEN.search(page, position)
+        m = _TOKEN.search(page, position, last)
         if m is None:
             break
         text(m.start())
         position = at = m.end()
         if m[2] is None:
+            opening = m[0][:4]
+            if opening == "<!--" and not (m[0].endswith("-->") and len(m[0]) > 6) or (
+                opening == "<![C" and not m[0].endswith("]]>")
+            ):
+                position = at = len(page)  # one that is not closed goes on to the end
             continue
         tag = m[2].lower()
         if m[1]:
+            if passed.get(tag):
+                passed[tag] -= 1
+                continue
             for depth in range(len(stack) - 1, 0, -1):
                 if stack[depth].tag == tag:
                     del stack[depth:]
@@ -114,29 +152,48 @@ def parse(page: str) -> Element:
             if stack[depth].tag in SCOPE:
                 break
         element = Element(tag, m[3])
+        opened = tag not in RAW and tag not in VOID and not m[3].endswith("/")
+        if len(stack) > DEPTH and opened:
+            passed[stack[-1].tag] = passed.get(stack[-1].tag, 0) + 1
+            if is_side(stack[-1].tag, stack[-1].names, True):
+                passed[stack[-1].tag] -= 1
+                passed[tag] = passed.get(tag, 0) + 1
+                continue
+            stack.pop()
         stack[-1].kids.append(element)
         if tag in RAW:
             end = re.compile(rf"</{tag}\b[^>]*>", re.I).search(page, position)
             position = at = end.end() if end else len(page)
-        elif tag not in VOID and not m[3].endswith("/"):
+        elif opened:
             stack.append(element)
     text(len(page))
     return root
 
 
-def is_side(tag: str, words: set[str], in_article: bool) -> bool:
-    """Whether an element is a part that is never main text."""
+def _is_side_name(name: str) -> bool:
+    """Whether a whole name is that of a side part: no word in it says anything else."""
+    words = name.split("-")
+    return not SIDE_WORDS.isdisjoint(words) and (SIDE_WORDS | PLAIN_WORDS).issuperset(words)
+
+
+def is_side(tag: str, names: set[str], in_article: bool) -> bool:
+    """Whether an element is a part that is never main text.
+
+    Inside an article only its tag or a whole name says so. Outside, where nothing else tells
+    parts of a page apart, a word in a name is enough.
+    """
     if tag in SIDE_TAGS:
         return True
     if tag in ("html", "body", "main"):
         return False
     if tag == "article":
-        return bool(words & COMMENT_WORDS)
-    if words & LAYOUT_WORDS:
-        return False
-    if words & SIDE_WORDS:
+        return any(COMMENT_WORDS.intersection(n.split("-")) and _is_side_name(n) for n in names)
+    if any(_is_side_name(n) for n in names):
         return True
-    return not in_article and (tag == "header" or bool(words & HEADER_WORDS))
+    if in_article:
+        return False
+    words = {w for n in names for w in n.split("-") if n.split("-")[0] not in LAYOUT_WORDS}
+    return tag == "header" or not words.isdisjoint(SIDE_WORDS | HEADER_WORDS)
 
 
 # --- wrappers ------------------------------------------------------------------------
@@ -151,8 +208,19 @@ def is_side(tag: str, words: set[str], in_article: bool) -> bool:
 TEXT = "#"
 
 
+SHOWN = 64  # characters of a constant that an expression shows
+
+
+def _constant(text: str) -> str:
+    """A text as it is compared: a longer one by its beginning, length and hash."""
+    if len(text) <= SHOWN:
+        return text
+    digest = hashlib.blake2b(text.encode("utf-8", "surrogatepass"), digest_size=16).hexdigest()
+    return f"{text[:SHOWN]}… {len(text)} {digest}"
+
+
 def _leaf(text: str) -> dict:
-    return {"n": 1, "in": 1, "many": False, "const": text[:200], "mass": len(text), "groups": [], "kids": {}}
+    return {"n": 1, "in": 1, "many": False, "const": _constant(text), "mass": len(text), "groups": [], "kids": {}}
 
 
 def fold(element: Element) -> dict:
@@ -250,8 +318,8 @@ def expression(node: dict) -> str:
 
 
 def _side_label(label: str, in_article: bool) -> bool:
-    tag, *words = label.split(".")
-    return is_side(tag, set(words), in_article)
+    tag, *names = label.split(".")
+    return is_side(tag, set(names), in_article)
 
 
 def _slot_mass(node: dict, in_article: bool = False) -> int:
@@ -274,8 +342,8 @@ def main_paths(node: dict) -> list[list[str]]:
             for label, kid in sorted(at["kids"].items()):
                 if label == TEXT or _side_label(label, False):
                     continue
-                tag, *words = label.split(".")
-                if tag == wanted or wanted in words and wanted == "main":
+                tag, *names = label.split(".")
+                if tag == wanted or wanted == "main" and any("main" in n.split("-") for n in names):
                     found.append([*path, label])
                 else:
                     walk(kid, [*path, label])
@@ -325,14 +393,16 @@ def text_of(page: str, paths: list[list[str]] | None) -> str:
 
     def walk(element: Element, inside: bool, in_article: bool) -> None:
         inside = inside or id(element) in chosen
-        in_article = in_article or inside or element.tag == "article"
+        # The body as a whole is no article: a header in it is that of the site.
+        chosen_part = inside and element.tag not in ("", "html", "body")
+        in_article = in_article or chosen_part or element.tag == "article"
         for kid in element.kids:
             if isinstance(kid, str):
                 if inside:
                     now.append(entities.unescape(kid))
             elif kid.tag == "br":
                 now.append(" ")
-            elif is_side(kid.tag, kid.words, in_article):
+            elif is_side(kid.tag, kid.names, in_article):
                 now.append(" ")
             elif kid.tag in BLOCK:
                 flush()
@@ -405,7 +475,10 @@ def main_text(
     The host's wrapper says where the main text is: in its articles, else its main element,
     else in the part with most of the text that differs between pages. A page that lacks
     those places is judged by its own wrapper. Menus, headers, footers, side bars, notices,
-    adverts, forms, scripts, styles and comments are left out wherever they stand. Character
+    adverts, forms, scripts, styles and comments are left out wherever they stand: by element,
+    and in the main part only by a whole name of class, id or role that has no other meaning.
+    A header is left out unless it is inside the main part, the body not being one. Pages
+    may be nested, cut or quoted in any way; elements more than 150 deep count as neighbours. Character
     references are decoded, white space in a block becomes one space, blocks are joined by an
     empty line. Null and empty pages give an empty text; a null url is of the empty host;
     equal rows give equal rows; other columns are not read.
