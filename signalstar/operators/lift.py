@@ -116,3 +116,38 @@ def event_attribution(
         "attribution_rate_pct",
         rounded(share_pct(F.col("attributed_spikes"), F.col("total_spikes"))),
     )
+
+
+def lift_at(interest: DataFrame, events: DataFrame, days: int) -> DataFrame:
+    """The lift of any event date, on daily interest: one row per entity and event date.
+
+    Wants ``entity_id, date, score`` and ``entity_id, date``. before is the mean of the rows in
+    [d - days, d), after that of [d, d + days); where one is missing or before is zero, the
+    lift is NULL. Days are dealt into buckets as wide as the window and every event is sent to
+    its own bucket and both next to it, so the join is one of equal keys whose groups hold
+    three windows at most, however many days or events an entity has.
+    """
+    day = F.unix_date("date")
+    bucket = F.floor(day / days)
+    daily = interest.groupBy("entity_id", "date").agg(
+        F.sum("score").alias("total"), F.count("score").alias("n")
+    ).select("entity_id", bucket.alias("_bucket"), day.alias("_day"), "total", "n")
+    marks = events.select("entity_id", "date").distinct().select(
+        "entity_id", F.col("date").alias("event_date"), day.alias("_at"),
+        F.explode(F.sequence(bucket - 1, bucket + 1)).alias("_bucket"),
+    )
+    near = F.col("_day").between(F.col("_at") - days, F.col("_at") + days - 1)
+    same = [marks.entity_id == daily.entity_id, marks["_bucket"] == daily["_bucket"]]
+    joined = marks.join(daily, [*same, near], "left").select(
+        marks.entity_id, "event_date", (F.col("_day") < F.col("_at")).alias("_early"), "total", "n")
+
+    def mean(early: bool) -> Column:
+        side = F.col("_early") == early
+        return F.sum(F.when(side, F.col("total"))) / F.nullif(F.sum(F.when(side, F.col("n"))), F.lit(0))
+
+    found = joined.groupBy("entity_id", "event_date").agg(
+        mean(True).alias("pre"), mean(False).alias("post"))
+    return found.select(
+        "entity_id", "event_date", rounded(F.col("pre")).alias("pre"), rounded(F.col("post")).alias("post"),
+        rounded(growth_pct(F.col("post"), F.col("pre"))).alias("search_lift_pct"),
+    )

@@ -45,8 +45,17 @@ def group_percentiles(
         sketch = sketch.where("_n > 0")
     if approximate:
         return sketch.select(*keys, *(stats or {}), *[F.col(f"_a_{n}").alias(n) for n in probs])
+    return bracketed_percentiles(df, keys, value, probs, sketch, F.col("_n") <= accuracy, list(stats or {}))
+
+
+def bracketed_percentiles(
+    df: DataFrame, keys: list[str], value: str, probs: dict[str, float], sketch: DataFrame,
+    whole: Column, kept: list[str] | None = None,
+) -> DataFrame:
+    """Exact percentiles of groups whose sizes ``_n`` and brackets ``_edges``, two for each
+    percentile, are known from any sketch. ``whole`` says which groups are put in order whole;
+    ``kept`` columns of the sketch are carried along."""
     sketch, fits = measured(sketch)
-    whole = F.col("_n") <= accuracy
     targets = sketch.select(
         *keys,
         F.explode(F.array(*[
@@ -78,7 +87,7 @@ def group_percentiles(
     answers = found.groupBy(*[F.col(k).alias(f"_key_{k}") for k in keys]).agg(
         *[F.max(F.when(F.col("_i") == i, exact)).alias(n) for i, n in enumerate(probs)]
     )
-    return sketch.join(answers, _same(keys), "left").select(*keys, *(stats or {}), *probs)
+    return sketch.join(answers, _same(keys), "left").select(*keys, *(kept or []), *probs)
 
 
 def _same(keys: list[str]) -> Column:

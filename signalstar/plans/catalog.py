@@ -25,6 +25,7 @@ from signalstar.functions.cleaning import (
     sentence_case,
     stamp_week,
 )
+from signalstar.functions.measures import rounded
 from signalstar.operators import (
     coverage,
     cross_source,
@@ -35,6 +36,7 @@ from signalstar.operators import (
     quality,
     ranking,
     resolve,
+    score_sketches,
     spikes,
     titles,
 )
@@ -206,6 +208,32 @@ def _urgent_weeks(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+LIFT_DAYS = 14
+
+
+def _daily_lift(spark: SparkSession, folder: str) -> DataFrame:
+    """Prices of the two weeks around every day on which a segment ordered urgently for over
+    400,000."""
+    orders = with_customer(spark, folder, table(spark, folder, "orders"), "o_custkey").select(
+        "entity_id", F.to_date("o_orderdate").alias("date"), F.col("o_totalprice").alias("score"),
+        "o_orderpriority")
+    urgent = orders.where((F.col("o_orderpriority") == "1-URGENT") & (F.col("score") > 400_000))
+    return lift.lift_at(orders, urgent, LIFT_DAYS)
+
+
+SPAN = (19950101, 19961231)  # date keys of the weeks that the window query asks for
+
+
+def _score_window(spark: SparkSession, folder: str) -> DataFrame:
+    """Quartiles of two years of weeks from stored weekly sketches, exact by one pass."""
+    rows = order_star(spark, folder).interest
+    cells = materialised(
+        score_sketches.sketch_cells(rows, ["source_id"], "date_id", "interest_score"), "score-sketches")
+    found = score_sketches.exact_span_quantiles(
+        cells, rows, ["source_id"], "date_id", "interest_score", *SPAN, distribution.QUARTILES)
+    return found.select("source_id", "n", *[rounded(F.col(q)).alias(q) for q in distribution.QUARTILES])
+
+
 def _on_lift(question) -> Query:
     return lambda spark, folder: question(
         _first_source_weeks(spark, folder), _urgent_weeks(spark, folder)
@@ -560,6 +588,7 @@ QUERIES: dict[str, Query] = {
     "dist_score_bracketed": _on_star(
         lambda s: distribution.score_distribution(s, accuracy=200)
     ),
+    "dist_score_window": _score_window,
     "dist_histogram": _on_star(lambda s: distribution.score_histogram(s, 0.0, 500000.0, 20)),
     "trend_weekly": _on_star(distribution.weekly_trend),
     "bi_trend_line": _on_star(lambda s: distribution.weekly_trend(s, FIRST_SOURCE)),
@@ -607,6 +636,7 @@ QUERIES: dict[str, Query] = {
     "kpi_event_attribution_by_entity": _on_lift(
         lambda interest, marks: lift.event_attribution(interest, marks, by_entity=True)
     ),
+    "kpi_event_lift_daily": _daily_lift,
     "kpi_category_share": lambda spark, folder: ranking.category_share(
         table(spark, folder, "orders"), "o_orderpriority"
     ),

@@ -617,6 +617,25 @@ FROM lifted"""),
     "kpi_event_attribution_by_entity": on_star(
         LIFT + f"SELECT entity_id, {ATTRIBUTION} GROUP BY entity_id"
     ),
+    "kpi_event_lift_daily": f"""
+WITH placed AS (SELECT c_custkey, c_mktsegment AS entity_id FROM customer JOIN nation ON c_nationkey = n_nationkey),
+days AS (
+  SELECT entity_id, {ORDER_DAY} AS date, o_totalprice AS score, o_orderpriority
+  FROM orders JOIN placed ON o_custkey = c_custkey),
+marks AS (SELECT DISTINCT entity_id, date FROM days WHERE o_orderpriority = '1-URGENT' AND score > 400000),
+around AS (
+  SELECT m.entity_id, m.date AS event_date, avg(score) FILTER (WHERE d.date < m.date) AS pre,
+         avg(score) FILTER (WHERE d.date >= m.date) AS post
+  FROM marks m LEFT JOIN days d
+    ON d.entity_id = m.entity_id AND d.date >= m.date - 14 AND d.date < m.date + 14
+  GROUP BY ALL)
+SELECT entity_id, event_date, {rnd("pre")} AS pre, {rnd("post")} AS post,
+       {rnd(grow("post", "pre"))} AS search_lift_pct
+FROM around""",
+    "dist_score_window": on_star(f"""
+SELECT source_id, count(interest_score) AS n, {rnd("quantile_cont(interest_score, 0.25)")} AS p25,
+       {rnd("quantile_cont(interest_score, 0.5)")} AS median, {rnd("quantile_cont(interest_score, 0.75)")} AS p75
+FROM f_interest WHERE date_id BETWEEN 19950101 AND 19961231 GROUP BY source_id"""),
     "kpi_category_share": f"""
 WITH counts AS (
   SELECT o_orderpriority AS category, count(*) AS n FROM orders
