@@ -61,7 +61,7 @@ from signalstar.sources.population_sheet import places_from_sheet, with_header
 from signalstar.sources.schemas import FACTS
 from signalstar.sources.tables import local_table, materialised, read_table, reload_table, save_processed
 from signalstar.sources.trends import national_rows, regional_rows
-from signalstar.streaming import rollup, weekly
+from signalstar.streaming import pageviews, rollup, weekly
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -143,8 +143,9 @@ def _dq_report(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _dq_unreadable(spark: SparkSession, folder: str) -> DataFrame:
-    """Raw inputs of which some are broken: cut news bodies, publications whose record is
-    missing or whose stamp is no date, and trend lines without a label. All are counted."""
+    """Raw inputs of which some are broken: cut news, page-view and population bodies,
+    publications whose record is missing or whose stamp is no date, and trend lines without a
+    label. All are counted."""
     number = F.col("event_id")
     cut = F.when(number % 97 == 0, F.substring("body", 1, 40)).otherwise(F.col("body"))
     news = docs.news_articles(derived.news_bodies(spark, folder).withColumn("body", cut))
@@ -155,6 +156,13 @@ def _dq_unreadable(spark: SparkSession, folder: str) -> DataFrame:
     found = found.withColumn("week", stamp_week(F.col("stamp"), PUBLICATION_STAMP))
     blank = F.when(F.dayofyear("label") % 13 != 0, F.col("label"))
     lines = derived.national_lines(spark, folder).withColumn("label", blank)
+    views = derived.pageview_bodies(spark, folder)
+    hour = F.regexp_extract("body", '"timestamp":"[0-9]{8}([0-9]{2})', 1)
+    views = docs.pageviews(views.withColumn(
+        "body", F.when(hour == "07", F.substring("body", 1, 20)).otherwise(F.col("body"))))
+    people = derived.population_bodies(spark, folder)
+    people = docs.populations(people.withColumn(
+        "body", F.when(F.col("body").contains('"name":"I'), "{").otherwise(F.col("body"))), None)
     stampless = quality.RowRule(
         "unreadable_stamp", "stamp", F.col("stamp").isNotNull() & F.col("week").isNull()
     )
@@ -162,6 +170,8 @@ def _dq_unreadable(spark: SparkSession, folder: str) -> DataFrame:
         quality.report(news, "news", quality.no_nulls("pos"))
         .unionByName(quality.report(found, "publications", [*quality.no_nulls("stamp"), stampless]))
         .unionByName(quality.report(national_rows(lines), "national", quality.no_nulls("date")))
+        .unionByName(quality.report(views, "pageviews", quality.no_nulls("date")))
+        .unionByName(quality.report(people, "population", quality.no_nulls("region_name")))
     )
 
 
@@ -533,6 +543,24 @@ def _streamed_rollup(spark: SparkSession, folder: str) -> DataFrame:
         *keys, "related_article_count", "title", near.alias("publishers_within_error"))
 
 
+def _streamed_views(spark: SparkSession, folder: str) -> DataFrame:
+    """The page-view index after its days came in three files, the busiest ones last."""
+    target = scratch_path(spark, "stream-views")
+    rows = docs.pageviews(derived.pageview_bodies(spark, folder))
+    named = raw_star.with_entity(
+        _with_entity_name(rows, docs.PAGEVIEW_SUFFIX), derived.named_entities(spark, folder))
+    daily = named.select("entity_id", "date", "views")
+    part = F.when(F.col("views") < 30, 0).when(F.col("views") < 60, 1).otherwise(2)
+    for number in range(3):
+        daily.where(part == number).coalesce(1).write.mode("append").parquet(f"{target}/raw")
+    stream = spark.readStream.schema(daily.schema).option("maxFilesPerTrigger", 1).parquet(f"{target}/raw")
+    pageviews.follow_views(stream, target, f"{target}/mark").awaitTermination()
+    facts = pageviews.page_view_index(spark, target)
+    return facts.select(
+        date_key(F.col("date")).alias("date_id"), "entity_id",
+        F.round("interest_score", 6).alias("interest_score"))
+
+
 def _rank_all_events(spark: SparkSession, folder: str) -> DataFrame:
     """The rank of every order by price, and of every event of the rollup by its articles."""
     orders = table(spark, folder, "orders").select(
@@ -672,6 +700,7 @@ QUERIES: dict[str, Query] = {
     "load_refused_keeps_star": _refused_keeps_star,
     "load_incremental_events": _incremental_events,
     "stream_event_rollup": _streamed_rollup,
+    "stream_pageview_index": _streamed_views,
     "rank_all_events": _rank_all_events,
     "stream_weekly_events": _streamed_weeks,
 }

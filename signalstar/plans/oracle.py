@@ -479,7 +479,11 @@ UNION ALL SELECT 'publications', 'unreadable_stamp', 'stamp',
        min('about ' || strftime(ts, '%Y/%m/%d %H:%M'))
          FILTER (WHERE event_id % 83 = 0 AND event_id % 89 <> 0) FROM event_rows
 UNION ALL SELECT 'national', 'no_nulls', 'date',
-       count(*) FILTER (WHERE dayofyear(date) % 13 = 0), NULL FROM national"""),
+       count(*) FILTER (WHERE dayofyear(date) % 13 = 0), NULL FROM national
+UNION ALL SELECT 'pageviews', 'no_nulls', 'date', count(*) FILTER (WHERE hour(ts) = 7), NULL FROM event_rows
+UNION ALL SELECT 'population', 'no_nulls', 'region_name',
+       count(DISTINCT n_nationkey) FILTER (WHERE n_name LIKE 'I%'), NULL
+FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey"""),
     "dq_fk_offenders": """
 SELECT DISTINCT o_custkey AS value FROM orders
 WHERE o_custkey NOT IN (SELECT s_suppkey FROM supplier) ORDER BY 1 LIMIT 10""",
@@ -730,6 +734,8 @@ SELECT table_name, row_count, row_count AS loaded_rows, CAST(0 AS BIGINT) AS n_o
 SELECT entity_id, event_date, region_id, category, related_article_count, title,
        true AS publishers_within_error
 FROM f_events"""),
+    "stream_pageview_index": on_star(PAGEVIEWS + """
+SELECT date_id, entity_id, round(score, 6) AS interest_score FROM pageviews"""),
     "rank_all_events": on_star("""
 SELECT kind, name, value, rank() OVER (PARTITION BY kind ORDER BY value DESC NULLS LAST) AS rank
 FROM (SELECT 'order' AS kind, CAST(o_orderkey AS VARCHAR) AS name, o_totalprice AS value FROM orders

@@ -10,10 +10,10 @@ from conftest import as_set
 from pyspark.sql import functions as F
 
 from signalstar.operators import ranking
-from signalstar.operators.facts import event_rollup
+from signalstar.operators.facts import event_rollup, own_peak_index, weekly_totals
 from signalstar.plans import incremental
 from signalstar.sources import snapshots
-from signalstar.streaming import rollup
+from signalstar.streaming import pageviews, rollup
 
 ARTICLES = ("entity_id int, week date, region_id int, category string, publisher string, "
             "title string, pos long")
@@ -147,6 +147,51 @@ def test_many_publishers_within_the_stated_error(spark, tmp_path):
     assert abs(got.source_count - 40_000) < 5 * rollup.SKETCH_ERROR * 40_000
 
 
+VIEWS = "entity_id int, date date, views long"
+
+
+def view_rows(seed, n=150):
+    random_ = random.Random(seed)
+    return [(random_.choice([None, 1, 2, 3]), date(2024, 1, 7) + timedelta(random_.randrange(40)),
+             random_.choice([None, 0, random_.randrange(500)])) for _ in range(n)]
+
+
+@pytest.mark.parametrize("order", ["as it comes", "rising", "falling"])
+def test_streamed_index_equals_batch(spark, tmp_path, order):
+    """Whatever comes first: a new peak changes all weeks of its entity, and only those."""
+    raw, out, mark = (str(tmp_path / n) for n in ("raw", "out", "mark"))
+    rows = view_rows(7) + [(4, date(2024, 1, 8), 0)]
+    if order != "as it comes":
+        rows.sort(key=lambda r: r[2] or 0, reverse=order == "falling")
+    for k in range(3):
+        part = rows[k * 50 : (k + 1) * 50] if k < 2 else rows[100:]
+        spark.createDataFrame(part, VIEWS).coalesce(1).write.mode("append").parquet(raw)
+        if k == 1:
+            run_views(spark, raw, out, mark)
+    run_views(spark, raw, out, mark)
+    run_views(spark, raw, out, mark)
+    daily = spark.read.schema(VIEWS).parquet(raw)
+    want = own_peak_index(weekly_totals(daily, "date", "views")).select("entity_id", "date", "weekly_total", "interest_score")
+    assert as_set(pageviews.page_view_index(spark, out).select(want.columns)) == as_set(want)
+
+
+def run_views(spark, raw, out, mark):
+    stream = spark.readStream.schema(VIEWS).option("maxFilesPerTrigger", 1).parquet(raw)
+    pageviews.follow_views(stream, out, mark).awaitTermination()
+
+
+def test_other_entities_are_left_alone(spark, tmp_path):
+    out = str(tmp_path / "out")
+    rows = spark.createDataFrame([(e, date(2024, 1, 7), 5) for e in range(40)], VIEWS)
+    pageviews.merge_views(rows, 0, out)
+    files = set(pageviews.page_view_index(spark, out).inputFiles())
+    for batch in (1, 1):
+        pageviews.merge_views(rows.where("entity_id = 3").selectExpr("entity_id", "date_add(date, 7) AS date", "20L AS views"), batch, out)
+    assert len(files - set(pageviews.page_view_index(spark, out).inputFiles())) == 1
+    assert as_set(pageviews.page_view_index(spark, out).where("entity_id = 3").select("date", "interest_score")) == {
+        (date(2024, 1, 7), 25.0), (date(2024, 1, 14), 100.0)}
+
+
 @pytest.mark.parametrize("values", [[5.0, 1.0, 5.0, None, 3.0, None, 3.0, 3.0], [], [None], [2.0] * 50])
 def test_ranks(spark, values):
     df = spark.createDataFrame([(i, v) for i, v in enumerate(values)], "id int, v double").repartition(3)
