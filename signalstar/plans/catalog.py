@@ -29,6 +29,7 @@ from signalstar.functions.measures import rounded
 from signalstar.operators import (
     coverage,
     cross_source,
+    cube,
     distribution,
     events,
     growth,
@@ -561,6 +562,28 @@ def _streamed_views(spark: SparkSession, folder: str) -> DataFrame:
         F.round("interest_score", 6).alias("interest_score"))
 
 
+def _cube_measures(spark: SparkSession, folder: str) -> DataFrame:
+    """Growth and peak of each entity and the measure per million of each region, all from
+    the cube."""
+    star = order_star(spark, folder)
+    made = cube.InterestCube.build(star.interest)
+
+    def shown(rows: DataFrame, measure: str, name: str, *values: str) -> DataFrame:
+        return rows.select(
+            F.lit(measure).alias("measure"), F.col(name).alias("name"),
+            *[F.col(v).cast("double").alias(f"value_{i}") for i, v in enumerate(values, 1)])
+
+    parts = [
+        shown(cube.entity_growth(made, star, FIRST_SOURCE), "growth", "entity_name",
+              "baseline_avg", "current_avg", "growth_pct"),
+        shown(cube.largest_spikes(made, star, FIRST_SOURCE), "peak", "entity_name",
+              "peak_interest", "expected_interest", "spike_pct"),
+        shown(cube.region_per_million(made, star), "per million", "region_name",
+              "population", "raw_avg_interest", "interest_per_million_pop"),
+    ]
+    return reduce(DataFrame.unionByName, parts)
+
+
 def _rank_all_events(spark: SparkSession, folder: str) -> DataFrame:
     """The rank of every order by price, and of every event of the rollup by its articles."""
     orders = table(spark, folder, "orders").select(
@@ -702,5 +725,6 @@ QUERIES: dict[str, Query] = {
     "stream_event_rollup": _streamed_rollup,
     "stream_pageview_index": _streamed_views,
     "rank_all_events": _rank_all_events,
+    "cube_measures": _cube_measures,
     "stream_weekly_events": _streamed_weeks,
 }

@@ -736,6 +736,18 @@ SELECT entity_id, event_date, region_id, category, related_article_count, title,
 FROM f_events"""),
     "stream_pageview_index": on_star(PAGEVIEWS + """
 SELECT date_id, entity_id, round(score, 6) AS interest_score FROM pageviews"""),
+    "cube_measures": on_star(REGIONAL + f"""
+SELECT 'growth' AS measure, entity_name AS name, baseline_avg AS value_1, current_avg AS value_2,
+       growth_pct AS value_3
+FROM ({ENTITY_GROWTH})
+UNION ALL
+SELECT 'peak', entity_name, max(interest_score), {rnd("avg(interest_score)")},
+       {rnd(grow("max(interest_score)", "avg(interest_score)"))}
+FROM first_source GROUP BY entity_name
+UNION ALL
+SELECT 'per million', region_name, CAST(population AS DOUBLE), {rnd("avg(interest_score)")},
+       {rnd("avg(interest_score) / (population / 1000000.0)", 4)}
+FROM regional GROUP BY region_name, population"""),
     "rank_all_events": on_star("""
 SELECT kind, name, value, rank() OVER (PARTITION BY kind ORDER BY value DESC NULLS LAST) AS rank
 FROM (SELECT 'order' AS kind, CAST(o_orderkey AS VARCHAR) AS name, o_totalprice AS value FROM orders
