@@ -11,7 +11,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from signalstar.llm.common import SPACE, body, stored
+from signalstar.llm.common import SPACE, body, same_keys, stored
 
 HEAD = 32  # leading characters in a splitter; a splitter stays small however long a text is
 
@@ -79,6 +79,11 @@ def duplicate_groups(docs: DataFrame, id: str = "doc_id", text: str = "text") ->
     sorted by Spark's external sort, neighbours are compared in full, and runs that cross a
     partition border are joined by comparing the texts on both sides of it.
     """
+    return _groups(docs, id, text).drop("n_points")
+
+
+def _groups(docs: DataFrame, id: str, text: str) -> DataFrame:
+    """The groups, and of each row the code points of its original text."""
     rows = docs.select(F.col(id).alias("doc_id"), body(text).alias("body")).select(
         "doc_id",
         F.char_length("body").cast("long").alias("n_points"),
@@ -112,6 +117,7 @@ def duplicate_groups(docs: DataFrame, id: str = "doc_id", text: str = "text") ->
         "group_size",
         (F.col("opens") & (F.col("part") == F.col("best.part"))).alias("kept"),
         "text_sha256",
+        "n_points",
     )
 
 
@@ -145,19 +151,19 @@ def _roots(edges: DataFrame) -> DataFrame:
 
 
 def kept_documents(docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:
-    """The rows of ``docs`` that stay, with all their columns; repeated rows once."""
-    groups = duplicate_groups(docs, id, text)
-    kept = groups.where("kept").select(
-        F.col("keep_id").alias("__id"), F.col("text_sha256").alias("__sha")
-    )
-    sha = F.sha2(F.regexp_replace(body(text), f"{SPACE}+", "").cast("binary"), 256)
-    keyed = docs.withColumn("__text_sha", sha)
-    return (
-        keyed.join(
-            kept,
-            F.col(id).eqNullSafe(F.col("__id")) & (F.col("__text_sha") == F.col("__sha")),
-            "left_semi",
-        )
-        .dropDuplicates([id, "__text_sha"])
-        .drop("__text_sha")
+    """The rows of ``docs`` that stay, with all their columns; repeated rows once.
+
+    Rows are told apart by id, normalised text and length: of rows with one id and equal texts
+    the longest original stays, also where ids repeat or are null. Of rows equal in all three
+    one stays. A null text is empty; of all empty and blank texts one stays.
+    """
+    kept = _groups(docs, id, text).where("kept").select(
+        F.col("keep_id").alias("__id"), F.col("text_sha256").alias("__sha"), F.col("n_points").alias("__points")
     )
+    keyed = docs.withColumns({
+        "__text_sha": F.sha2(F.regexp_replace(body(text), f"{SPACE}+", "").cast("binary"), 256),
+        "__text_points": F.char_length(body(text)).cast("long"),
+    })
+    same = same_keys([id, "__text_sha", "__text_points"], ["__id", "__sha", "__points"])
+    return keyed.join(kept, same, "left_semi").dropDuplicates(
+        [id, "__text_sha", "__text_points"]).drop("__text_sha", "__text_points")

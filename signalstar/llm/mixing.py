@@ -33,13 +33,20 @@ def fill_level(nodes: DataFrame, parent: Sequence[str], name: str) -> DataFrame:
     proportion to their weights, until the budget or the family's capacity is used up. All
     in integers: taking children by capacity per weight, a child whose capacity is below
     its share of what is left takes its capacity; from the first that is not on, all share
-    the rest. Adds the budget of the child in place of the parent's.
+    the rest. A child whose weight is zero or less gets nothing unless its siblings are full;
+    what they leave is shared by all such children alike. Adds the budget of the child in
+    place of the parent's.
     """
-    family = Window.partitionBy(*parent) if parent else Window.partitionBy(F.lit(0))
-    ahead = family.orderBy(F.col("capacity") / F.col("weight"), name)
+    nodes = nodes.withColumn("last", F.col("weight") <= 0).withColumn(
+        "weight", F.when(F.col("weight") > 0, F.col("weight")).otherwise(1))
+    family = list(parent) or [F.lit(0)]
+    order = [F.col("capacity") / F.col("weight"), F.col(name)]
+    ahead = Window.partitionBy(*family, "last").orderBy(*order)
     before = ahead.rowsBetween(Window.unboundedPreceding, -1)
-    rest = F.greatest(F.col("budget") - F.coalesce(F.sum("capacity").over(before), F.lit(0)), F.lit(0))
-    open_weight = F.sum("weight").over(family) - F.coalesce(F.sum("weight").over(before), F.lit(0))
+    all_before = Window.partitionBy(*family).orderBy("last", *order).rowsBetween(Window.unboundedPreceding, -1)
+    rest = F.greatest(F.col("budget") - F.coalesce(F.sum("capacity").over(all_before), F.lit(0)), F.lit(0))
+    open_weight = F.sum("weight").over(Window.partitionBy(*family, "last")) - F.coalesce(
+        F.sum("weight").over(before), F.lit(0))
     full = F.col("capacity").cast("decimal(38,0)") * F.col("open_weight") <= F.col("rest").cast(
         "decimal(38,0)"
     ) * F.col("weight")
@@ -57,7 +64,7 @@ def fill_level(nodes: DataFrame, parent: Sequence[str], name: str) -> DataFrame:
         .withColumn("level", level)
         .withColumn("budget", F.when(F.col("level").isNull(), F.col("capacity")).otherwise(
             F.least(shared, F.col("capacity"))))
-        .drop("rest", "open_weight", "full", "level")
+        .drop("rest", "open_weight", "full", "level", "last")
     )
 
 

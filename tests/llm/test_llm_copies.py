@@ -10,6 +10,7 @@ import pytest
 from conftest import SMALL
 from llm_data import TEXTS, no_documents, odd_documents
 from oracle_compare import differences, duck
+from pyspark.sql import functions as F
 
 from signalstar.llm import chosen_path, content_sort, lattice
 from signalstar.llm.components import components
@@ -55,6 +56,13 @@ def test_exact_copies(spark, partitions):
         spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
 
 
+def test_the_longest_of_one_id_stays(spark):
+    rows = [(7, "a b c"), (7, "a  b    c"), (7, "a  b    c"), (None, "a\tb c"), (3, "x"), (None, "x "), (4, None), (4, " ")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").withColumn("size", F.lit(1)).repartition(3)
+    got = [(r.doc_id, r.text) for r in content_sort.kept_documents(docs).collect()]
+    assert sorted(got, key=str) == sorted([(7, "a  b    c"), (None, "x "), (4, " ")], key=str)
+
+
 def test_nothing_to_compare(spark):
     none = no_documents(spark)
     assert content_sort.duplicate_groups(none).count() == 0

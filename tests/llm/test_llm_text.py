@@ -413,6 +413,13 @@ def test_mixing(spark, monkeypatch, percent, epochs):
         assert set(order[: len(chosen)]) == chosen
 
 
+@pytest.mark.parametrize("percent,given", [(50, [60, 15, 0, 0]), (100, [100, 30, 10, 10]), (0, [0, 0, 0, 0])])
+def test_children_without_weight_come_last(spark, percent, given):
+    leaves = spark.createDataFrame([("a", 100), ("b", 30), ("c", 10), ("d", 10)], "k string, leaf_tokens long")
+    found = mixing.leaf_budgets(leaves, ["k"], {"k": {"a": 4, "b": 1, "c": 0, "d": -2}}, percent, 1)
+    assert [r.budget for r in found.orderBy("k").collect()] == given
+
+
 def test_mixing_odd_rows(spark):
     docs = odd_documents(spark)
     rows = mixing.mixed(docs, mix_levels(), {}, 100, 1).collect()
