@@ -38,6 +38,14 @@ def text_key(text: str) -> Column:
     return F.unhex(F.sha2(body(text).cast("binary"), 256))
 
 
+def fresh(df: DataFrame, name: str) -> str:
+    """A column name that the table does not have in any case."""
+    taken = {c.lower() for c in df.columns}
+    while name in taken:
+        name += "_"
+    return name
+
+
 def same_keys(left: Sequence[str], right: Sequence[str]) -> Column:
     """Whether all of the columns are equal, null being a value like any other."""
     found = F.lit(True)

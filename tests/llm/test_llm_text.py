@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 import hashlib
+import random
 import re
 import zlib
 from collections import defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from conftest import SMALL
 from hypothesis import given, settings
@@ -475,6 +477,56 @@ def test_quality_of_odd_rows(spark):
     assert ordinal.kept_documents(docs, none).columns == docs.columns
 
 
+def test_quality_pieces_of_long_words():
+    rng = random.Random(5)
+    texts = [" ".join("".join(rng.choice("aB9中é.") for _ in range(rng.choice((1, 5, 24, 25, 26, 27, 70))))
+                      for _ in range(rng.randrange(6))) for _ in range(200)] + ["", "x" * 100_000]
+    words, offsets = [], [0]
+    for text in texts:
+        for word in text.split():
+            words.append(word)
+            if len(word) > ordinal.LONG:
+                words += [word[i : i + ordinal.PIECE] for i in range(0, len(word), ordinal.PIECE)]
+        offsets.append(len(words))
+    plain = [w for t in texts for w in t.split()]
+    starts = np.cumsum([0, *[len(t.split()) for t in texts]])
+    got, at = ordinal._with_pieces(pa.array(plain, pa.large_string()), starts)
+    assert got.to_pylist() == words and list(at) == offsets
+
+
+def test_quality_of_texts_without_spaces(spark):
+    """Texts that are alike for 30 characters and in their last ones, and differ in the middle."""
+    rng = random.Random(3)
+
+    def text(letters):
+        return "序" * 30 + "".join(rng.choice(letters) for _ in range(120)) + "end"
+
+    rows = [(i, text("甲乙丙丁" if i % 2 else "子丑寅卯"), i % 2 * 2) for i in range(400)]
+    df = spark.createDataFrame(rows, "id long, text string, grade int")
+    model = ordinal.fit(df.where("id < 300"))
+    held = ordinal.graded(df.where("id >= 300"), model).select("grade", "judged.expected_grade").collect()
+    assert max(r[1] for r in held if r[0] == 0) < min(r[1] for r in held if r[0] == 2)
+
+
+def test_quality_sample_is_bounded(spark):
+    """A text that fills most rows is one row of the sample; a smaller sample is really smaller."""
+    rows = [("hot text of many copies", 0)] * 5000 + [(f"clean words {i}", 2) for i in range(300)]
+    df = spark.createDataFrame(rows, "text string, grade int")
+    model = ordinal.fit(df, train_rows=100)
+    assert sorted(model.thresholds) == list(model.thresholds)
+    again = ordinal.fit(df.repartition(7), train_rows=100)
+    assert np.allclose(model.weights, again.weights)
+    judged = ordinal.graded(df.distinct(), ordinal.fit(df)).select("grade", "judged.expected_grade").collect()
+    assert max(r[1] for r in judged if r[0] == 0) < min(r[1] for r in judged if r[0] == 2)
+
+
+def test_quality_keeps_columns_of_its_own_names(spark):
+    docs = odd_documents(spark).selectExpr("*", "1 AS judged", "2 AS Judged_", "3 AS text_key", "4 AS grade")
+    none = spark.createDataFrame([], "doc_id long, quality int, toxic int")
+    got = ordinal.kept_documents(docs, none)
+    assert got.columns == docs.columns and got.exceptAll(docs).count() == 0 and got.count() == docs.count()
+
+
 # --- pipeline ------------------------------------------------------------------------
 
 
