@@ -157,25 +157,31 @@ def fit(
 
     Equal texts of one grade are one row, however often they occur; n of them weigh
     1 + ln(n). Of these rows about ``train_rows`` and never more are drawn by a seeded hash (a
-    documented bound; all where there are fewer) and dealt to SHARDS tasks. Each round every shard continues from
-    the shared model and the results are averaged by weight; a model is half a megabyte. Rows
-    with a null grade, or one out of range, are left out; null texts are empty. Without any
-    rating, all documents get the top grade. ``key`` may name the texts' ``text_key``.
+    documented bound; all where there are fewer) and dealt to SHARDS tasks. Each round every
+    shard continues from the shared model and the results are averaged by weight; a model is
+    half a megabyte. Rows with a null grade, or one out of range, are left out; null texts are
+    empty. Without any rating, all documents get the top grade. ``key`` may name the texts'
+    ``text_key``.
     """
     rows = rated.select(
         (F.col(key) if key else text_key(text)).alias("text_key"), body(text).alias("text"),
         F.col(grade).cast("int").alias("grade"),
     ).where(F.col("grade").between(0, grades - 1))
     model = OrdinalModel(np.zeros(1 << BITS), np.linspace(-1, 1, grades - 1) - 2)
+    draw = F.xxhash64("text_key", F.lit(seed))
     counted = stored(rows.groupBy("text_key", "grade").agg(F.count(F.lit(1)).alias("n")).select(
         F.col("text_key").alias("key"), F.col("grade").alias("of"),
-        (1 + F.log("n")).alias("weight"), F.xxhash64("text_key", F.lit(seed)).alias("draw"),
+        (1 + F.log("n")).alias("weight"), draw.alias("draw"),
     ), "rated-texts")
     share = min(1.0, train_rows / max(1, counted.count()))
-    low = F.pmod("draw", F.lit(1 << 40)) < int(share * (1 << 40))
-    drawn = counted.where(low).orderBy("draw", "key", "of").limit(train_rows)
-    # At most train_rows digests are broadcast; then one text is kept for each of them.
-    kept = rows.join(
+
+    def low(value: Column) -> Column:
+        return F.pmod(value, F.lit(1 << 40)) < int(share * (1 << 40))
+
+    drawn = counted.where(low(F.col("draw"))).orderBy("draw", "key", "of").limit(train_rows)
+    # Texts outside the draw go before they meet their ratings. At most train_rows digests are
+    # broadcast; then one text is kept for each of them.
+    kept = rows.where(low(draw)).join(
         F.broadcast(drawn), (F.col("text_key") == F.col("key")) & (F.col("grade") == F.col("of"))
     ).select("text", "grade", "weight", "draw").distinct()
     shard = F.pmod(F.shiftright("draw", 24), F.lit(SHARDS)).cast("int")
