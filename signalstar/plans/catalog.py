@@ -9,6 +9,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from signalstar.functions.calendar import (
     date_key,
@@ -34,6 +35,7 @@ from signalstar.operators import (
     events,
     growth,
     lift,
+    profile,
     quality,
     ranking,
     resolve,
@@ -59,13 +61,14 @@ from signalstar.session import scratch_path
 from signalstar.sources import documents as docs
 from signalstar.sources import reference_rows as ref
 from signalstar.sources.population_sheet import places_from_sheet, with_header
-from signalstar.sources.schemas import FACTS
+from signalstar.sources.schemas import FACTS, PLACES
 from signalstar.sources.tables import local_table, materialised, read_table, reload_table, save_processed
 from signalstar.sources.trends import national_rows, regional_rows
 from signalstar.streaming import pageviews, rollup, weekly
 
 Query = Callable[[SparkSession, str], DataFrame]
 
+FREQUENT_SHARE = 0.01  # of a column's cells, from which a value is listed
 KNOWN_NATIONS = 20  # nations that the population query keeps, by key
 
 
@@ -176,6 +179,64 @@ def _dq_unreadable(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def _dq_problems(spark: SparkSession, folder: str) -> DataFrame:
+    """Publication bodies broken in four ways, and what each row's reader says of it."""
+    number = F.col("event_id")
+    odd = F.when(number % 97 == 0, F.substring("body", 1, 40)).when(
+        number % 89 == 0, F.regexp_replace("body", '"uids":\\["', '"uids":["x')
+    ).when(number % 83 == 0, F.regexp_replace("body", '"uids":', '"ids":')).when(
+        number % 79 == 0, F.regexp_replace("body", '"sortpubdate":', '"date":')
+    ).otherwise(F.col("body"))
+    found = docs.publication_records(derived.publication_bodies(spark, folder).withColumn("body", odd))
+    return found.groupBy("problem").agg(
+        F.count(F.lit(1)).alias("n_rows"), F.count("stamp").alias("n_stamps"), F.count("title").alias("n_titles")
+    )
+
+
+def _src_places(spark: SparkSession, folder: str) -> DataFrame:
+    """Nations as places of the region-level extract, dealt by number: the newest figure of every
+    authored place, with the id of the region that bears its code."""
+    places = [*ref.REGION_PLACES, ("X00000001", "No such place")]
+    numbered = local_table(
+        spark, [(i, *p) for i, p in enumerate(places)], T.StructType([
+            T.StructField("number", T.IntegerType()), *PLACES.fields]))
+    yearly = derived.yearly_orders(spark, folder).withColumn("number", F.col("n_nationkey") % len(places))
+    bodies = yearly.groupBy("number", F.col("year").cast("string").alias("year")).agg(
+        F.sum("people").alias("people")
+    ).groupBy("number").agg(
+        F.map_from_entries(F.collect_list(F.struct("year", "people"))).alias("population_by_year")
+    ).join(numbered, "number").select(
+        F.to_json(F.struct(F.array(F.struct("code", "name", "population_by_year")).alias("geographies"))).alias("body")
+    )
+    known = [name for _, name in ref.REGION_PLACES]
+    newest = docs.populations(bodies, known)
+    codes = local_table(spark, [(code, name) for name, code in ref.REGION_CODES], PLACES)
+    regions = ref.region_keys(spark).join(codes, F.col("region_name") == F.col("name")).select("code", "region_id")
+    authored = ref.place_codes(spark, ref.REGION_PLACES).join(regions, "code", "left")
+    return authored.join(newest, F.col("code") == F.col("ons_code"), "left").select(
+        "code", F.col("name").alias("place"), "region_id", "population", "year"
+    )
+
+
+def _src_authored_entities(spark: SparkSession, folder: str) -> DataFrame:
+    """Events under authored entity names in any casing, one name unknown: rows and sum of
+    values for each authored entity, and for what matches none."""
+    names = [name for name, _, _ in ref.ENTITY_INFO] + ["Unheard-of"]
+    named = table(spark, folder, "events").select(
+        F.get(F.array(*map(F.lit, names)), (F.col("user_id") % len(names)).cast("int")).alias("name"),
+        "event_id", "value",
+    ).withColumn("entity_name", F.when(F.col("event_id") % 2 == 0, F.upper("name")).otherwise(F.lower("name")))
+    counted = named.groupBy(F.lower("entity_name").alias("key")).agg(
+        F.count(F.lit(1)).alias("n_rows"), F.count_if(F.col("value") > 0).alias("n_positive")
+    )
+    entities = ref.entity_rows(spark).select("entity_id", "entity_name", "approved", "primary_usage")
+    return entities.join(counted, F.lower("entity_name") == F.col("key"), "full").select(
+        "entity_id", "entity_name", "approved", F.length("primary_usage").alias("usage_length"),
+        F.coalesce("n_rows", F.lit(0)).cast("bigint").alias("n_rows"),
+        F.coalesce("n_positive", F.lit(0)).cast("bigint").alias("n_positive"),
+    )
+
+
 def _dq_fk_offenders(spark: SparkSession, folder: str) -> DataFrame:
     """The first ten customers of orders that are no supplier."""
     key = quality.ForeignKey("o_custkey", table(spark, folder, "supplier"), "s_suppkey")
@@ -613,6 +674,9 @@ QUERIES: dict[str, Query] = {
     "dq_null_profile": _on_star(lambda s: coverage.null_profile(s.tables())),
     "dq_report": _dq_report,
     "dq_unreadable": _dq_unreadable,
+    "dq_publication_problems": _dq_problems,
+    "src_places": _src_places,
+    "src_authored_entities": _src_authored_entities,
     "dq_fk_offenders": _dq_fk_offenders,
     "dq_missing_authored": _dq_missing_authored,
     "dq_source_cap": _dq_at_cap,
@@ -626,6 +690,12 @@ QUERIES: dict[str, Query] = {
     "prof_describe": lambda spark, folder: coverage.describe_columns(
         table(spark, folder, "customer"), ["c_nationkey", "c_mktsegment", "c_acctbal"]
     ),
+    "prof_describe_wide": lambda spark, folder: profile.describe_wide(
+        table(spark, folder, "documents")
+    ),
+    "prof_frequent_values": lambda spark, folder: profile.frequent_values(
+        table(spark, folder, "documents"), FREQUENT_SHARE
+    ),
     "prof_describe_entities": _on_star(
         lambda s: coverage.describe_columns(s.entities, ["primary_usage", "price_range", "approved"])
     ),

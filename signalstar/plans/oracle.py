@@ -4,6 +4,7 @@ Spark plans (joins and range conditions where the plans use windows)."""
 from __future__ import annotations
 
 from signalstar.functions.text import STOPWORDS
+from signalstar.sources.reference_rows import ENTITY_INFO, REGION_CODES, REGION_PLACES
 
 
 def week(day: str) -> str:
@@ -232,6 +233,63 @@ FROM (SELECT CAST({c} AS VARCHAR) AS v, count(*) AS n FROM customer WHERE {c} IS
     ]
 )
 
+WIDE = ["doc_id", "text", "lang", "source", "n_chars"]
+DESCRIBE_WIDE = union_all(
+    [
+        f"""
+SELECT '{c}' AS column_name, CAST((SELECT count({c}) FROM documents) AS BIGINT) AS n_values,
+       CAST((SELECT count(DISTINCT {c}) FROM documents) AS BIGINT) AS n_unique, v AS top, n AS freq
+FROM (SELECT CAST({c} AS VARCHAR) AS v, count(*) AS n FROM documents WHERE {c} IS NOT NULL
+      GROUP BY ALL ORDER BY n DESC, v LIMIT 1)"""
+        for c in WIDE
+    ]
+)
+FREQUENT = union_all(
+    [
+        f"""
+SELECT '{c}' AS column_name, CAST({c} AS VARCHAR) AS value, count(*) AS n,
+       CAST((SELECT count({c}) FROM documents) AS BIGINT) AS n_values
+FROM documents WHERE {c} IS NOT NULL GROUP BY ALL HAVING count(*) >= 0.01 * n_values"""
+        for c in WIDE
+    ]
+)
+PROBLEM = """
+SELECT problem, count(*) AS n_rows, count(*) FILTER (WHERE problem IS NULL) AS n_stamps,
+       count(props) FILTER (WHERE problem IS NULL OR problem = 'stamp') AS n_titles
+FROM (SELECT props, CASE WHEN event_id % 97 = 0 THEN 'body' WHEN event_id % 89 = 0 THEN 'record'
+                         WHEN event_id % 83 = 0 THEN 'uids' WHEN event_id % 79 = 0 THEN 'stamp' END AS problem
+      FROM event_rows)
+GROUP BY problem"""
+
+
+def _listed(rows: list[tuple]) -> str:
+    def literal(v) -> str:
+        return "'" + v.replace("'", "''") + "'" if isinstance(v, str) else str(v)
+
+    return ", ".join("(" + ", ".join(map(literal, r)) + ")" for r in rows)
+
+
+PLACE_ROWS = f"""
+WITH places(number, code, place) AS (VALUES {_listed([(i, *p) for i, p in enumerate(REGION_PLACES)])}),
+regions(region_id, code) AS (VALUES {_listed([(i, c) for i, (_, c) in enumerate(REGION_CODES, 1)])}),
+yearly AS (
+  SELECT c_nationkey % {len(REGION_PLACES) + 1} AS number, year(o_orderdate) AS year, count(*) AS people
+  FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey GROUP BY ALL),
+newest AS (SELECT number, max(year) AS year, arg_max(people, year) AS population FROM yearly GROUP BY number)
+SELECT code, place, CAST(region_id AS INTEGER) AS region_id, CAST(population AS BIGINT) AS population,
+       CAST(year AS VARCHAR) AS year
+FROM places LEFT JOIN regions USING (code) LEFT JOIN newest USING (number)"""
+AUTHORED_ENTITIES = f"""
+WITH authored(number, entity_id, entity_name, approved, usage_length) AS (
+  VALUES {_listed([(i, i + 1, n, ok, len(usage)) for i, (n, usage, ok) in enumerate(ENTITY_INFO)])}),
+counted AS (
+  SELECT user_id % {len(ENTITY_INFO) + 1} AS number, count(*) AS n_rows,
+         count(*) FILTER (WHERE value > 0) AS n_positive
+  FROM events GROUP BY ALL)
+SELECT CAST(entity_id AS INTEGER) AS entity_id, entity_name, approved, CAST(usage_length AS INTEGER) AS usage_length,
+       coalesce(n_rows, 0) AS n_rows, coalesce(n_positive, 0) AS n_positive
+FROM authored FULL JOIN counted USING (number)"""
+
 BY_SOURCE = """
 , by_source AS (
   SELECT date, entity_name,
@@ -506,6 +564,11 @@ SELECT min(date) AS earliest_date, max(date) AS latest_date, count(*) AS n_weeks
         FACT_ROWS.format(k="region_id", n="region_name", dim="d_regions")
     ),
     "prof_describe": DESCRIBE,
+    "prof_describe_wide": DESCRIBE_WIDE,
+    "prof_frequent_values": FREQUENT,
+    "dq_publication_problems": on_star(PROBLEM),
+    "src_places": PLACE_ROWS,
+    "src_authored_entities": AUTHORED_ENTITIES,
     "prof_describe_entities": on_star("""
 , pairs AS (
   UNPIVOT (SELECT primary_usage, coalesce(price_range, '') AS price_range,

@@ -17,8 +17,6 @@ from signalstar.sources.schemas import (
     NEWS_FILE,
     PAGEVIEW_FILE,
     POPULATION_FILE,
-    PUBLICATION,
-    PUBLICATION_FILE,
 )
 from signalstar.sources.tables import export_name
 
@@ -71,20 +69,45 @@ def news_articles(bodies: DataFrame) -> DataFrame:
 
 def publications(bodies: DataFrame) -> DataFrame:
     """One row per listed uid, in the order of the ``uids`` array."""
+    return publication_records(bodies).drop("problem")
+
+
+def publication_records(bodies: DataFrame) -> DataFrame:
+    """``publications`` with a column ``problem``.
+
+    A body is parsed once, into a variant whose records are looked up by uid. ``problem`` tells
+    why a stamp is missing: ``body`` (no JSON), ``uids`` (no list of them), ``record`` (none
+    under that uid) or ``stamp`` (none in the record).
+    """
     kept = _carried(bodies)
-    result = F.from_json("body", PUBLICATION_FILE).getField("result")
-    uids = F.from_json(F.col("result")["uids"], "array<string>")
-    listed = bodies.select(*kept, result.alias("result")).select(
-        *kept, "result", F.posexplode_outer(uids).alias("pos", "uid")
-    ).where(F.col("pos").isNotNull() | uids.isNull())
-    record = F.from_json(F.col("result")[F.col("uid")], PUBLICATION)
-    return listed.select(*kept, "pos", "uid", record.alias("record")).select(
+    parsed = bodies.select(*kept, F.try_parse_json("body").alias("doc")).select(
+        *kept,
+        F.col("doc").isNotNull().alias("readable"),
+        F.try_variant_get("doc", "$.result.uids", "array<string>").alias("uids"),
+        F.try_variant_get("doc", "$.result", "map<string,variant>").alias("records"),
+    )
+    listed = parsed.select(
+        *kept, "readable", "uids", "records", F.posexplode_outer("uids").alias("pos", "uid")
+    ).where(F.col("pos").isNotNull() | F.col("uids").isNull())
+    named = listed.select(
+        *kept, "pos", "uid", "readable", "uids", F.col("records")[F.col("uid")].alias("record")
+    )
+
+    def field(name: str):
+        return F.try_variant_get("record", f"$.{name}", "string")
+
+    problem = (
+        F.when(~F.col("readable"), "body").when(F.col("uids").isNull(), "uids")
+        .when(F.col("record").isNull(), "record").when(field("sortpubdate").isNull(), "stamp")
+    )
+    return named.select(
         *kept,
         "pos",
         "uid",
-        F.col("record.sortpubdate").alias("stamp"),
-        F.col("record.fulljournalname").alias("publisher"),
-        F.col("record.title").alias("title"),
+        field("sortpubdate").alias("stamp"),
+        field("fulljournalname").alias("publisher"),
+        field("title").alias("title"),
+        problem.alias("problem"),
     )
 
 

@@ -17,11 +17,6 @@ ARTICLE = _row(
 )
 NEWS_FILE = _row(articles=T.ArrayType(ARTICLE))
 
-PUBLICATION_FILE = _row(result=T.MapType(T.StringType(), T.StringType()))
-PUBLICATION = _row(
-    sortpubdate=T.StringType(), fulljournalname=T.StringType(), title=T.StringType()
-)
-
 PAGEVIEW = _row(timestamp=T.StringType(), views=T.LongType())
 PAGEVIEW_FILE = _row(items=T.ArrayType(PAGEVIEW))
 
