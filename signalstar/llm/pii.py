@@ -19,8 +19,7 @@ NEEDED = {"email": "@", "ip": ".", "card": "", "phone": "+"}
 KINDS = list(PATTERNS)
 OCTET = r"0*(?:25[0-5]|2[0-4][0-9]|1[0-9]{2}|[0-9]{1,2})"
 
-TERM = r"\p{L}{4,}"  # words that may be terms
-REACH = 48  # code points on either side of an entity in which a term counts as its company
+TERM = r"\p{L}+"  # words that may be terms
 SUPPORT = 3  # documents in which a term and an entity must meet
 DISCLOSURE = 0.9  # share of an entity's information that a term may reveal
 
@@ -98,18 +97,8 @@ def _entity(span: Column) -> Column:
     return F.concat(span["kind"], F.lit(":"), value)
 
 
-def _company(span: Column) -> Column:
-    """Distinct terms near a span, without words cut off by the edge of its surroundings."""
-    before = F.greatest(span["start"] - REACH, F.lit(0))
-    left = F.col("text").substr((before + 1).cast("int"), (span["start"] - before).cast("int"))
-    right = F.col("text").substr((span["end"] + 1).cast("int"), F.lit(REACH))
-    left = F.when(before > 0, F.regexp_replace(left, r"^\p{L}+", "")).otherwise(left)
-    near = F.concat(left, F.lit(" "), F.regexp_replace(right, r"\p{L}+$", ""))
-    return F.array_distinct(F.regexp_extract_all(F.lower(near), F.lit(TERM), F.lit(0)))
-
-
 def found_entities(docs: DataFrame, id: str, text: str) -> DataFrame:
-    """doc_id, text_hash, base spans, text where there are any, and (entity, term) pairs."""
+    """row (a number of its own), doc_id, base spans, and text and entities where there are any."""
     rows = docs.select(F.col(id).alias("doc_id"), body(text).alias("text"))
     # Where a needed character is missing the pattern is not tried.
     for kind, needed in NEEDED.items():
@@ -119,44 +108,58 @@ def found_entities(docs: DataFrame, id: str, text: str) -> DataFrame:
         rows = with_spans(rows, f"t_{kind}", kind, F.lit(PATTERNS[kind]), kind_no)
     rows = rows.withColumn("spans", F.array_sort(F.concat(*[F.col(f"s_{k}") for k in KINDS])))
     some = F.size("spans") > 0
-    pairs = F.array_distinct(F.flatten(F.transform("spans", lambda s: F.transform(
-        _company(s), lambda t: F.struct(_entity(s).alias("entity"), t.alias("term"))))))
     return rows.select(
+        F.monotonically_increasing_id().alias("row"),
         "doc_id",
-        F.when(some, F.xxhash64("text")).alias("text_hash"),
         "spans",
         F.when(some, F.col("text")).alias("text"),
-        F.when(some, pairs).alias("pairs"),
+        F.when(some, F.array_distinct(F.transform("spans", _entity))).alias("entities"),
     )
 
 
+def _words(text: Column) -> Column:
+    return F.array_distinct(F.regexp_extract_all(F.lower(text), F.lit(TERM), F.lit(0)))
+
+
 def disclosing_terms(
     docs: DataFrame, found: DataFrame, text: str, support: int, disclosure: float
 ) -> DataFrame:
-    """(entity, term) where the term reveals too much of the entity.
+    """(row, term): words of a document that reveal too much of an entity it names.
 
-    Over documents, PMI(term; entity) = ln(N n_et / (n_e n_t)) is what a term tells of an
-    entity and ln(N / n_e) is all there is to tell; a pair is returned if the first reaches
-    ``disclosure`` of the second. n_t counts all documents, n_et those in which the term is
-    near the entity.
+    Over whole documents, PMI(term; entity) = ln(N n_et / (n_e n_t)) is what a term tells of
+    an entity and ln(N / n_e) is all there is to tell; a pair discloses if the first reaches
+    ``disclosure`` of the second and n_et ``support``. As n_et is at most n_e, a term can do
+    so only if ln(N / n_t) reaches that share by itself: frequent words leave before they
+    are paired, and only entities with ``support`` are paired at all.
     """
-    n = found.count()
-    pairs = found.select(F.inline("pairs")).groupBy("entity", "term").agg(F.count(F.lit(1)).alias("n_et"))
-    pairs = pairs.where(F.col("n_et") >= support)
-    entities = found.where("size(spans) > 0").select(
-        F.explode(F.array_distinct(F.transform("spans", _entity))).alias("entity")
-    ).groupBy("entity").agg(F.count(F.lit(1)).alias("n_e"))
-    words = F.array_distinct(F.regexp_extract_all(F.lower(body(text)), F.lit(TERM), F.lit(0)))
-    terms = docs.select(F.explode(words).alias("term")).groupBy("term").agg(
+    n = float(found.count())
+    named = found.select("row", F.explode("entities").alias("entity"))
+    n_entity = named.groupBy("entity").agg(F.count(F.lit(1)).alias("n_e")).where(F.col("n_e") >= support)
+    most = n_entity.agg(F.max("n_e")).first()[0] or support
+
+    def may(n_e: Column) -> Column:
+        return F.log(F.lit(n) / F.col("n_t")) >= disclosure * F.log(F.lit(n) / n_e) - 1e-9
+
+    named = named.join(n_entity, "entity")
+    n_term = docs.select(F.explode(_words(body(text))).alias("term")).groupBy("term").agg(
         F.count(F.lit(1)).alias("n_t")
-    ).where(F.col("n_t") >= support)
-    tells = F.log(F.lit(float(n)) * F.col("n_et") / (F.col("n_e") * F.col("n_t")))
-    all_ = F.log(F.lit(float(n)) / F.col("n_e"))
-    return (
-        pairs.join(entities, "entity").join(terms, "term")
-        .where((all_ > 0) & (tells >= disclosure * all_))
+    ).where((F.col("n_t") >= support) & may(F.lit(most)))
+    held = found.join(named.select("row").distinct(), "row", "left_semi").select(
+        "row", F.explode(_words(F.col("text"))).alias("term")
+    ).join(n_term, "term")
+    pairs = stored(
+        named.join(held, "row").where(may(F.col("n_e"))).select("row", "entity", "term", "n_e", "n_t"),
+        "pii-pairs",
+    )
+    tells = F.log(F.lit(n) * F.col("n_et") / (F.col("n_e") * F.col("n_t")))
+    all_ = F.log(F.lit(n) / F.col("n_e"))
+    flagged = (
+        pairs.groupBy("entity", "term")
+        .agg(F.count(F.lit(1)).alias("n_et"), F.min("n_e").alias("n_e"), F.min("n_t").alias("n_t"))
+        .where((F.col("n_et") >= support) & (all_ > 0) & (tells >= disclosure * all_))
         .select("entity", "term")
     )
+    return pairs.join(flagged, ["entity", "term"]).select("row", "term").distinct()
 
 
 def personal_data(
@@ -168,24 +171,19 @@ def personal_data(
 
     Base spans are the patterns' leftmost non-overlapping matches per kind that pass their
     checks. Added spans are of kind ``term``: in a document that names an entity, each whole
-    word that reveals the entity beyond the threshold over the corpus, wherever it stands
-    outside base spans. ``clean_text`` has base spans replaced by their kind and terms by a
+    word, of any length and at any distance, that reveals the entity beyond the threshold over
+    the corpus, wherever it stands outside base spans. A word inside an entity is a word too:
+    the name out of an address goes where it stands alone. ``clean_text`` has base spans replaced by their kind and terms by a
     blank placeholder; it is null where there is nothing to replace. Null texts are empty;
     rows with equal id and text get equal results; other columns are not read. All in SQL
-    expressions: the only shuffles carry counts, term pairs and the texts with entities.
+    expressions: the only shuffles carry counts, words, pairs and the texts with entities.
     """
     found = stored(found_entities(docs, id, text), "pii-found")
-    flagged = disclosing_terms(docs, found, text, support, disclosure)
     terms = (
-        found.select("doc_id", "text_hash", F.inline("pairs")).join(flagged, ["entity", "term"])
-        .groupBy(F.col("doc_id").alias("__id"), F.col("text_hash").alias("__hash"))
-        .agg(F.array_sort(F.collect_set("term")).alias("terms"))
-    )
-    rows = found.drop("pairs").join(
-        terms,
-        F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("text_hash") == F.col("__hash")),
-        "left",
+        disclosing_terms(docs, found, text, support, disclosure)
+        .groupBy("row").agg(F.array_sort(F.collect_set("term")).alias("terms"))
     )
+    rows = found.drop("entities").join(terms, "row", "left")
     pattern = F.concat(F.lit(r"(?iu)(?<!\p{L})(?:"), F.array_join("terms", "|"), F.lit(r")(?!\p{L})"))
     rows = with_spans(rows.withColumn("pattern", pattern), "text", "term", F.col("pattern"), len(KINDS))
     rows = rows.withColumn("s_term", F.filter(F.coalesce("s_term", F.array().cast(SPAN)), lambda t: ~F.exists(

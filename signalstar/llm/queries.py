@@ -49,7 +49,8 @@ def op2_content_sort(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op3_disclosure(spark: SparkSession, folder: str) -> DataFrame:
-    return pii.personal_data(read(spark, folder, "documents")).drop("clean_text")
+    rows = pii.personal_data(read(spark, folder, "documents"))
+    return rows.withColumn("clean_sha256", F.sha2(F.col("clean_text").cast("binary"), 256)).drop("clean_text")
 
 
 def op4_wrappers(spark: SparkSession, folder: str) -> DataFrame:
@@ -209,21 +210,17 @@ def _disclosure_sql() -> str:
                 WHEN 'phone' THEN length(d) BETWEEN 9 AND 15
                 ELSE true END),
         entities AS (
-            SELECT *, kind || ':' || CASE WHEN kind IN ('card', 'phone') THEN d ELSE lower(value) END AS entity,
-                   greatest("from" - 48, 0) AS low
+            SELECT DISTINCT doc_id,
+                   kind || ':' || CASE WHEN kind IN ('card', 'phone') THEN d ELSE lower(value) END AS entity
             FROM base),
+        doc_words AS (
+            SELECT DISTINCT doc_id, unnest(regexp_extract_all(lower(text), '\p{{L}}+')) AS term FROM docs),
+        n_term AS (SELECT term, count(*) AS n_t FROM doc_words GROUP BY term),
+        n_entity AS (SELECT entity, count(*) AS n_e FROM entities GROUP BY entity),
         near AS (
-            SELECT DISTINCT doc_id, entity, unnest(regexp_extract_all(lower(
-                regexp_replace(substr(text, low + 1, "from" - low),
-                               CASE WHEN low > 0 THEN '^\p{{L}}+' ELSE '^$' END, '')
-                || ' ' || regexp_replace(substr(text, upto + 1, 48), '\p{{L}}+$', '')
-            ), '\p{{L}}{{4,}}')) AS term
-            FROM entities),
-        n_term AS (
-            SELECT term, count(*) AS n_t FROM (
-                SELECT DISTINCT doc_id, unnest(regexp_extract_all(lower(text), '\p{{L}}{{4,}}')) AS term
-                FROM docs) GROUP BY term),
-        n_entity AS (SELECT entity, count(DISTINCT doc_id) AS n_e FROM entities GROUP BY entity),
+            SELECT doc_id, entity, term
+            FROM entities JOIN n_entity USING (entity) JOIN doc_words USING (doc_id)
+            WHERE n_e >= {pii.SUPPORT}),
         flagged AS (
             SELECT entity, term
             FROM (SELECT entity, term, count(*) AS n_et FROM near GROUP BY ALL) pairs
@@ -239,14 +236,24 @@ def _disclosure_sql() -> str:
             WHERE NOT EXISTS (SELECT 1 FROM base b WHERE b.doc_id = w.doc_id
                               AND b."from" < w."from" + length(w.value) AND w."from" < b.upto)),
         spans AS (
-            SELECT doc_id, kind, no, "from", kind || ':' || "from" || ':' || upto AS span
-            FROM (SELECT doc_id, kind, no, "from", upto FROM base UNION ALL SELECT * FROM added))
+            SELECT *, kind || ':' || "from" || ':' || upto AS span,
+                   coalesce(max(upto) OVER (PARTITION BY doc_id ORDER BY "from", no
+                       ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS done
+            FROM (SELECT doc_id, kind, no, "from", upto FROM base UNION ALL SELECT * FROM added)),
+        cleaned AS (
+            SELECT doc_id, sha256(
+                string_agg(substr(text, done + 1, "from" - done)
+                           || CASE kind WHEN 'term' THEN '[...]' ELSE '[' || kind || ']' END,
+                           '' ORDER BY "from", no) FILTER (WHERE "from" >= done)
+                || substr(any_value(text), max(upto) + 1)) AS clean_sha256
+            FROM spans JOIN docs USING (doc_id) GROUP BY doc_id)
         SELECT doc_id,
                {", ".join(f"count(*) FILTER (WHERE kind = '{k}') AS n_{k}" for k in PLAIN_PATTERNS)},
                sha256(coalesce(string_agg(span, ',' ORDER BY "from", no) FILTER (WHERE no < 4), '')) AS base_sha256,
                coalesce(string_agg(span, ',' ORDER BY "from", no), '') AS spans,
-               count(*) FILTER (WHERE kind = 'term') AS n_term
-        FROM docs LEFT JOIN spans USING (doc_id) GROUP BY doc_id
+               count(*) FILTER (WHERE kind = 'term') AS n_term,
+               any_value(clean_sha256) AS clean_sha256
+        FROM docs LEFT JOIN spans USING (doc_id) LEFT JOIN cleaned USING (doc_id) GROUP BY doc_id
     """
 
 

@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 import hashlib
+import math
 import random
 import re
 import zlib
-from collections import defaultdict
+from collections import Counter, defaultdict
 
+import duckdb
 import numpy as np
 import pyarrow as pa
 import pytest
@@ -19,7 +21,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from signalstar.llm import licenses, mixing, ordinal, packing, pii, url_trees, wrappers
-from signalstar.llm.queries import MIX_WEIGHTS, QUERIES, mix_levels
+from signalstar.llm.queries import MIX_WEIGHTS, QUERIES, SQL, mix_levels
 
 DATA = "/root/testdata/sf0.01"
 
@@ -85,6 +87,92 @@ def test_disclosing_terms(spark):
     assert all(rows[i].spans == "" and rows[i].clean_text is None for i in range(5, 205))
 
 
+def plain_disclosure(texts, support=pii.SUPPORT, disclosure=pii.DISCLOSURE):
+    """Spans and cleaned text of each document, pair by pair over whole documents."""
+    texts = [t or "" for t in texts]
+    base = [[(int(a), int(b), k) for k, a, b in (s.split(":") for s in plain_spans(t))] for t in texts]
+
+    def entity(text, span):
+        a, b, kind = span
+        value = text[a:b]
+        return kind, re.sub("[^0-9]", "", value) if kind in ("card", "phone") else value.lower()
+
+    letters = r"[^\W\d_]+"
+    entities = [{entity(t, s) for s in spans} for t, spans in zip(texts, base)]
+    words = [set(re.findall(letters, t.lower())) for t in texts]
+    n_e, n_t, n_et = Counter(), Counter(), Counter()
+    for e, w in zip(entities, words):
+        n_e.update(e)
+        n_t.update(w)
+        n_et.update((x, y) for x in e for y in w)
+    n, out = len(texts), []
+    for t, spans, e, w in zip(texts, base, entities, words):
+        bad = {
+            y for x in e for y in w
+            if n_et[x, y] >= support and n_e[x] < n
+            and math.log(n * n_et[x, y] / (n_e[x] * n_t[y])) >= disclosure * math.log(n / n_e[x])
+        }
+        added = [
+            (m.start(), m.end(), "term") for m in re.finditer(letters, t)
+            if m.group().lower() in bad and not any(a < m.end() and m.start() < b for a, b, _ in spans)
+        ]
+        order = {k: i for i, k in enumerate([*PLAIN, "term"])}
+        every = sorted(spans + added, key=lambda s: (s[0], order[s[2]]))
+        done, clean = 0, ""
+        for a, b, kind in every:
+            if a >= done:
+                clean += t[done:a] + ("[...]" if kind == "term" else f"[{kind}]")
+            done = max(done, b)
+        out.append((",".join(f"{k}:{a}:{b}" for a, b, k in every), clean + t[done:] if every else None))
+    return out
+
+
+def disclosure_texts(seed):
+    rng = random.Random(seed)
+    common = ["the", "mail", "of", "a", "to", "zu", "straße", "日本", "ok"]
+    people = [(f"{x}@site.org", [x.upper(), f"Secret{x}", "Li", "Wu"][: 2 + i % 3])
+              for i, x in enumerate(["ann", "bob", "eve", "zoë"])]
+    texts = [None, "", "1.2.3.4"]
+    for i in range(120):
+        words = rng.choices(common, k=rng.randint(0, 12)) + [f"word{chr(97 + rng.randrange(26))}"]
+        for address, terms in rng.sample(people, rng.choice([0, 0, 0, 1, 2])):
+            words += rng.sample(["filler"] * 90 + terms, rng.randint(1, 90)) + [address] + terms
+        if i % 9 == 0:
+            words += ["+49 30 1234567", "10.0.0.7", "Kiosk"]
+        rng.shuffle(words)
+        texts.append(rng.choice([" ", ", ", "-"]).join(words))
+    return texts
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_disclosure_like_brute_force_and_sql(spark, seed):
+    texts = disclosure_texts(seed)
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    want = plain_disclosure(texts)
+    got = {r.doc_id: r for r in pii.personal_data(docs).collect()}
+    assert sum("term" in spans for spans, _ in want) > 10
+    for i, (spans, clean) in enumerate(want):
+        assert (got[i].spans, got[i].clean_text) == (spans, clean), texts[i]
+    con = duckdb.connect()
+    con.register("documents", pa.table({"doc_id": list(range(len(texts))), "text": texts}))
+    rows = con.sql(f"SELECT doc_id, spans, n_term, clean_sha256 FROM ({SQL['op3_disclosure']})").fetchall()
+    assert len(rows) == len(texts)
+    for i, spans, n_term, clean_sha256 in rows:
+        clean = want[i][1]
+        assert spans == want[i][0] and n_term == spans.count("term:")
+        assert clean_sha256 == (clean if clean is None else hashlib.sha256(clean.encode()).hexdigest())
+
+
+def test_terms_at_any_distance_and_of_any_length(spark):
+    far = "plain words that everybody writes " * 20
+    texts = [f"Li Wu {far} jo@mail.org" for _ in range(4)] + [far + "jo at mail of org"] * 100
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    rows = {r.doc_id: r for r in pii.personal_data(docs).collect()}
+    assert rows[0].spans.startswith("term:0:2,term:3:5,email:")
+    assert rows[0].clean_text == f"[...] [...] {far} [email]"
+    assert all(rows[i].spans == "" for i in range(4, 104))
+
+
 def test_personal_data_of_odd_rows(spark):
     assert pii.personal_data(odd_documents(spark)).count() == len(TEXTS)
     assert pii.personal_data(no_documents(spark)).count() == 0
