@@ -17,8 +17,18 @@ from signalstar.llm.common import read, stored
 from signalstar.llm.queries import MIX_PERCENT, MIX_SEED, MIX_WEIGHTS, mix_levels
 
 
+# What moves to Python at once, in bytes: it is held several times over on both sides.
+BATCH_BYTES = "8m"
+
+
+def _in_small_batches(spark: SparkSession) -> None:
+    """Sets the session's bound on batches; results do not depend on it."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
+
+
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Trained on the ratings of these documents; poor ones go."""
+    _in_small_batches(spark)
     return ordinal.kept_documents(docs, read(spark, sf_dir, "labels"))
 
 
@@ -27,6 +37,7 @@ def exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    _in_small_batches(spark)
     return chosen_path.kept_documents(docs)
 
 
@@ -35,6 +46,7 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    _in_small_batches(spark)
     return packing.pack_documents(docs)
 
 
