@@ -606,17 +606,18 @@ def _streamed_rollup(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _streamed_views(spark: SparkSession, folder: str) -> DataFrame:
-    """The page-view index after its days came in three files, the busiest ones last."""
+    """The page-view index after its days came in three deliveries, the busiest ones last. Each
+    is as many files as tasks made it, and is taken as it comes."""
     target = scratch_path(spark, "stream-views")
     rows = docs.pageviews(derived.pageview_bodies(spark, folder))
     named = raw_star.with_entity(
         _with_entity_name(rows, docs.PAGEVIEW_SUFFIX), derived.named_entities(spark, folder))
-    daily = named.select("entity_id", "date", "views")
+    daily = materialised(named.select("entity_id", "date", "views"), "daily-views")
     part = F.when(F.col("views") < 30, 0).when(F.col("views") < 60, 1).otherwise(2)
     for number in range(3):
-        daily.where(part == number).coalesce(1).write.mode("append").parquet(f"{target}/raw")
-    stream = spark.readStream.schema(daily.schema).option("maxFilesPerTrigger", 1).parquet(f"{target}/raw")
-    pageviews.follow_views(stream, target, f"{target}/mark").awaitTermination()
+        daily.where(part == number).write.mode("append").parquet(f"{target}/raw")
+        stream = spark.readStream.schema(daily.schema).parquet(f"{target}/raw")
+        pageviews.follow_views(stream, target, f"{target}/mark").awaitTermination()
     facts = pageviews.page_view_index(spark, target)
     return facts.select(
         date_key(F.col("date")).alias("date_id"), "entity_id",

@@ -1,9 +1,12 @@
 from __future__ import annotations
 
-from datetime import date, datetime
+from datetime import date, datetime, timedelta
 
+import pyarrow.parquet as pq
+import pytest
 from conftest import as_set
 
+from signalstar.plans import catalog
 from signalstar.streaming import weekly
 
 SCHEMA = "ts timestamp, kind string, value double"
@@ -44,3 +47,36 @@ def test_late_rows_are_counted(spark, tmp_path):
     query = weekly.append_closed_weeks(counts(spark, folder), out, mark)
     query.awaitTermination()
     assert weekly.late_groups(query) == 2
+
+
+@pytest.fixture
+def event_tables(spark, tmp_path):
+    """Events in eight files, with their customers and nations."""
+    folder = str(tmp_path / "tables")
+    events = [(i, datetime(2024, 1, 1) + timedelta(hours=i), i % 7, ("view", "error")[i % 2],
+               float(i % 90), f"title {i % 5}") for i in range(960)]
+    spark.createDataFrame(
+        events, "event_id long, ts timestamp_ntz, user_id long, event_type string, value double, props string"
+    ).repartition(8).write.parquet(f"{folder}/events.parquet")
+    customers = [(i, f"C{i}", i % 2, 1.0, ("BUILDING", "MACHINERY")[i % 2]) for i in range(7)]
+    spark.createDataFrame(
+        customers, "c_custkey long, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string"
+    ).write.parquet(f"{folder}/customer.parquet")
+    spark.createDataFrame([(0, "A", 1), (1, "B", 2)], "n_nationkey int, n_name string, n_regionkey int").write.parquet(
+        f"{folder}/nation.parquet")
+    return folder
+
+
+@pytest.mark.parametrize("query, batch", [
+    ("stream_pageview_index", "fact_pageviews"),
+])
+def test_no_delivery_goes_through_one_task(spark, tmp_path, monkeypatch, event_tables, query, batch):
+    monkeypatch.setattr(catalog, "scratch_path", lambda _, name: str(tmp_path / name))
+    found = catalog.QUERIES[query](spark, event_tables)
+    whole = catalog.QUERIES[batch](spark, event_tables)
+    same = [c for c in found.columns if c in whole.columns]
+    assert len(same) >= 3
+    assert as_set(found.select(same)) == as_set(whole.select(same))
+    assert found.count() == whole.count() > 1
+    files = [pq.read_metadata(f).num_rows for f in tmp_path.glob("*/raw/*.parquet")]
+    assert sum(n > 0 for n in files) > 3 and max(files) < sum(files) / 4
