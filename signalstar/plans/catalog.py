@@ -560,13 +560,13 @@ def _streamed_weeks(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _article_files(spark: SparkSession, folder: str, target: str, share: int) -> None:
-    """Every third article, by position, as one file more of a folder."""
-    rows = articles(spark, folder).where(F.col("pos") % 3 == share)
-    rows.coalesce(1).write.mode("append").parquet(target)
+    """Every third article, by position, as one delivery more of a folder: the files of all
+    tasks, since one file would put all rows through one of them."""
+    articles(spark, folder).where(F.col("pos") % 3 == share).write.mode("append").parquet(target)
 
 
 def _incremental_events(spark: SparkSession, folder: str) -> DataFrame:
-    """The rollup after articles came in three files, two loads and a load without news."""
+    """The rollup after articles came in three deliveries, two loads and a load without news."""
     target = scratch_path(spark, "incremental")
     raw = f"{target}/raw"
 
@@ -585,14 +585,14 @@ def _incremental_events(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _streamed_rollup(spark: SparkSession, folder: str) -> DataFrame:
-    """The streamed rollup over three files that all touch the same weeks, beside the exact
-    number of publishers."""
+    """The streamed rollup over three deliveries that all touch the same weeks, each taken as
+    it comes, beside the exact number of publishers."""
     target = scratch_path(spark, "stream-rollup")
+    schema = articles(spark, folder).schema
     for share in range(3):
         _article_files(spark, folder, f"{target}/raw", share)
-    schema = articles(spark, folder).schema
-    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(f"{target}/raw")
-    rollup.follow_articles(stream, target, f"{target}/mark").awaitTermination()
+        stream = spark.readStream.schema(schema).parquet(f"{target}/raw")
+        rollup.follow_articles(stream, target, f"{target}/mark").awaitTermination()
     exact = event_rollup(spark.read.schema(schema).parquet(f"{target}/raw"))
     keys = rollup.KEYS
     counted = exact.select(*[F.col(k).alias(f"_{k}") for k in keys], F.col("source_count").alias("exact"))

@@ -69,6 +69,8 @@ def event_tables(spark, tmp_path):
 
 @pytest.mark.parametrize("query, batch", [
     ("stream_pageview_index", "fact_pageviews"),
+    ("stream_event_rollup", "fact_event_rollup"),
+    ("load_incremental_events", "fact_event_rollup"),
 ])
 def test_no_delivery_goes_through_one_task(spark, tmp_path, monkeypatch, event_tables, query, batch):
     monkeypatch.setattr(catalog, "scratch_path", lambda _, name: str(tmp_path / name))
