@@ -9,6 +9,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
+from pandas.util import hash_array
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -19,6 +20,9 @@ SCALE = 1_000_000
 TOP = 2000
 COVERED = 50  # percent of a phrase's occurrences inside a longer one that make it redundant
 BLOCK = 2 << 20  # bytes of text whose positions are advanced at once
+FIRST_KEY, SECOND_KEY = "first of the two", "second as a test"  # of hashes of words
+HELD_WORDS, HELD_HASHES = 1 << 18, 1 << 20  # what a task adds up before it sends it
+SENT = 1 << 16  # rows that are sent at once
 FILTER_BITS = 1 << 26  # of a filter of hashes, 8 MB whatever the corpus
 SHARD_PHRASES, SHARD_BYTES = 1 << 20, 32 << 20  # what one broadcast trie may hold
 
@@ -49,13 +53,15 @@ class Words:
     def triples(self) -> np.ndarray:
         return np.flatnonzero(self.linked[:-1] & self.linked[1:]) if len(self.linked) > 1 else self.pairs()[:0]
 
-    def hashes(self) -> np.ndarray:
-        """A 64-bit hash of the language and word at each position."""
-        seed = xxhash.xxh64_intdigest(self.lang)
-        each = np.fromiter(
-            (xxhash.xxh64_intdigest(w.as_buffer(), seed) for w in self.spelled), np.uint64, len(self.spelled)
-        )
-        return each[self.codes]
+    def hashes(self, key: str = FIRST_KEY) -> np.ndarray:
+        """64 bits of the language and each distinct word."""
+        words = self.spelled.to_numpy(zero_copy_only=False)
+        seed = np.uint64(xxhash.xxh64_intdigest(self.lang))
+        return (hash_array(words, hash_key=key, categorize=False) ^ seed) * np.uint64(0x9E3779B97F4A7C15)
+
+    def both_hashes(self) -> list[np.ndarray]:
+        """Two hashes of the language and word at each position."""
+        return [self.hashes(key)[self.codes] for key in (FIRST_KEY, SECOND_KEY)]
 
     def phrases(self, *codes: np.ndarray) -> pa.Array:
         """The words with these indices, joined by a space."""
@@ -114,15 +120,9 @@ def words_of(batch: pa.RecordBatch) -> Iterator[Words]:
                     yield words
 
 
-def _rows(words: Words, phrases: pa.Array, counts: np.ndarray, slots: np.ndarray) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays(
-        [pa.repeat(words.lang, len(phrases)), phrases, pa.array(counts.astype(np.int64)),
-         pa.array(slots.astype(np.int64))],
-        names=["lang", "phrase", "n", "slot"],
-    )
-
-
-COUNTED = "lang string, phrase string, n long, slot long"
+WORD_ROWS = "lang string, phrase string, hash long, n long"
+HASH_ROWS = "hash long, test int, n long, mark int"
+PHRASE_ROWS = "lang string, phrase string, length int, hash long, test int"
 
 
 def _slots(hashes: np.ndarray) -> np.ndarray:
@@ -138,21 +138,107 @@ def _joined(hashes: np.ndarray, at: np.ndarray, count: int) -> np.ndarray:
 
 
 def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The first level: every word with its occurrences and its place in the filter."""
+    """The first level: every word with its hash and occurrences, those of some blocks added up."""
+    held: list[pa.RecordBatch] = []
+
+    def added() -> Iterator[pa.RecordBatch]:
+        rows = pa.Table.from_batches(held).group_by(["lang", "phrase", "hash"], use_threads=False)
+        sums = rows.aggregate([("n", "sum")]).rename_columns(["lang", "phrase", "hash", "n"])
+        held.clear()
+        yield from sums.to_batches(SENT)
+
     for batch in batches:
         for words in words_of(batch):
             counts = np.bincount(words.codes, minlength=len(words.spelled))
-            first = np.empty(len(words.spelled), np.int64)
-            first[words.codes] = np.arange(len(words.codes))
-            slots = _slots(words.hashes()[first])
-            yield _rows(words, words.spelled.cast(pa.string()), counts, slots)
-
-
-def _candidate_rows(words: Words, at: np.ndarray, hashes: np.ndarray, length: int) -> pa.RecordBatch | None:
-    """The distinct phrases at these positions, each with its occurrences up to SUPPORT: a
-    phrase that occurs often enough anywhere cannot be missed by their sum."""
+            held.append(pa.RecordBatch.from_arrays(
+                [pa.repeat(words.lang, len(counts)), words.spelled.cast(pa.string()),
+                 pa.array(words.hashes().view(np.int64)), pa.array(counts.astype(np.int64))],
+                names=["lang", "phrase", "hash", "n"],
+            ))
+            if sum(b.num_rows for b in held) >= HELD_WORDS:
+                yield from added()
+    if held:
+        yield from added()
+
+
+def _marks(words: Words, hashes: np.ndarray, at: np.ndarray, count: int) -> np.ndarray:
+    """31 bits of the words around the phrases of ``count`` words at these positions, as far as
+    their pieces go: the same wherever a piece is read."""
+    # The position after the last is the one before the first, and neither is linked to a word.
+    around = np.append(hashes, np.uint64(0))
+    linked = np.append(words.linked, False)
+    before = np.where(linked[at - 1], around[at - 1], np.uint64(0))
+    end = at + count - 1
+    after = np.where(linked[end], around[end + 1], np.uint64(0))
+    mixed = (before ^ (before >> np.uint64(29))) * np.uint64(0x9E3779B97F4A7C15) + after
+    return (mixed >> np.uint64(33)).astype(np.int32)
+
+
+def _tests(second: np.ndarray) -> np.ndarray:
+    """32 bits of a second hash."""
+    return (second >> np.uint64(32)).astype(np.uint32).view(np.int32)
+
+
+def _hashed(words: Words, hashes: list[np.ndarray], at: np.ndarray, count: int) -> tuple[np.ndarray, ...]:
+    """The hashes, tests and marks of the phrases of ``count`` words at these positions."""
+    first, second = (_joined(h, at, count) for h in hashes)
+    return first, _tests(second), _marks(words, hashes[0], at, count)
+
+
+def _hash_counts(parts: Iterator[tuple[np.ndarray, ...]]) -> Iterator[pa.RecordBatch]:
+    """Hashes with their tests, occurrences and smallest marks, those of some blocks added up.
+    Tests that meet in one hash may leave more than one row of each."""
+    held: list[tuple[np.ndarray, ...]] = []
+
+    def added() -> Iterator[pa.RecordBatch]:
+        hashes, tests, marks = (np.concatenate(column) for column in zip(*held))
+        held.clear()
+        if not len(hashes):
+            return
+        order = np.argsort(hashes)
+        hashes, tests, marks = hashes[order], tests[order], marks[order]
+        other = (hashes[1:] != hashes[:-1]) | (tests[1:] != tests[:-1])
+        starts = np.flatnonzero(np.append(True, other))
+        counts = np.diff(np.append(starts, len(hashes)))
+        rows = pa.table({"hash": hashes[starts].view(np.int64), "test": tests[starts],
+                         "n": counts.astype(np.int64), "mark": np.minimum.reduceat(marks, starts)})
+        yield from rows.to_batches(SENT)
+
+    for part in parts:
+        held.append(part)
+        if sum(len(p[0]) for p in held) >= HELD_HASHES:
+            yield from added()
+    if held:
+        yield from added()
+
+
+class _Seen:
+    """The phrases that a task has sent, by 128 bits of hash. Two that share the first 64 are
+    told apart by the others, and one that has no place of its own is sent again."""
+
+    def __init__(self) -> None:
+        self.first, self.second = np.zeros(0, np.uint64), np.zeros(0, np.uint64)
+
+    def __call__(self, first: np.ndarray, second: np.ndarray) -> np.ndarray:
+        if not len(self.first):
+            return np.zeros(len(first), bool)
+        place = np.minimum(np.searchsorted(self.first, first), len(self.first) - 1)
+        return (self.first[place] == first) & (self.second[place] == second)
+
+    def add(self, first: np.ndarray, second: np.ndarray) -> None:
+        first, at = np.unique(first, return_index=True)
+        place = np.searchsorted(self.first, first)
+        self.first = np.insert(self.first, place, first)
+        self.second = np.insert(self.second, place, second[at])
+
+
+def _new_phrases(words: Words, at: np.ndarray, length: int, hashes: list[np.ndarray], seen: _Seen):
+    """The distinct phrases at these positions that the task has not sent yet."""
+    first, second = (_joined(h, at, length) for h in hashes)
+    new = ~seen(first, second)
+    at, first, second = at[new], first[new], second[new]
     if not len(at):
-        return None
+        return
     key = words.codes[at].astype(np.int64)
     size = len(words.spelled)
     for k in range(1, length):
@@ -160,10 +246,16 @@ def _candidate_rows(words: Words, at: np.ndarray, hashes: np.ndarray, length: in
             # Pairs are numbered anew, so that three indices cannot pass 64 bits.
             _, key = np.unique(key, return_inverse=True)
         key = key * size + words.codes[at + k]
-    _, first, counts = np.unique(key, return_index=True, return_counts=True)
-    at = at[first]
+    _, one = np.unique(key, return_index=True)
+    at, first, second = at[one], first[one], second[one]
+    seen.add(first, second)
     phrases = words.phrases(*[words.codes[at + k] for k in range(length)])
-    return _rows(words, phrases, np.minimum(counts, SUPPORT), _slots(_joined(hashes, at, length)))
+    rows = pa.table({
+        "lang": pa.repeat(words.lang, len(at)), "phrase": phrases,
+        "length": pa.repeat(pa.scalar(length, pa.int32()), len(at)), "hash": first.view(np.int64),
+        "test": _tests(second),
+    })
+    yield from rows.to_batches(SENT)
 
 
 def _has(bits: np.ndarray, hashes: np.ndarray) -> np.ndarray:
@@ -176,7 +268,8 @@ def _filter_bits(counted: DataFrame) -> np.ndarray:
 
     A phrase that is not frequent may pass by chance, one that is always does.
     """
-    masks = counted.selectExpr("slot div 32 AS word", "shiftleft(1L, CAST(slot % 32 AS INT)) AS bit")
+    slots = counted.select(F.col("hash").bitwiseAND(FILTER_BITS - 1).alias("slot"))
+    masks = slots.selectExpr("slot div 32 AS word", "shiftleft(1L, CAST(slot % 32 AS INT)) AS bit")
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -192,50 +285,67 @@ def _filter_bits(counted: DataFrame) -> np.ndarray:
     return bits.view(np.uint8)
 
 
-def _frequent(df: DataFrame, name: str, at_least: int) -> DataFrame:
-    counted = df.groupBy("lang", "phrase", "slot").agg(F.sum("n").alias("n"))
-    return stored(counted.where(F.col("n") >= at_least), name)
-
-
 def _candidates(texts: DataFrame, words: DataFrame) -> DataFrame:
-    """lang, phrase, length, slot of all phrases of two and three words that may be frequent.
+    """lang, phrase, length of all phrases of two and three words that may be frequent.
 
-    Level by level: a phrase can only be frequent if its parts are. Pairs are taken where both
-    words are frequent, three words where both pairs are, each from the text itself, so there
-    is never more than the text holds. Sums of bounded counts then leave the frequent ones.
+    Level by level: a phrase can only be frequent if its parts are. Pairs are counted where both
+    words are frequent, three words where both pairs are, each in the text itself, so there is
+    never more than the text holds. Levels are counted by hashes of 96 bits; phrases that share
+    one are counted together, and what is not frequent leaves by the exact counts later. Only phrases with a frequent hash are then spelled, and only where they
+    stand among the words with the smallest mark, which few tasks hold.
     """
     spark = texts.sparkSession
     word_bits = spark.sparkContext.broadcast(_filter_bits(words.where(F.col("n") >= SUPPORT)))
 
-    def pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def frequent(count, name: str) -> DataFrame:
+        counted = texts.mapInArrow(lambda batches: _hash_counts(count(batches)), HASH_ROWS)
+        summed = counted.groupBy("hash", "test").agg(F.sum("n").alias("n"), F.min("mark").alias("mark"))
+        return stored(summed.where(F.col("n") >= SUPPORT).drop("n"), name)
+
+    def pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, ...]]:
         for batch in batches:
             for w in words_of(batch):
-                hashes = w.hashes()
-                known = _has(word_bits.value, hashes)
-                at = w.pairs()
-                found = _candidate_rows(w, at[known[at] & known[at + 1]], hashes, 2)
-                if found:
-                    yield found
-
-    two = _frequent(texts.mapInArrow(pairs, COUNTED), "phrases-of-two", SUPPORT)
+                hashes, at = w.both_hashes(), w.pairs()
+                known = _has(word_bits.value, hashes[0])
+                yield _hashed(w, hashes, at[known[at] & known[at + 1]], 2)
+
+    two = frequent(pairs, "pair-hashes")
     pair_bits = spark.sparkContext.broadcast(_filter_bits(two))
 
-    def triples(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def known_pairs(w: Words, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Positions of pairs that may be frequent, and of three words whose pairs are."""
+        at, known = w.pairs(), np.zeros(len(hashes), bool)
+        known[at] = _has(pair_bits.value, _joined(hashes, at, 2))
+        triples = w.triples()
+        return np.flatnonzero(known), triples[known[triples] & known[triples + 1]]
+
+    def triples(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, ...]]:
+        for batch in batches:
+            for w in words_of(batch):
+                hashes = w.both_hashes()
+                yield _hashed(w, hashes, known_pairs(w, hashes[0])[1], 3)
+
+    three = frequent(triples, "triple-hashes")
+    often = two.withColumn("length", F.lit(2)).unionByName(three.withColumn("length", F.lit(3)))
+    marked = often.select(F.col("hash").bitwiseXOR(F.col("mark").cast("long")).alias("hash"))
+    marked_bits = spark.sparkContext.broadcast(_filter_bits(marked))
+
+    def spelled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen = {2: _Seen(), 3: _Seen()}
         for batch in batches:
             for w in words_of(batch):
-                hashes, at = w.hashes(), w.pairs()
-                known = np.zeros(len(hashes), bool)
-                known[at] = _has(pair_bits.value, _joined(hashes, at, 2))
-                at = w.triples()
-                found = _candidate_rows(w, at[known[at] & known[at + 1]], hashes, 3)
-                if found:
-                    yield found
+                hashes = w.both_hashes()
+                for length, at in zip((2, 3), known_pairs(w, hashes[0])):
+                    marks = _marks(w, hashes[0], at, length).astype(np.uint64)
+                    at = at[_has(marked_bits.value, _joined(hashes[0], at, length) ^ marks)]
+                    yield from _new_phrases(w, at, length, hashes, seen[length])
 
-    three = _frequent(texts.mapInArrow(triples, COUNTED), "phrases-of-three", SUPPORT)
-    word_bits.unpersist()
-    pair_bits.unpersist()
-    both = two.withColumn("length", F.lit(2)).unionByName(three.withColumn("length", F.lit(3)))
-    return both.drop("n", "slot")
+    # Tasks send a phrase once, so adding up before the shuffle would find nothing to add.
+    found = texts.mapInArrow(spelled, PHRASE_ROWS).repartition("hash").distinct()
+    both = stored(found.join(often, ["hash", "test", "length"], "left_semi").drop("hash", "test"), "phrases-spelled")
+    for bits in (word_bits, pair_bits, marked_bits):
+        bits.unpersist()
+    return both
 
 
 class Trie:
@@ -458,7 +568,8 @@ def collocations(
     texts = docs.select(
         F.coalesce(F.col(lang).cast("string"), F.lit("und")).alias("lang"), body(text).alias("text")
     )
-    words = _frequent(texts.mapInArrow(_count_words, COUNTED), "phrase-words", 0)
+    counted = texts.mapInArrow(_count_words, WORD_ROWS)
+    words = stored(counted.groupBy("lang", "phrase", "hash").agg(F.sum("n").alias("n")), "phrase-words")
     totals = words.groupBy("lang").agg(F.sum("n").alias("n"))
     candidates = _candidates(texts, words)
     found = stored(phrase_counts(texts, candidates), "phrases-counted").where(F.col("n") >= SUPPORT)

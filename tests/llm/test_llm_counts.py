@@ -9,6 +9,8 @@ import re
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 import pytest
 from llm_data import TEXTS, no_documents, odd_documents
 from pyspark.sql import functions as F
@@ -264,6 +266,38 @@ def test_trie_counts_every_phrase():
     assert counts.tolist() == [want[p] for p in phrases]
 
 
+def test_tasks_send_a_phrase_once_and_lose_none():
+    """Blocks of a task are added up before they are sent, and no phrase is spelled twice; one
+    that shares half of its hash with another is not lost."""
+    text = "a b a c. b c a b c\nÉ a b " * 3
+    batch = pa.RecordBatch.from_pydict({"lang": ["en", "de"] * 8, "text": [text] * 16})
+    sent = pa.Table.from_batches(collocations._count_words(iter([batch.slice(i, 2) for i in range(0, 16, 2)])))
+    assert sent.num_rows == 8 and pc.sum(sent["n"]).as_py() == 16 * 36
+    parts = [tuple(np.array(c, k) for c, k in zip(p, (np.uint64, np.int32, np.int32))) for p in (
+        ([5, 5, 9], [0, 0, 0], [4, 3, 8]), ([9, 1, 2, 2], [0, 0, 1, 7], [2, 6, 3, 3]))]
+    hashes = pa.Table.from_batches(collocations._hash_counts(iter(parts)))
+    hashes = hashes.sort_by([("hash", "ascending"), ("test", "ascending")])
+    assert hashes.to_pydict() == {
+        "hash": [1, 2, 2, 5, 9], "test": [0, 1, 7, 0, 0], "n": [1, 1, 1, 2, 2], "mark": [6, 3, 3, 3, 2]}
+
+    def spelled(second):
+        seen, found = collocations._Seen(), []
+        for words in [w for _ in range(3) for w in collocations.words_of(batch.slice(0, 1))]:
+            own = [words.hashes()[words.codes], second(words)]
+            for rows in collocations._new_phrases(words, words.pairs(), 2, own, seen):
+                found += rows["phrase"].to_pylist()
+        return found
+
+    pairs = {"a b", "b a", "a c", "b c", "c a", "é a", "É a"} & set(spelled(lambda w: w.hashes("k" * 16)[w.codes]))
+    assert pairs == {"a b", "b a", "a c", "b c", "c a", "É a"}
+    assert len(spelled(lambda w: w.hashes("k" * 16)[w.codes])) == len(pairs)
+
+    seen = collocations._Seen()
+    one, two = np.array([7, 7], np.uint64), np.array([1, 2], np.uint64)
+    seen.add(one, two)
+    assert sorted(seen(one, two).tolist()) == [False, True]
+
+
 def test_no_phrases(spark):
     empty = no_documents(spark)
     assert collocations.collocations(empty).count() == 0
