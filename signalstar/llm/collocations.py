@@ -24,7 +24,9 @@ FIRST_KEY, SECOND_KEY = "first of the two", "second as a test"  # of hashes of w
 HELD_WORDS, HELD_HASHES = 1 << 18, 1 << 20  # what a task adds up before it sends it
 SENT = 1 << 16  # rows that are sent at once
 FILTER_BITS = 1 << 26  # of a filter of hashes, 8 MB whatever the corpus
-SHARD_PHRASES, SHARD_BYTES = 1 << 20, 32 << 20  # what one broadcast trie may hold
+SHARD_PHRASES, SHARD_BYTES = 1 << 16, 8 << 20  # what one trie may hold
+HELD_WINDOWS = 1 << 19  # beginnings of phrases that a task adds up before it sends them
+WALKED = 1 << 17  # windows that go through a trie at once
 
 SPACES = b"\x20\x09"
 BREAKS = b".,;:!?\n\x0b\f\r"
@@ -453,13 +455,16 @@ class Trie:
         out[order] = states
         return out
 
-    def counts(self, numbers: np.ndarray, linked: np.ndarray, phrases: int) -> np.ndarray:
+    def counts(
+        self, numbers: np.ndarray, linked: np.ndarray, phrases: int, times: np.ndarray | None = None
+    ) -> np.ndarray:
         """How often each phrase is accepted. ``numbers``: word numbers by position, -1 for
-        words that no phrase has; all positions go from level to level together."""
+        words that no phrase has; all positions go from level to level together. ``times``: how
+        often what begins at each position counts, once if it is not given."""
         size = len(self.check)
         total = np.zeros(phrases, np.int64)
         split = [digits.astype(np.int32) for digits in self._split(np.maximum(numbers, 0))]
-        at = np.flatnonzero(linked & (numbers >= 0))
+        at = np.flatnonzero(linked & (numbers >= 0) & (True if times is None else times > 0))
         states = numbers[at]
         for k in (1, 2):
             on = numbers[at + k] >= 0
@@ -470,73 +475,258 @@ class Trie:
                 on[on] = self.check[to[on]] == states[on]
                 at, states = at[on], to[on]
             accepted = self.phrase[states]
-            total += np.bincount(accepted[accepted >= 0], minlength=phrases)
+            on = accepted >= 0
+            # Sums in doubles are exact below 2^53.
+            often = None if times is None else times[at[on]]
+            total += np.bincount(accepted[on], often, minlength=phrases).astype(np.int64)
             on = linked[at + k]
             at, states = at[on], states[on]
         return total
 
 
-def _tries(shard: pa.Table) -> dict[str, tuple[Trie, pa.Array, np.ndarray]]:
-    """By language: the trie, the words by number, and the phrases' ids."""
-    found = {}
-    for lang in sorted(set(shard["lang"].to_pylist())):
-        own = shard.filter(pc.equal(shard["lang"], lang)).combine_chunks()
-        split = pc.split_pattern(own["phrase"].combine_chunks().cast(pa.large_string()), " ")
-        words = split.values.dictionary_encode()
-        numbers, begins = words.indices.to_numpy(), split.offsets.to_numpy()
-        phrases = np.full((len(split), 3), -1, np.int64)
-        for k in range(3):
-            has = np.diff(begins) > k
-            phrases[has, k] = numbers[begins[:-1][has] + k]
-        spelled = words.dictionary.cast(pa.large_binary())
-        found[lang] = Trie(phrases, len(spelled)), spelled, own["cid"].to_numpy()
-    return found
-
-
-def _trie_counts(texts: DataFrame, shard: DataFrame) -> DataFrame:
-    """(cid, n): the occurrences of the shard's phrases in all texts."""
-    by_lang = _tries(shard.select("cid", "lang", "phrase").toArrow())
-    sent = texts.sparkSession.sparkContext.broadcast(by_lang)
-
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total: dict[str, np.ndarray] = {}
-        for batch in batches:
-            for words in words_of(batch):
-                if words.lang not in sent.value:
-                    continue
-                trie, spelled, cids = sent.value[words.lang]
-                number = pc.fill_null(pc.index_in(words.spelled, spelled), -1).to_numpy(zero_copy_only=False)
-                found = trie.counts(number.astype(np.int64)[words.codes], words.linked, len(cids))
-                total[words.lang] = total.get(words.lang, 0) + found
-        for lang, found in total.items():
-            some = np.flatnonzero(found)
+def _named(lang: str, spelled: pa.Array) -> pa.Array:
+    """The words with their language; as no word has a space, no two are the same."""
+    some = [pa.scalar(x, pa.large_binary()) for x in (lang.encode(), b" ")]
+    return pc.binary_join_element_wise(some[0], spelled, some[1])
+
+
+def _by_lang(rows: pa.RecordBatch | pa.Table) -> Iterator[tuple[pa.Array, Words, np.ndarray]]:
+    """By language: phrases, their words, each phrase a piece, and where it begins in them."""
+    langs = rows["lang"]
+    for lang in pc.unique(langs).to_pylist():
+        phrases = rows["phrase"].filter(pc.equal(langs, lang))
+        if isinstance(phrases, pa.ChunkedArray):
+            phrases = phrases.combine_chunks()
+        split = pc.split_pattern(phrases.cast(pa.large_string()), " ")
+        spelled = split.values.cast(pa.large_binary()).dictionary_encode()
+        begins = split.offsets.to_numpy()
+        linked = np.ones(len(spelled), bool)
+        linked[begins[1:] - 1] = False
+        codes = spelled.indices.to_numpy(zero_copy_only=False)
+        yield phrases, Words(lang, spelled.dictionary, codes, linked), begins[:-1]
+
+
+KEYED_ROWS = "lang string, phrase string, hash long, pair long"
+
+
+def _keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Phrases with their hashes and those of their first two words."""
+    for batch in batches:
+        for phrases, words, at in _by_lang(batch):
+            hashes = words.hashes()[words.codes]
+            pair = _joined(hashes, at, 2)
+            own, longer = pair.copy(), words.linked[at + 1]
+            own[longer] = _joined(hashes, at[longer], 3)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(sent.value[lang][2][some]), pa.array(found[some])], names=["cid", "n"]
+                [pa.repeat(words.lang, len(at)), phrases.cast(pa.string()), pa.array(own.view(np.int64)),
+                 pa.array(pair.view(np.int64))], names=["lang", "phrase", "hash", "pair"],
             )
 
-    parts = texts.mapInArrow(count, "cid long, n long")
-    counted = stored(parts.groupBy("cid").agg(F.sum("n").alias("n")), "phrase-counts")
-    sent.unpersist()
-    return counted
+
+# Candidates, and parcels of windows: how many words and windows a parcel has, and its bytes.
+SHARD_ROWS = "shard int, lang string, phrase string, words int, windows int, bytes int, parcel binary"
+
+
+def _planes(numbers: np.ndarray) -> bytes:
+    """All first bytes of the numbers, all second ones and so on, which pack better."""
+    return np.ascontiguousarray(numbers, np.int32).view(np.uint8).reshape(-1, 4).T.tobytes()
+
+
+def _from_planes(data: np.ndarray) -> np.ndarray:
+    return np.ascontiguousarray(data.reshape(4, -1).T).view(np.int32).ravel()
+
+
+def _windows(words: Words, bits: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where candidates may begin: hashes of the first two words, and the indices of three
+    words, the third -1 where there may only be a phrase of two."""
+    hashes, at = words.hashes()[words.codes], words.pairs()
+    pair = np.zeros(len(hashes), np.uint64)
+    pair[at] = _joined(hashes, at, 2)
+    begins, wide = np.zeros((2, len(hashes)), bool)
+    begins[at] = _has(bits, pair[at])
+    three = words.triples()
+    wide[three] = _has(bits, _joined(hashes, three, 3))
+    at = np.flatnonzero(begins | wide)
+    out = np.full((len(at), 3), -1, np.int32)
+    out[:, 0], out[:, 1] = words.codes[at], words.codes[at + 1]
+    on = wide[at]
+    out[on, 2] = words.codes[at[on] + 2]
+    return pair[at], out
+
+
+def _parcels(held: list[tuple[pa.Array, np.ndarray, np.ndarray]], shards: int) -> pa.RecordBatch:
+    """For each shard the distinct windows of some blocks, each with its occurrences."""
+    every = pa.concat_arrays([spelled for spelled, _, _ in held]).dictionary_encode()
+    number, spelled = every.indices.to_numpy(zero_copy_only=False), every.dictionary
+    windows, first = [], 0
+    for own, _, some in held:
+        # The last stands for -1.
+        windows.append(np.append(number[first : first + len(own)], np.int32(-1))[some])
+        first += len(own)
+    windows = np.concatenate(windows)
+    pair = np.concatenate([pair for _, pair, _ in held])
+    held.clear()
+    # The upper half deals to shards, the lower one brings equal windows together; others that
+    # share both only keep equal ones apart, which then are two rows.
+    key = (windows[:, 2].astype(np.int64).view(np.uint64) + np.uint64(2)) * np.uint64(0xC2B2AE3D27D4EB4F)
+    key = ((key ^ pair) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(32)
+    key |= pair >> np.uint64(32) << np.uint64(32)
+    order = np.argsort(key)
+    windows = windows[order]
+    other = (windows[1:] != windows[:-1]).any(axis=1)
+    starts = np.flatnonzero(np.append(True, other))
+    times = np.diff(np.append(starts, len(windows))).astype(np.int32)
+    windows = windows[starts]
+    shard = ((key[order[starts]] >> np.uint64(32)) * np.uint64(shards)) >> np.uint64(32)
+    cuts = [0, *(np.flatnonzero(np.diff(shard)) + 1).tolist(), len(shard)]
+    index = np.full(len(spelled) + 1, -1, np.int32)
+    codec, parts = pa.Codec("zstd", 1), []
+    for a, b in zip(cuts[:-1], cuts[1:]):
+        some = windows[a:b]
+        used = np.zeros(len(spelled) + 1, bool)
+        used[some] = True
+        used[-1] = False
+        used = np.flatnonzero(used)
+        index[used] = np.arange(len(used), dtype=np.int32)
+        words = spelled.take(pa.array(used))
+        lengths = pc.binary_length(words).to_numpy()
+        data = words.buffers()[2][: int(lengths.sum(dtype=np.int64))].to_pybytes()
+        raw = b"".join([_planes(lengths), _planes(index[some].T), _planes(times[a:b]), data])
+        parts.append((int(shard[a]), len(used), b - a, len(raw), codec.compress(raw, asbytes=True)))
+    columns = list(zip(*parts))
+    nothing = pa.nulls(len(parts), pa.string())
+    return pa.RecordBatch.from_arrays(
+        [pa.array(columns[0], pa.int32()), nothing, nothing, *[pa.array(c, pa.int32()) for c in columns[1:4]],
+         pa.array(columns[4], pa.binary())],
+        names=["shard", "lang", "phrase", "words", "windows", "bytes", "parcel"],
+    )
+
+
+class _Shard:
+    """The candidates of a shard, their trie, and how often it has accepted each."""
+
+    def __init__(self, candidates: pa.Table):
+        langs, phrases, spelled, numbers, first = [], [], [], [], 0
+        for own, words, at in _by_lang(candidates):
+            rows = np.full((len(at), 3), -1, np.int64)
+            rows[:, 0], rows[:, 1] = words.codes[at], words.codes[at + 1]
+            longer = words.linked[at + 1]
+            rows[longer, 2] = words.codes[at[longer] + 2]
+            rows[rows >= 0] += first
+            first += len(words.spelled)
+            langs.append(pa.repeat(words.lang, len(at)))
+            phrases.append(own.cast(pa.string()))
+            spelled.append(_named(words.lang, words.spelled))
+            numbers.append(rows)
+        numbers = np.concatenate(numbers)
+        self.langs, self.phrases, self.spelled = (pa.concat_arrays(x) for x in (langs, phrases, spelled))
+        self.lengths = 2 + (numbers[:, 2] >= 0).astype(np.int32)
+        self.trie = Trie(numbers, len(self.spelled))
+        self.total = np.zeros(len(numbers), np.int64)
+        self.held, self.words, self.windows = [], 0, 0
+
+    def add(self, parcels: pa.RecordBatch) -> None:
+        codec = pa.Codec("zstd")
+        counts = (parcels[c].to_pylist() for c in ("words", "windows", "bytes"))
+        for words, windows, size, parcel in zip(*counts, parcels["parcel"]):
+            raw = np.frombuffer(codec.decompress(parcel.as_buffer(), size), np.uint8)
+            ends = np.cumsum([4 * words, 12 * windows, 4 * windows])
+            lengths, some, times = (_from_planes(x) for x in np.split(raw, ends)[:3])
+            some = some.reshape(3, -1)
+            some[some >= 0] += self.words
+            self.held.append((lengths, raw[ends[2] :], some, times))
+            self.words += words
+            self.windows += windows
+            if self.windows >= WALKED:
+                self.walk()
+
+    def walk(self) -> None:
+        """What the parcels hold goes through the trie, each window as a piece of its own."""
+        if not self.held:
+            return
+        lengths, data, windows, times = zip(*self.held)
+        self.held, self.words, self.windows = [], 0, 0
+        offsets = np.append(0, np.cumsum(np.concatenate(lengths), dtype=np.int64))
+        spelled = pa.Array.from_buffers(
+            pa.large_binary(), len(offsets) - 1,
+            [None, pa.py_buffer(offsets), pa.py_buffer(np.concatenate(data))])
+        number = pc.fill_null(pc.index_in(spelled, self.spelled), -1).to_numpy(zero_copy_only=False)
+        windows = np.concatenate(windows, axis=1).T
+        numbers = np.append(number, np.int32(-1)).astype(np.int64)[windows]
+        linked = np.zeros(windows.shape, bool)
+        linked[:, :2] = windows[:, 1:] >= 0
+        begun = np.zeros(windows.shape, np.int64)
+        begun[:, 0] = np.concatenate(times)
+        self.total += self.trie.counts(numbers.ravel(), linked.ravel(), len(self.total), begun.ravel())
+
+    def found(self) -> Iterator[pa.RecordBatch]:
+        self.walk()
+        rows = pa.table({"lang": self.langs, "phrase": self.phrases, "length": self.lengths, "n": self.total})
+        yield from rows.filter(pa.array(self.total > 0)).to_batches(SENT)
+
+
+def _count_shards(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows come by shard, its candidates first."""
+    now, waiting, shard = None, [], None
+    for batch in batches:
+        numbers = batch["shard"].to_numpy()
+        cuts = [0, *(np.flatnonzero(np.diff(numbers)) + 1).tolist(), len(numbers)]
+        for a, b in zip(cuts[:-1], cuts[1:]):
+            if a == b:
+                continue
+            if numbers[a] != now:
+                if shard:
+                    yield from shard.found()
+                now, waiting, shard = numbers[a], [], None
+            part = batch.slice(a, b - a)
+            candidates = part.num_rows - part["phrase"].null_count
+            if candidates:
+                waiting.append(part.slice(0, candidates).select(["lang", "phrase"]))
+            if candidates == part.num_rows or not waiting and not shard:
+                continue  # a shard may have windows and no candidates
+            if not shard:
+                shard, waiting = _Shard(pa.Table.from_batches(waiting)), []
+            shard.add(part.slice(candidates))
+    if shard:
+        yield from shard.found()
 
 
 def phrase_counts(texts: DataFrame, candidates: DataFrame) -> DataFrame:
-    """lang, phrase, length, n of the candidates. They are dealt into shards of bounded size;
-    the shards' tries are broadcast one after the other, each over all texts."""
-    numbered = stored(candidates.withColumn("cid", F.monotonically_increasing_id()), "phrases")
-    size = numbered.agg(
+    """lang, phrase, length, n of the candidates. They are dealt into shards of bounded size by
+    their first two words, and so is, in one pass over the texts, what may begin with them; each
+    shard has a trie of its own, so that work grows with the texts, not with the shards too."""
+    spark = texts.sparkSession
+    keyed = stored(candidates.select("lang", "phrase").mapInArrow(_keyed, KEYED_ROWS), "phrases")
+    size = keyed.agg(
         F.count(F.lit(1)).alias("rows"), F.sum(F.octet_length("phrase")).alias("bytes")
     ).first()
     need = max(size.rows / SHARD_PHRASES, (size.bytes or 0) / SHARD_BYTES)
     shards = int(need * 5 / 4) + 1  # room for what a hash deals unevenly
-    counts = None
-    for shard in range(shards if size.rows else 0):
-        own = numbered.where(F.pmod(F.xxhash64("lang", "phrase"), F.lit(shards)) == shard)
-        found = _trie_counts(texts, own)
-        counts = found if counts is None else counts.unionByName(found)
-    if counts is None:
-        return numbered.withColumn("n", F.lit(0).cast("long")).drop("cid")
-    return numbered.join(counts, "cid").drop("cid")
+    bits = spark.sparkContext.broadcast(_filter_bits(keyed))
+
+    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[tuple[pa.Array, np.ndarray, np.ndarray]] = []
+        for batch in batches:
+            for words in words_of(batch):
+                pair, windows = _windows(words, bits.value)
+                if len(pair):
+                    held.append((_named(words.lang, words.spelled), pair, windows))
+                if sum(len(pair) for _, pair, _ in held) >= HELD_WINDOWS:
+                    yield _parcels(held, shards)
+        if held:
+            yield _parcels(held, shards)
+
+    shard = F.shiftrightunsigned(F.shiftrightunsigned("pair", 32) * shards, 32).cast("int")
+    own = keyed.select(
+        shard.alias("shard"), "lang", "phrase",
+        *[F.lit(None).cast("int").alias(c) for c in ("words", "windows", "bytes")],
+        F.lit(None).cast("binary").alias("parcel"))
+    dealt = own.unionByName(texts.mapInArrow(deal, SHARD_ROWS)).repartition("shard")
+    sorted_ = dealt.sortWithinPartitions("shard", F.col("phrase").isNull())
+    counted = stored(
+        sorted_.mapInArrow(_count_shards, "lang string, phrase string, length int, n long"), "phrases-counted")
+    bits.unpersist()
+    return counted
 
 
 def _first(rows: DataFrame, order: list[Column], top: int) -> DataFrame:
@@ -572,7 +762,7 @@ def collocations(
     words = stored(counted.groupBy("lang", "phrase", "hash").agg(F.sum("n").alias("n")), "phrase-words")
     totals = words.groupBy("lang").agg(F.sum("n").alias("n"))
     candidates = _candidates(texts, words)
-    found = stored(phrase_counts(texts, candidates), "phrases-counted").where(F.col("n") >= SUPPORT)
+    found = phrase_counts(texts, candidates).where(F.col("n") >= SUPPORT)
     parts = found.select("lang", "phrase", "n").unionByName(
         words.where(F.col("n") >= SUPPORT).select("lang", "phrase", "n"))
 

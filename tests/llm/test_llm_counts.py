@@ -298,6 +298,59 @@ def test_tasks_send_a_phrase_once_and_lose_none():
     assert sorted(seen(one, two).tolist()) == [False, True]
 
 
+def phrase_candidates(spark, rows):
+    found = set()
+    for lang, text in rows:
+        for piece in text.split("."):
+            words = piece.split()
+            found |= {(lang, " ".join(words[i : i + k]), k) for k in (2, 3) for i in range(len(words) - k + 1)}
+    return spark.createDataFrame(sorted(found), "lang string, phrase string, length int")
+
+
+def test_texts_are_read_once_however_many_tries(spark, monkeypatch):
+    """The pass over the texts is one, so that time does not grow with texts times tries."""
+    monkeypatch.setattr(collocations, "SHARD_PHRASES", 5)
+    random_ = random.Random(4)
+    rows = [(lang, " ".join(random_.choice(["a", "b", "cé", "d."]) for _ in range(30))) for lang in ("en", "a b") * 6]
+    docs = spark.createDataFrame(rows, "lang string, text string").repartition(2).cache()
+    docs.count()
+    read = spark.sparkContext.accumulator(0)
+
+    def seen(batches):
+        for batch in batches:
+            read.add(batch.num_rows)
+            yield batch
+
+    candidates = phrase_candidates(spark, rows)
+    assert candidates.count() > 50
+    got = collocations.phrase_counts(docs.mapInArrow(seen, "lang string, text string"), candidates).collect()
+    assert read.value == len(rows)
+    want = Counter()
+    for lang, text in rows:
+        for piece in text.split("."):
+            words = piece.split()
+            want.update((lang, " ".join(words[i : i + k]), k) for k in (2, 3) for i in range(len(words) - k + 1))
+    assert {(r.lang, r.phrase, r.length): r.n for r in got} == dict(want)
+    assert len(got) == len(want)
+    docs.unpersist()
+
+
+def test_parcels_count_windows_exactly(monkeypatch):
+    """Also where hashes of different pairs are equal, and when a trie takes little at once."""
+    monkeypatch.setattr(collocations, "WALKED", 3)
+    spelled = pa.array([b"en x", b"en y", b"de x"], pa.large_binary())
+    windows = np.array([[0, 1, -1], [0, 1, 0], [1, 0, -1], [0, 1, -1], [0, 1, 0], [2, 2, -1], [0, 1, 1]], np.int32)
+    pair = np.full(len(windows), 1 << 40, np.uint64)
+    candidates = pa.table({"lang": ["en", "en", "de", "en"], "phrase": ["x y", "x y x", "x x", "y y"]})
+    shard = collocations._Shard(candidates)
+    for _ in range(2):
+        held = [(spelled, pair, windows), (spelled.take(pa.array([1, 0, 2])), pair, windows)]
+        shard.add(collocations._parcels(held, 1))
+    got = pa.Table.from_batches(shard.found()).to_pylist()
+    assert {(r["lang"], r["phrase"], r["length"]): r["n"] for r in got} == {
+        ("en", "x y", 2): 12, ("en", "x y x", 3): 4, ("de", "x x", 2): 4}
+
+
 def test_no_phrases(spark):
     empty = no_documents(spark)
     assert collocations.collocations(empty).count() == 0
